@@ -8,14 +8,15 @@ computed independently.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from returnsmith.operators.lookup import prepare
+from returnsmith.operators.lookup import inline_table, prepare
 from returnsmith.schemas import LEDGER
+from returnsmith.sources.readers import spread
 
 AS_OF, ENTITY, LOT = "1998-07-31", "106", 992
-BASE_TABLES = ("nation", "customer", "part", "orders", "lineitem")
 COUNTRY_CODES = "AUCNUSGBSGHKJPDEFRNZKRINIDTHMYPHVNTWCAMXBRZAAEXXNL"
 COUNTRY = f"substr('{COUNTRY_CODES}', 2 * c_nationkey + 1, 2)"
 CURRENCY = ("CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'AUD' WHEN '2' THEN 'USD' WHEN '3' THEN 'CNY' "
@@ -229,42 +230,77 @@ DIM_ROWS = {
 DIM_TABLES = ("register_now", "register_last", "country")
 
 
+BASE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+}
+
+
 def refs(body: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"<(\w+)>", body)))
 
 
+def in_order(*names: str) -> list[str]:
+    """The bodies to define before the named ones, and those themselves."""
+    out: list[str] = []
+    for name in names:
+        if name not in BASE_SCHEMAS:
+            used = refs(BODIES[name]) if name in BODIES else []
+            out += [n for n in [*in_order(*used), name] if n not in out]
+    return out
+
+
+class Warehouse(dict):
+    """Warehouse tables by name, made when asked for."""
+
+    def __init__(self, feed: Feed):
+        self.feed = feed
+
+    def __missing__(self, name: str) -> DataFrame:
+        return self.feed.table("ledger" if name == "ledger_view" else f"wh_{name}")
+
+
 class Feed:
     """The domain tables of one data folder, built on demand."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder, self._made = spark, folder, {}
 
-    def table(self, name: str) -> DataFrame:
+    def once(self, name: str, make: Callable[[], DataFrame]):
         if name not in self._made:
-            self._made[name] = self._make(name)
+            self._made[name] = make()
         return self._made[name]
 
+    def table(self, name: str) -> DataFrame:
+        return self.once(f"<{name}>", lambda: self._make(name))
+
     def _make(self, name: str) -> DataFrame:
-        if name in BASE_TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        body = BODIES[name].replace("DAYS(", "-datediff(")
-        used = {ref: self.table(ref) for ref in refs(body)}
-        return self.spark.sql(re.sub(r"<(\w+)>", r"{\1}", body), **used)
+        if name in BASE_SCHEMAS:
+            df = self.spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+            return spread(df, "l_orderkey", "l_partkey") if name == "lineitem" else df
+        steps = in_order(name)
+        base = {ref for step in steps for ref in refs(BODIES[step]) if ref in BASE_SCHEMAS}
+        bodies = {step: re.sub(r"<(\w+)>", lambda m: f"{{{m[1]}}}" if m[1] in base else m[1], BODIES[step]) for step in steps}
+        ctes = ", ".join(f"{step} AS ({body})" for step, body in bodies.items())
+        sql = f"WITH {ctes} SELECT * FROM {name}".replace("DAYS(", "-datediff(")
+        return self.spark.sql(sql, **{ref: self.table(ref) for ref in base})
 
     def rows(self, name: str) -> DataFrame:
         columns, rows = DIM_ROWS[name]
-        return self.spark.createDataFrame([(i, *row) for i, row in enumerate(rows)],
-                                          "seq long, " + ", ".join(f"{n} string" for n in columns.split()))
+        return inline_table(self.spark, f"seq {columns}", [(i, *row) for i, row in enumerate(rows)])
 
     def dims(self) -> dict[str, DataFrame]:
-        if "dims" not in self._made:
-            small = prepare({name: self.rows(name) for name in DIM_ROWS})
-            self._made["dims"] = {**small, **{name: self.table(name) for name in DIM_TABLES}}
-        return self._made["dims"]
-
-    def warehouse(self) -> dict[str, DataFrame]:
-        tables = {name[3:]: self.table(name) for name in BODIES if name.startswith("wh_")}
-        return {**tables, "ledger_view": self.table("ledger")}
+        small = self.once("dims", lambda: prepare({name: self.rows(name) for name in DIM_ROWS}))
+        return {**small, **{name: self.table(name) for name in DIM_TABLES}}
+
+    def warehouse(self) -> Warehouse:
+        return Warehouse(self)
 
 
 def duckdb_body(name: str) -> str:

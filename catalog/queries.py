@@ -18,9 +18,10 @@ from returnsmith.plans import reports
 from returnsmith.plans.chains import POSITION_CHAIN
 from returnsmith.plans.facility import enrich_facility
 from returnsmith.plans.ledger import enrich_ledger
+from returnsmith.plans.lifecycle import REPORTED
 from returnsmith.plans.quality import position_issues, register_issues
 from returnsmith.schemas import FACILITY, LEDGER, POSITIONS
-from returnsmith.session import scratch_path, tune
+from returnsmith.session import scratch_path, settle, tune
 from returnsmith.sources import bundle, warehouse
 from returnsmith.sources.readers import clean_header, conform, normalise_nulls
 
@@ -51,9 +52,12 @@ def register(f: Feed) -> DataFrame:
     return reg.build_register(enriched(f), f.table("register_now"), f.table("register_last"))
 
 
+def settled_register(f: Feed) -> DataFrame:
+    return f.once("register", lambda: settle(register(f), "register"))
+
+
 def with_risk(f: Feed) -> DataFrame:
-    base = enriched(f)
-    return pos.add_risk(base, reg.build_register(base, f.table("register_now"), f.table("register_last")))
+    return pos.add_risk(enriched(f), settled_register(f))
 
 
 def ledger(f: Feed) -> DataFrame:
@@ -61,16 +65,26 @@ def ledger(f: Feed) -> DataFrame:
 
 
 def facility(f: Feed) -> DataFrame:
-    return enrich_facility(f.table("facility"), register(f), f.dims())
+    return enrich_facility(f.table("facility"), settled_register(f), f.dims())
+
+
+def reviewed(f: Feed) -> DataFrame:
+    """The enriched positions as the review run leaves them: written, and read by several reports."""
+    return f.once("reviewed", lambda: settle(with_risk(f).select(*REPORTED), "positions"))
+
+
+def cells(f: Feed, positions: DataFrame) -> DataFrame:
+    return f.once("cells", lambda: settle(rec.position_cells(positions), "cells"))
 
 
 def full_reconciliation(f: Feed, positions: DataFrame) -> DataFrame:
-    return rec.reconcile(ledger(f), rec.position_cells(positions))
+    return rec.reconcile(ledger(f), cells(f, positions))
 
 
 def country_table(f: Feed) -> DataFrame:
-    positions = with_risk(f)
-    return reports.country_report(positions, facility(f), full_reconciliation(f, positions), f.dims()["country"])
+    positions = reviewed(f)
+    figures = settle(full_reconciliation(f, positions), "reconciliation")
+    return settle(reports.country_report(positions, facility(f), figures, f.dims()["country"]), "country")
 
 
 def feed_without_ids(f: Feed) -> DataFrame:
@@ -219,14 +233,8 @@ def map_registered_lookup(f: Feed) -> DataFrame:
     return found.select("facility_nr", "customer_nr", "registered", "listed")
 
 
-def keyed(f: Feed) -> DataFrame:
-    return (with_risk(f).select("seq", "currency", "deal_code", "interest_code", "valuation_code", "key", "risk_in",
-                                "ale", *[F.lit(0.0).alias(n) for n in ("rca_bookv", "rca_accrint", "rca_deferred_fee",
-                                                                       "rca_mtm_negative", "rca_mtm_positive")]))
-
-
 def owners(f: Feed) -> DataFrame:
-    return rec.account_owners(rec.position_cells(keyed(f)))
+    return rec.account_owners(cells(f, with_risk(f)))
 
 
 @query
@@ -245,13 +253,13 @@ def ledger_accounts(f: Feed) -> DataFrame:
 
 @query
 def lkp_fallback_sector(f: Feed) -> DataFrame:
-    return routed_lookup(ledger_accounts(f), rec.sector_routes(), owners(f), ["role", "code", "currency"],
+    return routed_lookup(ledger_accounts(f), rec.SECTOR_ROUTES, owners(f), rec.OWNER,
                          "first_key", "key")
 
 
 @query
 def lkp_fallback_country(f: Feed) -> DataFrame:
-    return routed_lookup(ledger_accounts(f), rec.country_routes(), owners(f), ["role", "code", "currency"],
+    return routed_lookup(ledger_accounts(f), rec.COUNTRY_ROUTES, owners(f), rec.OWNER,
                          "last_risk_in", "risk_in")
 
 
@@ -259,34 +267,34 @@ def lkp_fallback_country(f: Feed) -> DataFrame:
 
 @query
 def pos_category(f: Feed) -> DataFrame:
-    return pos.add_category(mapped(f)).select("seq", "ale", "rca_mtm_negative", "category")
+    return pos.add_rules(mapped(f), pos.ROW_RULES, "category").select("seq", "ale", "rca_mtm_negative", "category")
 
 
 @query
 def pos_country(f: Feed) -> DataFrame:
-    return pos.add_country(f.table("positions")).select("seq", "customer_nr", "domicile", "vis_country")
+    return pos.add_rules(f.table("positions"), pos.ROW_RULES, "vis_country").select("seq", "customer_nr", "domicile", "vis_country")
 
 
 @query
 def pos_sector(f: Feed) -> DataFrame:
-    return (mapped(f).transform(pos.add_category).transform(pos.add_sector)
+    return (pos.add_rules(mapped(f), pos.ROW_RULES, "category", "vis_sector")
             .select("seq", "ale", "category", "rv_rel_party_type", "vis_sector"))
 
 
 @query
 def pos_key(f: Feed) -> DataFrame:
-    return (mapped(f).transform(pos.add_category).transform(pos.add_country).transform(pos.add_sector)
-            .transform(pos.add_key).select("seq", "key"))
+    return (pos.add_rules(mapped(f), pos.ROW_RULES, "category", "vis_country", "vis_sector", "key")
+            .select("seq", "key"))
 
 
 @query
 def pos_source_class(f: Feed) -> DataFrame:
-    return pos.add_source_class(mapped(f)).select("seq", "ide_linkage_type", "rv_coa", "source_class")
+    return pos.add_rules(mapped(f), pos.ROW_RULES, "source_class").select("seq", "ide_linkage_type", "rv_coa", "source_class")
 
 
 @query
 def pos_deal_code(f: Feed) -> DataFrame:
-    return (mapped(f).transform(pos.add_source_class).transform(pos.add_deal_code)
+    return (pos.add_rules(mapped(f), pos.ROW_RULES, "source_class", "deal_code")
             .select("seq", "source_class", "deal_type", "deal_code"))
 
 
@@ -302,7 +310,7 @@ def pos_valuation_code(f: Feed) -> DataFrame:
 
 @query
 def pos_nationality(f: Feed) -> DataFrame:
-    return pos.add_nationality(f.table("positions")).select("seq", "nationality", "domicile", "nationality_derived")
+    return pos.add_rules(f.table("positions"), pos.ROW_RULES, "nationality_derived").select("seq", "nationality", "domicile", "nationality_derived")
 
 
 @query
@@ -402,7 +410,7 @@ def rev_status_default(f: Feed) -> DataFrame:
 @query
 def rev_delete(f: Feed) -> DataFrame:
     data, log = position_log(f)
-    return review.delete_listed(data, log.where(review.action() == "delete"), ["ide_linkage_ref", "customer_nr"])
+    return review.delete_listed(data, log.where(f"{review.ACTION} = 'delete'"), ["ide_linkage_ref", "customer_nr"])
 
 
 @query
@@ -474,19 +482,19 @@ def rpt_assets_core(f: Feed) -> DataFrame:
 
 @query
 def rpt_assets(f: Feed) -> DataFrame:
-    positions = with_risk(f)
+    positions = reviewed(f)
     return reports.assets_report(positions, full_reconciliation(f, positions))
 
 
 @query
 def rpt_liabilities(f: Feed) -> DataFrame:
-    positions = with_risk(f)
+    positions = reviewed(f)
     return reports.liabilities_report(positions, full_reconciliation(f, positions))
 
 
 @query
 def rpt_gl_adjustment(f: Feed) -> DataFrame:
-    figures = full_reconciliation(f, with_risk(f))
+    figures = settle(full_reconciliation(f, with_risk(f)), "reconciliation")
     sides = [reports.key_adjustment(figures, side).withColumn("side", F.lit(side)) for side in ("A", "L")]
     return as_double(sides[0].unionByName(sides[1]))
 
@@ -507,7 +515,8 @@ for _letter in "abcde":
 
 def checked_table(f: Feed) -> DataFrame:
     table = country_table(f)
-    return reports.with_off_balance(table, rec.off_balance_check(ledger(f), facility(f), reports.part(table, "e")))
+    check = rec.off_balance_check(ledger(f), facility(f), reports.part(table, "e"))
+    return settle(reports.with_off_balance(table, check), "country")
 
 
 @query

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-BASE = 1000000
 FIVE_YEARS = 1060000
 ONE_YEAR = 1012000
 ON_DEMAND = 1001000
@@ -20,16 +16,13 @@ BUCKETS = (
 )
 
 
-def tenor_code(start: Column, end: Column) -> Column:
+def tenor_code(start: str, end: str) -> str:
     """Maturity code of the days between two dates: whole years of 365 days, months of
     30 days, and the days left over after the whole years. Missing or negative: null."""
-    days = F.datediff(end, start)
-    years = F.floor(days / 365)
-    months = F.floor(days / 30)
-    rest = days - years * 365
-    code = F.when(years >= 5, FIVE_YEARS + rest).otherwise(BASE + months * 1000 + rest)
-    return F.when(days >= 0, code).cast("int")
+    days = f"datediff({end}, {start})"
+    return (f"CAST(CASE WHEN {days} >= 5 * 365 THEN {FIVE_YEARS} + {days} % 365 "
+            f"WHEN {days} >= 0 THEN 1000000 + {days} div 30 * 1000 + {days} % 365 END AS int)")
 
 
-def in_bucket(code: Column, low: int, high: int | None) -> Column:
-    return (code > low) if high is None else ((code > low) & (code <= high))
+def in_bucket(code: str, low: int, high: int | None) -> str:
+    return f"{code} > {low}" if high is None else f"({code} > {low} AND {code} <= {high})"

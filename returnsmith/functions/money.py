@@ -10,7 +10,7 @@ edge of a report.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -20,32 +20,35 @@ MONEY = "decimal(18,4)"
 def exact(df: DataFrame, *names: str) -> DataFrame:
     """Amount columns as DECIMAL(18,4); columns that are decimal already (partial sums) stay."""
     raw = [n for n in names if not isinstance(df.schema[n].dataType, DecimalType)]
-    return df.withColumns({n: F.col(n).cast(MONEY) for n in raw}) if raw else df
+    return df.withColumns({n: F.expr(f"CAST({n} AS {MONEY})") for n in raw}) if raw else df
 
 
-def amount(name: str) -> Column:
+def amount(name: str) -> str:
     """An exact amount with a missing value as zero."""
-    return F.coalesce(F.col(name), F.lit(0))
+    return f"coalesce({name}, 0)"
 
 
-def total(col: Column | str, when: Column | None = None) -> Column:
+def total(col: str, when: str | None = None) -> str:
     """Sum over the group, over the rows where ``when`` holds; 0 if there are none."""
-    return F.coalesce(total_or_null(col, when), F.lit(0))
+    return f"coalesce({total_or_null(col, when)}, 0)"
 
 
-def total_or_null(col: Column | str, when: Column | None = None) -> Column:
+def total_or_null(col: str, when: str | None = None) -> str:
     """As ``total``, but null where no row of the group qualifies."""
-    col = F.col(col) if isinstance(col, str) else col
-    return F.sum(col if when is None else F.when(when, col))
+    return f"sum({col})" if when is None else f"sum(CASE WHEN {when} THEN {col} END)"
 
 
-def half_even(col: Column, digits: int = 0) -> Column:
+def half_even(col: str, digits: int = 0) -> str:
     """Rounding to the even neighbour on ties."""
-    return F.bround(col, digits)
+    return f"bround({col}, {digits})"
+
+
+def figures(df: DataFrame, keys, **sums: str) -> DataFrame:
+    """Grouped sums: ``name=expression`` per figure."""
+    return df.groupBy(*keys).agg(*[F.expr(f"{expr} AS {name}") for name, expr in sums.items()])
 
 
 def as_double(df: DataFrame) -> DataFrame:
     """The report edge: exact figures as double, other columns untouched."""
-    return df.select(*[F.col(f.name).cast("double").alias(f.name)
-                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
-                       for f in df.schema.fields])
+    return df.selectExpr(*[f"CAST({f.name} AS double) AS {f.name}" if isinstance(f.dataType, DecimalType) else f.name
+                           for f in df.schema.fields])

@@ -6,47 +6,36 @@ zero inside an existing group, and a blank lookup value as "no value".
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add, and_
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+def text(value: str) -> str:
+    """A text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def is_value(col: Column, value) -> Column:
-    """Equality that is false, never null, for a missing value."""
-    return col.eqNullSafe(F.lit(value))
+def texts(values) -> str:
+    """A list of text literals."""
+    return ", ".join(text(v) for v in values)
 
 
-def not_value(col: Column, value) -> Column:
-    """Inequality that is true for a missing value."""
-    return ~col.eqNullSafe(F.lit(value))
-
-
-def one_of(col: Column, *values) -> Column:
+def one_of(col: str, values) -> str:
     """Membership that is false, never null, for a missing value."""
-    return F.coalesce(col.isin(*values), F.lit(False))
-
-
-def blank_to_null(col: Column) -> Column:
-    """'' counts as no value."""
-    return F.nullif(col, F.lit(""))
+    return f"coalesce({col} IN ({texts(values)}), false)"
 
 
-def first_value(*cols: Column) -> Column:
-    """First candidate that is neither null nor ''."""
-    return F.coalesce(*[blank_to_null(c) for c in cols])
+def not_zero(col: str) -> str:
+    """True for a missing amount as well."""
+    return f"NOT ({col} <=> 0)"
 
 
-def sum_present(*cols: Column) -> Column:
+def sum_present(*cols: str) -> str:
     """Row-wise sum that skips missing terms (0 if all are missing)."""
-    return reduce(add, [F.coalesce(c, F.lit(0)) for c in cols])
+    return "(" + " + ".join(f"coalesce({c}, 0)" for c in cols) + ")"
 
 
-def all_present(*names: str) -> Column:
+def all_present(*cols: str) -> str:
     """True where none of the columns is null: the rows a grouped report keeps."""
-    return reduce(and_, [F.col(n).isNotNull() for n in names])
+    return " AND ".join(f"{c} IS NOT NULL" for c in cols)
 
 
-def tokens_to_null(col: Column, tokens) -> Column:
-    return F.when(~col.isin(*tokens), col)
+def tokens_to_null(col: str, tokens) -> str:
+    return f"CASE WHEN {col} NOT IN ({texts(tokens)}) THEN {col} END"

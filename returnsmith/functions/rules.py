@@ -1,15 +1,12 @@
-"""Business rules of the position, ledger, register and facility tables, one Column each.
+"""Business rules of the position, ledger, register and facility tables, one expression each.
 
-Every rule is a ``when`` chain over columns of its own row: first true condition wins.
+Every rule reads columns of its own row only. In a ``CASE`` the first true condition wins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from returnsmith.functions.maturity import ON_DEMAND, tenor_code
-from returnsmith.functions.nulls import is_value, not_value, one_of
+from returnsmith.functions.nulls import not_zero, one_of, text, texts
 
 FEE_CODE = "8475"
 # instrument classes whose account code is the tail of the deal type (fixed values)
@@ -21,89 +18,76 @@ REGISTER_SYSTEMS = ("2", "002")
 LOAN_COAS = ("BLS-AST-LOANS-PLAIN", "BLS-AST-LOANS-TF")
 HOME_CUSTOMER = "1060000001"
 
-c = F.col
-
-
-def category() -> Column:
-    """Return line: by side, and for off-balance rows by the sign of their valuation."""
-    off = F.when(is_value(c("rca_mtm_negative"), 0), c("cat_off_asset")).otherwise(c("cat_off_liability"))
-    return (F.when(c("ale") == "A", c("cat_asset")).when(c("ale") == "L", c("cat_liability"))
-            .when(c("ale") == "OB", off).otherwise("NA"))
 
-
-def china_if_unknown(col: Column, any_case: bool = False) -> Column:
+def china_if_unknown(col: str) -> str:
     """'XX' stands for the home group's country."""
-    return F.when((F.upper(col) if any_case else col) == "XX", "CN").otherwise(col)
-
+    return f"CASE WHEN {col} = 'XX' THEN 'CN' ELSE {col} END"
 
-def counterparty_country() -> Column:
-    return (F.when(c("customer_nr") == "NULL", "NULL")
-            .otherwise(F.coalesce(china_if_unknown(c("domicile"), any_case=True), F.lit("NULL"))))
 
+def account_tail(col: str) -> str:
+    return f"right({col}, 4)"
 
-def counterparty_sector() -> Column:
-    return (F.when((c("ale") == "L") & (c("category") == "(7)"), "Unallocated")
-            .when((c("ide_linkage_type") == "1") & (c("customer_nr") == HOME_CUSTOMER), "Unallocated")
-            .when(c("rv_rel_party_type").isin("DE", "DEFAULT"), c("sector_by_party"))
-            .otherwise(c("sector_by_related")))
 
-
-def report_key() -> Column:
-    return F.concat_ws("|", *[F.coalesce(c(n), F.lit("NA")) for n in ("report_ccy", "vis_sector", "vis_country")])
-
-
-def source_class() -> Column:
-    return (F.when(is_value(c("ide_linkage_type"), "10"), c("class_by_coa")).otherwise(c("class_by_link")))
+def period_check(now: str, before: str) -> str:
+    """'NEW' without a value of the period before, else whether both agree."""
+    return (f"CASE WHEN {before} IS NULL OR {before} = '' THEN 'NEW' WHEN {before} = {now} THEN 'true' "
+            "ELSE 'false' END")
 
 
-def account_tail(col: Column) -> Column:
-    return F.right(col, F.lit(4))
+# return line: by side, and for off-balance rows by the sign of their valuation
+CATEGORY = """CASE ale WHEN 'A' THEN cat_asset WHEN 'L' THEN cat_liability
+    WHEN 'OB' THEN CASE WHEN rca_mtm_negative = 0 THEN cat_off_asset ELSE cat_off_liability END
+    ELSE 'NA' END"""
 
+COUNTERPARTY_COUNTRY = """CASE WHEN customer_nr = 'NULL' THEN 'NULL' WHEN upper(domicile) = 'XX' THEN 'CN'
+    ELSE coalesce(domicile, 'NULL') END"""
 
-def deal_code() -> Column:
-    return (F.when(c("source_class").isin(*DEAL_CLASSES), account_tail(c("deal_type")))
-            .when(c("source_class") == BACK_OFFICE_CLASS, F.left(c("ide_linkage_ref"), F.lit(4)))
-            .when(c("source_class") == FEE_CLASS, FEE_CODE).otherwise("NA"))
+COUNTERPARTY_SECTOR = f"""CASE WHEN ale = 'L' AND category = '(7)' THEN 'Unallocated'
+    WHEN ide_linkage_type = '1' AND customer_nr = {text(HOME_CUSTOMER)} THEN 'Unallocated'
+    WHEN rv_rel_party_type IN ('DE', 'DEFAULT') THEN sector_by_party
+    ELSE sector_by_related END"""
 
+KEY = "concat_ws('|', coalesce(report_ccy, 'NA'), coalesce(vis_sector, 'NA'), coalesce(vis_country, 'NA'))"
 
-def valuation_code() -> Column:
-    """Valuation account of a derivative; a missing valuation counts as non-zero."""
-    return (F.when(one_of(c("ide_linkage_type"), *DERIVATIVE_LINKS),
-                   F.when(not_value(c("rca_mtm_negative"), 0), c("account_if_negative"))
-                   .when(not_value(c("rca_mtm_positive"), 0), c("account_if_positive"))
-                   .otherwise("ERROR"))
-            .otherwise("NA"))
+SOURCE_CLASS = "CASE WHEN ide_linkage_type = '10' THEN class_by_coa ELSE class_by_link END"
 
+DEAL_CODE = f"""CASE WHEN source_class IN ({texts(DEAL_CLASSES)}) THEN {account_tail('deal_type')}
+    WHEN source_class = {text(BACK_OFFICE_CLASS)} THEN left(ide_linkage_ref, 4)
+    WHEN source_class = {text(FEE_CLASS)} THEN {text(FEE_CODE)} ELSE 'NA' END"""
 
-def nationality_known() -> Column:
-    return F.coalesce(F.nullif(c("nationality"), F.lit("YY")), china_if_unknown(c("domicile")), F.lit("NULL"))
+INTEREST_CODE = "coalesce(interest_found, 'NA')"
 
+# valuation account of a derivative; a missing valuation counts as non-zero
+VALUATION_CODE = f"""CASE WHEN {one_of('ide_linkage_type', DERIVATIVE_LINKS)} THEN
+    CASE WHEN {not_zero('rca_mtm_negative')} THEN account_if_negative
+         WHEN {not_zero('rca_mtm_positive')} THEN account_if_positive ELSE 'ERROR' END
+    ELSE 'NA' END"""
 
-def remaining_maturity(on_demand: Column) -> Column:
-    return (F.when(is_value(c("source_table"), "FASM"), tenor_code(c("value_date"), c("maturity_date")))
-            .when(on_demand, ON_DEMAND)
-            .otherwise(F.coalesce(c("rv_mat_remaining").cast("int"), F.lit(0))))
+NATIONALITY = f"coalesce(nullif(nationality, 'YY'), {china_if_unknown('domicile')}, 'NULL')"
 
+REMAINING_MATURITY = f"""CASE WHEN source_table = 'FASM' THEN {tenor_code('value_date', 'maturity_date')}
+    WHEN is_on_demand THEN {ON_DEMAND}
+    ELSE coalesce(CAST(rv_mat_remaining AS int), 0) END"""
 
-def risk_country(found: Column, registered: Column) -> Column:
-    """Registered country of a listed row (even if blank there), else by nationality."""
-    by_rule = F.when(is_value(c("nationality"), "YY"), c("vis_country")).otherwise(c("nationality_derived"))
-    return F.when(found, registered).otherwise(by_rule)
+IS_FEE = f"(deal_code <=> {text(FEE_CODE)})"
 
+# registered country of a listed row (even if blank there), else by nationality; fee rows are
+# listed by customer, all others by reference
+RISK_COUNTRY = f"""CASE WHEN {IS_FEE} AND listed_by_customer THEN country_by_customer
+    WHEN NOT {IS_FEE} AND listed_by_ref THEN country_by_ref
+    WHEN nationality = 'YY' THEN vis_country ELSE nationality_derived END"""
 
-def risk_transfer() -> Column:
-    return F.when(c("risk_in") == c("vis_country"), "N").otherwise("Y")
+RISK_TRANSFER = "CASE WHEN risk_in = vis_country THEN 'N' ELSE 'Y' END"
 
+RISK_SECTOR = f"CASE WHEN source_system IN ({texts(REGISTER_SYSTEMS)}) THEN type_by_ref ELSE vis_sector END"
 
-def risk_sector(registered: Column) -> Column:
-    return F.when(one_of(c("source_system"), *REGISTER_SYSTEMS), registered).otherwise(c("vis_sector"))
+SIGNED_LEDGER_AMOUNT = f"CASE WHEN ap_code = {text(FEE_CODE)} THEN -aud_equivalent ELSE aud_equivalent END"
 
+# a missing book value passes
+IS_LOAN = f"rv_coa IN ({texts(LOAN_COAS)}) AND {not_zero('rca_bookv')}"
 
-def period_check(now: Column, before: Column) -> Column:
-    """'NEW' without a value of the period before, else whether both agree."""
-    return (F.when(before.isNull() | (before == ""), "NEW")
-            .when(is_value(before == now, True), "true").otherwise("false"))
+REGISTER_COUNTRY = "coalesce(this_country, CASE WHEN nationality = 'YY' THEN domicile ELSE nationality END)"
 
+REGISTER_TYPE = f"CASE WHEN trim(ide_sourcesys_ref) IN ({texts(REGISTER_SYSTEMS)}) THEN this_type ELSE vis_sector END"
 
-def signed_ledger_amount() -> Column:
-    return F.when(is_value(c("ap_code"), FEE_CODE), -c("aud_equivalent")).otherwise(c("aud_equivalent"))
+FACILITY_COUNTRY = f"coalesce(registered, {china_if_unknown('domicile')}, 'N/A')"

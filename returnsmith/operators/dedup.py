@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from returnsmith.operators.lookup import key_match
@@ -24,35 +24,36 @@ def _content(df: DataFrame, ignore: str, order_by: str | None) -> list[str]:
 def drop_repeats(df: DataFrame, ignore: str, order_by: str | None = None) -> DataFrame:
     """One row per set of rows equal but for ``ignore``: the one with its highest value, a missing
     value being the lowest. ``order_by`` (a row number, not content) settles ties: earliest first."""
-    rank = [F.col(ignore).alias("_value"), *([(-F.col(order_by)).alias("_order")] if order_by else [])]
-    best = df.groupBy(*_content(df, ignore, order_by)).agg(F.max(F.struct(*rank)).alias("_best"))
-    best = best.withColumn(ignore, F.col("_best._value"))
-    if order_by:
-        best = best.withColumn(order_by, -F.col("_best._order"))
-    return best.select(*df.columns)
+    order = f", -{order_by} AS _order" if order_by else ""
+    best = df.groupBy(*_content(df, ignore, order_by)).agg(F.expr(f"max(struct({ignore} AS _value{order})) AS _best"))
+    held = {ignore: "_best._value", order_by: "-_best._order"}
+    return best.selectExpr(*[f"{held[n]} AS {n}" if n in held else n for n in df.columns])
 
 
 def repeats(df: DataFrame, ignore: str, order_by: str | None = None, lanes: int = LANES) -> DataFrame:
     """All rows of each set of rows equal but for ``ignore``, except the last one: the lowest value.
 
     Rows are dealt to lanes by input partition. The last row of each lane is a candidate, all
-    others are surely repeats; the second step compares only candidates, at most one per lane.
+    others are surely repeats; the second step compares only candidates, at most one per lane,
+    while the rest stay spread by lane.
     """
-    content = _content(df, ignore, order_by)
-    last_first = [F.col(ignore).asc_nulls_first(), *([F.col(order_by).desc()] if order_by else [])]
-    dealt = (df.withColumn("_lane", F.spark_partition_id() % lanes)
-             .withColumn("_rank", F.row_number().over(Window.partitionBy(*content, "_lane").orderBy(*last_first))))
-    # candidates of a group meet in one place, the rest stay spread by lane
-    meet = F.when(F.col("_rank") == 1, F.lit(-1)).otherwise(F.col("_lane"))
-    among = Window.partitionBy(*content, "_meet").orderBy(*last_first)
-    ranked = dealt.withColumn("_meet", meet).withColumn("_among", F.row_number().over(among))
-    return ranked.where((F.col("_rank") > 1) | (F.col("_among") > 1)).select(*df.columns)
+    content = ", ".join(_content(df, ignore, order_by))
+    order = f"{ignore} ASC NULLS FIRST" + (f", {order_by} DESC" if order_by else "")
+
+    def rank(among: str) -> str:
+        return f"row_number() OVER (PARTITION BY {content}, {among} ORDER BY {order})"
+
+    dealt = df.selectExpr("*", f"spark_partition_id() % {lanes} AS _lane")
+    ranked = dealt.selectExpr("*", f"{rank('_lane')} AS _in_lane")
+    met = ranked.selectExpr("*", "CASE WHEN _in_lane = 1 THEN -1 ELSE _lane END AS _meet")
+    judged = met.selectExpr("*", f"{rank('_meet')} AS _among")
+    return judged.where("_in_lane > 1 OR _among > 1").select(*df.columns)
 
 
 def duplicate_sets(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row whose key occurs more than once; missing keys count as equal."""
-    often = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count("*").alias("_n")).where("_n > 1")
-    return df.join(often, key_match({k: f"_k_{k}" for k in keys}, True), "left_semi")
+    often = df.groupBy(*[F.expr(f"{k} AS _k_{k}") for k in keys]).agg(F.expr("count(*) AS _n")).where("_n > 1")
+    return df.join(often, F.expr(key_match({k: f"_k_{k}" for k in keys}, True)), "left_semi")
 
 
 def merge_log(previous: DataFrame, new: DataFrame) -> DataFrame:

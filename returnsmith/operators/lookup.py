@@ -10,23 +10,41 @@ table may grow without any change here.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
-from operator import and_
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from returnsmith.functions.nulls import text
+
 SMALL_BYTES = 10 * 1024 * 1024
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """One step of an enrichment chain: data columns -> lookup keys, lookup values -> new columns."""
+    """One step of an enrichment chain: data columns -> lookup keys, lookup values -> new columns.
+
+    ``flag`` names an additional column that tells whether the key was found. Lookup tables hold ''
+    instead of null, so plain equality matches all that a null-safe one would; a computed table
+    with missing keys needs ``null_safe``.
+    """
 
     table: str
     on: Mapping[str, str]
-    values: Mapping[str, str]
+    values: Mapping[str, str] = field(default_factory=dict)
+    flag: str | None = None
+    null_safe: bool = False
+
+
+def inline_table(spark: SparkSession, columns: str, rows: Sequence[Sequence]) -> DataFrame:
+    """A small fixed table (text or whole numbers) as literal rows, whose size Spark knows."""
+    def literal(value) -> str:
+        if value is None:
+            return "CAST(NULL AS string)"
+        return text(value) if isinstance(value, str) else str(value)
+
+    body = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns.split())})")
 
 
 def known_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
@@ -43,20 +61,50 @@ def prepare(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: df.coalesce(1) if known_small(df) else df for name, df in dims.items()}
 
 
-def one_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str], order_by: str = "seq",
+def key_match(pairs: Mapping[str, str], null_safe: bool) -> str:
+    """Equality of the column pairs; ``null_safe`` lets missing keys meet missing keys."""
+    return " AND ".join(f"{a} {'<=>' if null_safe else '='} {b}" for a, b in pairs.items())
+
+
+def one_per_key(dim: DataFrame, keys: Mapping[str, str], values: Mapping[str, str], order_by: str,
                 keep: str = "first") -> DataFrame:
     """The first (or last) row of each key in ``order_by``; rows equal in it are told apart by
     their values. An aggregate, not a window: copies of a hot key are combined before the shuffle."""
-    pick = {"first": F.min, "last": F.max}[keep]
-    row = pick(F.struct(F.col(order_by).alias("_order"), *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)]))
-    picked = df.groupBy(*keys).agg(row.alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[f"_v{i}"].alias(f"_v{i}") for i in range(len(values))])
-
-
-def key_match(pairs: Mapping[str, str], null_safe: bool) -> Column:
-    """Equality of the column pairs; ``null_safe`` lets missing keys meet missing keys."""
-    return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
-                         for a, b in pairs.items()])
+    pick = {"first": "min", "last": "max"}[keep]
+    held = "".join(f", {v} AS _v{i}" for i, v in enumerate(values))
+    picked = (dim.groupBy(*[F.expr(f"{k} AS {n}") for k, n in keys.items()])
+              .agg(F.expr(f"{pick}(struct({order_by} AS _order{held})) AS _row")))
+    return picked.selectExpr(*keys.values(), *[f"_row._v{i} AS {n}" for i, n in enumerate(values.values())])
+
+
+def _join(df: DataFrame, dim: DataFrame, step: Lookup, number: int, order_by: str | None, keep: str,
+          trim_keys: bool = False) -> tuple[DataFrame, list[str]]:
+    """The joined frame and the names of the helper columns it still carries."""
+    keys = {f"trim({k})" if trim_keys else k: f"_k{number}_{i}" for i, k in enumerate(dict.fromkeys(step.on.values()))}
+    flag = f"_hit{number}"
+    if order_by:
+        dim = one_per_key(dim, keys, step.values, order_by, keep)
+        if step.flag:
+            dim = dim.selectExpr("*", f"true AS {flag}")
+    else:
+        dim = dim.selectExpr(*[f"{k} AS {n}" for k, n in keys.items()],
+                             *[f"{v} AS {n}" for v, n in step.values.items()], *([f"true AS {flag}"] if step.flag else []))
+    pairs = {(f"trim({main})" if trim_keys else main): keys[f"trim({key})" if trim_keys else key]
+             for main, key in step.on.items()}
+    df = df.join(dim, F.expr(key_match(pairs, step.null_safe)), "left")
+    if step.flag:
+        df = df.selectExpr("*", f"coalesce({flag}, false) AS {step.flag}")
+    return df, [*keys.values(), *([flag] if step.flag else [])]
+
+
+def _refuse_clash(df: DataFrame, steps: Sequence[Lookup]) -> None:
+    made = list(df.columns)
+    for step in steps:
+        new = [*step.values.values(), *([step.flag] if step.flag else [])]
+        clash = set(new) & set(made)
+        if clash:
+            raise ValueError(f"lookup '{step.table}' would overwrite {sorted(clash)}")
+        made += new
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], values: Mapping[str, str],
@@ -67,67 +115,45 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], values: Mapping
     One row per key survives (``keep``, in ``order_by``; None if keys are unique already), so
     the row count never changes. ``match_flag`` names a column telling whether a key was found.
     """
-    clash = (set(values.values()) | {match_flag}) & set(df.columns)
-    if clash:
-        raise ValueError(f"lookup would overwrite {sorted(clash)}")
-    keys = {k: f"_k{i}" for i, k in enumerate(dict.fromkeys(on.values()))}
-    dim = dim.select(*[(F.trim(F.col(k)) if trim_keys else F.col(k)).alias(n) for k, n in keys.items()],
-                     *[F.col(v).alias(f"_in{i}") for i, v in enumerate(values)],
-                     *([F.col(order_by).alias("_seq")] if order_by else []))
-    held = [f"_in{i}" for i in range(len(values))]
-    if order_by:
-        dim = one_per_key(dim, list(keys.values()), held, "_seq", keep)
-        held = [f"_v{i}" for i in range(len(values))]
-    dim = dim.select(*keys.values(), *[F.col(h).alias(n) for h, n in zip(held, values.values())],
-                     *([F.lit(True).alias("_hit")] if match_flag else []))
-    data_keys = {}
-    for i, (main, key) in enumerate(on.items()):
-        if trim_keys:
-            df = df.withColumn(f"_m{i}", F.trim(main))
-        data_keys[f"_m{i}" if trim_keys else main] = keys[key]
-    out = df.join(dim, key_match(data_keys, null_safe), "left")
-    if match_flag:
-        out = out.withColumn(match_flag, F.coalesce("_hit", F.lit(False)))
-    return out.drop("_hit", *keys.values(), *[f"_m{i}" for i in range(len(on))])
-
-
-def _table(dims: Mapping[str, DataFrame], name: str) -> DataFrame:
-    if name not in dims:
-        raise ValueError(f"lookup table '{name}' not found")
-    return dims[name]
-
-
-def apply_chain(df: DataFrame, specs: Sequence[Lookup], dims: Mapping[str, DataFrame]) -> DataFrame:
-    """All lookups of a chain in order; a later one may read columns of an earlier one.
-    Lookup tables hold '' instead of null, so plain equality matches all a null-safe one would."""
-    for spec in specs:
-        df = lookup(df, _table(dims, spec.table), spec.on, spec.values, null_safe=False)
-    return df
-
-
-def unmatched(df: DataFrame, specs: Sequence[Lookup], dims: Mapping[str, DataFrame]) -> DataFrame:
+    step = Lookup("lookup", on, values, match_flag, null_safe)
+    _refuse_clash(df, [step])
+    joined, helpers = _join(df, dim, step, 0, order_by, keep, trim_keys)
+    return joined.drop(*helpers)
+
+
+def apply_chain(df: DataFrame, steps: Sequence[Lookup], dims: Mapping[str, DataFrame]) -> DataFrame:
+    """All lookups of a chain in order; a later one may read columns of an earlier one."""
+    missing = [s.table for s in steps if s.table not in dims]
+    if missing:
+        raise ValueError(f"lookup tables not found: {missing}")
+    _refuse_clash(df, steps)
+    helpers: list[str] = []
+    for number, step in enumerate(steps):
+        df, more = _join(df, dims[step.table], step, number, "seq", "first")
+        helpers += more
+    return df.drop(*helpers)
+
+
+def unmatched(df: DataFrame, steps: Sequence[Lookup], dims: Mapping[str, DataFrame]) -> DataFrame:
     """Rows without a lookup entry, one line per step of the chain, in one pass over the data."""
-    flags = [f"_hit{i}" for i in range(len(specs))]
-    for spec, flag in zip(specs, flags):
-        df = lookup(df, _table(dims, spec.table), spec.on, spec.values, null_safe=False, match_flag=flag)
-    counts = df.agg(*[F.count_if(~F.col(f)).alias(f) for f in flags])
-    lines = [F.struct(F.lit(i).alias("step"), F.lit(s.table).alias("lookup_table"),
-                      F.lit("+".join(s.on)).alias("data_key"), F.col(f).alias("unmatched_rows"))
-             for i, (s, f) in enumerate(zip(specs, flags))]
-    return counts.select(F.inline(F.array(*lines)))
-
-
-def routed_lookup(df: DataFrame, route: Column, dim: DataFrame, on: Sequence[str], value: str,
-                  name: str) -> DataFrame:
+    flagged = [Lookup(s.table, s.on, s.values, f"found{i}", s.null_safe) for i, s in enumerate(steps)]
+    counts = apply_chain(df, flagged, dims).agg(*[F.expr(f"count_if(NOT {s.flag}) AS {s.flag}") for s in flagged])
+    lines = ", ".join(
+        f"struct({i} AS step, {text(s.table)} AS lookup_table, {text('+'.join(s.on))} AS data_key, {s.flag} AS unmatched_rows)"
+        for i, s in enumerate(flagged))
+    return counts.selectExpr(f"inline(array({lines}))")
+
+
+def routed_lookup(df: DataFrame, route: str, dim: DataFrame, on: Sequence[str], value: str, name: str) -> DataFrame:
     """Lookup whose keys are chosen by row, with fallbacks.
 
     ``route`` is an array of structs holding the key fields ``on``, most wanted first; the
     first one that finds a value other than null or '' wins. All candidates go through a single join.
     Rows of ``df`` must be distinct, and ``dim`` unique by ``on``.
     """
-    tries = df.select(*df.columns, F.posexplode_outer(route).alias("_try", "_key"))
-    tries = tries.select(*df.columns, "_try", *[F.col("_key")[k].alias(f"_t_{k}") for k in on])
-    dim = dim.select(*[F.col(k).alias(f"_d_{k}") for k in on], F.col(value).alias("_found"))
-    found = tries.join(dim, key_match({f"_t_{k}": f"_d_{k}" for k in on}, False), "left")
-    best = F.min(F.when(F.col("_found") != "", F.struct("_try", "_found")))
-    return found.groupBy(*df.columns).agg(best.alias("_best")).select(*df.columns, F.col("_best._found").alias(name))
+    own = df.columns
+    tries = df.selectExpr(*own, f"posexplode_outer({route}) AS (_try, _key)")
+    found = dim.selectExpr(*[f"{k} AS _d_{k}" for k in on], f"{value} AS _found")
+    joined = tries.join(found, F.expr(key_match({f"_key.{k}": f"_d_{k}" for k in on}, False)), "left")
+    best = joined.groupBy(*own).agg(F.expr("min(CASE WHEN _found <> '' THEN struct(_try, _found) END) AS _best"))
+    return best.selectExpr(*own, f"_best._found AS {name}")

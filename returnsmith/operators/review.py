@@ -4,34 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from returnsmith.functions.nulls import not_value
 from returnsmith.operators.lookup import key_match
 
-PENDING, DONE = "PENDING", "DONE"
-ACTIONS = ("delete", "update", "insert")
-
-
-def action() -> Column:
-    return F.lower(F.coalesce("record_action", F.lit("")))
-
-
-def is_pending() -> Column:
-    return not_value(F.col("status"), DONE)
+ACTION = "lower(coalesce(record_action, ''))"
+IS_PENDING = "NOT (status <=> 'DONE')"
 
 
 def with_status(log: DataFrame) -> DataFrame:
     """A log nobody has worked on yet has no status: all its rows are pending."""
-    return log if "status" in log.columns else log.withColumn("status", F.lit(PENDING))
+    return log if "status" in log.columns else log.selectExpr("*", "'PENDING' AS status")
 
 
 def delete_listed(df: DataFrame, listed: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Rows whose key is not listed; missing keys meet missing keys."""
     keys = list(keys or df.columns)
-    listed = listed.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-    return df.join(listed, key_match({k: f"_k_{k}" for k in keys}, True), "left_anti")
+    listed = listed.selectExpr(*[f"{k} AS _k_{k}" for k in keys])
+    return df.join(listed, F.expr(key_match({k: f"_k_{k}" for k in keys}, True)), "left_anti")
 
 
 def apply_actions(df: DataFrame, log: DataFrame, keys: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -42,8 +33,9 @@ def apply_actions(df: DataFrame, log: DataFrame, keys: Sequence[str] | None = No
     skipped: a second run changes nothing.
     """
     log = with_status(log)
-    pending = log.where(is_pending())
-    kept = delete_listed(df, pending.where(action().isin("delete", "update")), keys)
-    added = pending.where(action().isin("update", "insert")).select(*df.columns)
-    handled = is_pending() & action().isin(*ACTIONS)
-    return kept.unionByName(added), log.withColumn("status", F.when(handled, DONE).otherwise(F.col("status")))
+    pending = log.where(IS_PENDING)
+    kept = delete_listed(df, pending.where(f"{ACTION} IN ('delete', 'update')"), keys)
+    added = pending.where(f"{ACTION} IN ('update', 'insert')").select(*df.columns)
+    handled = f"{IS_PENDING} AND {ACTION} IN ('delete', 'update', 'insert')"
+    marked = log.withColumn("status", F.expr(f"CASE WHEN {handled} THEN 'DONE' ELSE status END"))
+    return kept.unionByName(added), marked

@@ -12,9 +12,17 @@ POSITION_CHAIN = (
     Lookup("source_class", {"ide_linkage_type": "linkage_type"}, {"source_class": "class_by_link"}),
 )
 
+# asked with the account code the row rules derive
+ACCOUNT_CHAIN = (
+    Lookup("interest", {"deal_code": "principal_code"}, {"interest_code": "interest_found"}),
+    Lookup("valuation", {"deal_code": "exposure_code"},
+           {"positive_code": "account_if_positive", "negative_code": "account_if_negative"}),
+    Lookup("on_demand", {"deal_code": "ap_code"}, flag="is_on_demand"),
+)
+
 LEDGER_CHAIN = (
     Lookup("account", {"ap_code": "ap_code"}, {"coa": "rv_coa"}),
-    Lookup("guarantee", {"ap_code": "deal_type"}, {"guarantee": "g"}),
+    Lookup("guarantee", {"ap_code": "deal_type"}, {"guarantee": "guarantee"}),
     Lookup("category", {"rv_coa": "coa"}, {"ale": "ale"}),
     Lookup("valuation", {"ap_code": "positive_code"}, {"positive_code": "positive_code"}),
     Lookup("valuation", {"ap_code": "negative_code"}, {"negative_code": "negative_code"}),
@@ -25,6 +33,14 @@ REGISTER_CHAIN = (
     Lookup("register_last", {"ide_linkage_ref": "deal_id"}, {"country": "last_country", "type": "last_type"}),
 )
 
+# the computed register may hold missing keys
+CUSTOMER_RISK = Lookup("register", {"customer_nr": "customer_nr"}, {"this_country": "country_by_customer"},
+                       flag="listed_by_customer", null_safe=True)
+REFERENCE_RISK = Lookup("register", {"ide_linkage_ref": "ide_linkage_ref"},
+                        {"this_country": "country_by_ref", "this_type": "type_by_ref"}, flag="listed_by_ref",
+                        null_safe=True)
+
 FACILITY_CHAIN = (
-    Lookup("guarantee", {"ap_code": "deal_type"}, {"guarantee": "guarantee"}),
+    Lookup("guarantee", {"ap_code": "deal_type"}, {"guarantee": "guarantee_found"}),
+    Lookup("register", {"customer_nr": "customer_nr"}, {"this_country": "registered"}, null_safe=True),
 )

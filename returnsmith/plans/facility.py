@@ -5,18 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from returnsmith.functions import rules
-from returnsmith.operators.lookup import apply_chain, lookup
+from returnsmith.operators.lookup import apply_chain
 from returnsmith.plans.chains import FACILITY_CHAIN
 
 
 def enrich_facility(df: DataFrame, register: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """``register`` is the computed register, asked by customer."""
-    coded = df.withColumn("ap_code", rules.account_tail(F.col("deal_type")))
-    mapped = apply_chain(coded, FACILITY_CHAIN, dims)
-    found = lookup(mapped, register, {"customer_nr": "customer_nr"}, {"this_country": "_registered"})
-    country = F.coalesce(F.col("_registered"), rules.china_if_unknown(F.col("domicile")), F.lit("N/A"))
-    return (found.withColumns({"risk_country": country, "guarantee": F.coalesce("guarantee", F.lit(""))})
-            .drop("_registered"))
+    """``register`` is the computed register, asked by customer like any other lookup table."""
+    coded = df.selectExpr("*", f"{rules.account_tail('deal_type')} AS ap_code")
+    return apply_chain(coded, FACILITY_CHAIN, {**dims, "register": register}).selectExpr(
+        *coded.columns, "coalesce(guarantee_found, '') AS guarantee", f"{rules.FACILITY_COUNTRY} AS risk_country")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from returnsmith.functions import rules
 from returnsmith.operators.lookup import apply_chain
@@ -14,10 +13,6 @@ from returnsmith.plans.chains import LEDGER_CHAIN
 
 def enrich_ledger(df: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Chart of accounts, side, guarantee class, derivative account and signed amount."""
-    mapped = apply_chain(df, LEDGER_CHAIN, dims)
-    return mapped.withColumns({
-        "ccy": F.col("currency"),
-        "derivatives": F.coalesce("positive_code", "negative_code"),
-        "g": F.coalesce("g", F.lit("")),
-        "amount": rules.signed_ledger_amount(),
-    }).drop("positive_code", "negative_code")
+    return apply_chain(df, LEDGER_CHAIN, dims).selectExpr(
+        *df.columns, "rv_coa", "coalesce(guarantee, '') AS g", "ale", "currency AS ccy",
+        "coalesce(positive_code, negative_code) AS derivatives", f"{rules.SIGNED_LEDGER_AMOUNT} AS amount")

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from returnsmith.operators.dedup import drop_repeats, merge_log, repeats
 from returnsmith.operators.review import apply_actions
@@ -22,13 +21,18 @@ from returnsmith.plans.reconcile import (derivatives_check, gl_breaks, off_balan
                                          reconcile)
 from returnsmith.plans.register import build_register, refresh_register_log
 from returnsmith.functions.money import as_double
-from returnsmith.schemas import FACILITY, LEDGER, POSITIONS
+from returnsmith.schemas import FACILITY, LEDGER, MEASURES, POSITIONS
 from returnsmith.session import settle
 from returnsmith.sources.readers import conform
 
 Tables = Mapping[str, DataFrame]
 Settle = Callable[[DataFrame, str], DataFrame]
 
+# what the reconciliations and reports read of the enriched positions
+REPORTED = ("seq", "ale", "category", "report_ccy", "vis_sector", "vis_country", "key", "currency", "deal_code",
+            "interest_code", "valuation_code", "rv_mat_remaining", "rv_mat_remaining_derived", "risk_in",
+            "risk_transfer", "risk_in_sector", *MEASURES)
+
 
 def initial_run(raw: Tables, dims: Tables, duplicates_before: DataFrame | None = None) -> dict[str, Tables]:
     """De-duplicate and enrich the positions, build the register, and open the review logs.
@@ -47,10 +51,11 @@ def initial_run(raw: Tables, dims: Tables, duplicates_before: DataFrame | None =
     }
 
 
-def rebuild(tables: Tables, dims: Tables) -> dict[str, DataFrame]:
-    """All tables anew from their raw columns: positions, register, facility, risk, ledger."""
+def rebuild(tables: Tables, dims: Tables, share: Settle = settle) -> dict[str, DataFrame]:
+    """All tables anew from their raw columns: positions, register, facility, risk, ledger. The
+    register serves positions and facilities, so it is settled first."""
     positions = enrich_positions(conform(tables["positions"], POSITIONS, ["seq"]), dims)
-    register = build_register(positions, dims["register_now"], dims["register_last"])
+    register = share(build_register(positions, dims["register_now"], dims["register_last"]), "register")
     return {
         "positions": add_risk(positions, register),
         "register": register,
@@ -86,13 +91,14 @@ def final_run(tables: Tables, dims: Tables, in_millions: bool = False, share: Se
     The positions are read four times, each time for a few columns: for the account cells, the country
     figures, the asset and the liability lines. All else works on the small results, which ``share`` settles.
     """
-    cells = share(position_cells(tables["positions"]), "cells")
+    positions = tables["positions"]
+    cells = share(position_cells(positions), "cells")
     rec = share(reconcile(tables["ledger"], cells), "reconciliation")
-    table = share(reports.country_report(tables["positions"], tables["facility"], rec, dims["country"]), "country")
-    check = off_balance_check(tables["ledger"], tables["facility"], reports.part(table, "e"))
+    table = share(reports.country_report(positions, tables["facility"], rec, dims["country"]), "country")
+    check = share(off_balance_check(tables["ledger"], tables["facility"], reports.part(table, "e")), "check")
     table = reports.with_off_balance(table, check)
-    out = {"assets": reports.assets_report(tables["positions"], rec),
-           "liabilities": reports.liabilities_report(tables["positions"], rec),
+    out = {"assets": reports.assets_report(positions, rec),
+           "liabilities": reports.liabilities_report(positions, rec),
            "ledger_check": as_double(rec), "off_balance_check": as_double(check),
            "derivatives_check": as_double(derivatives_check(cells, tables["ledger"], dims)),
            "ledger_breaks": as_double(gl_breaks(rec))}
@@ -101,8 +107,3 @@ def final_run(tables: Tables, dims: Tables, in_millions: bool = False, share: Se
     else:
         out["country"] = reports.wide(table)
     return out
-
-
-def write_order(df: DataFrame, *keys: str) -> DataFrame:
-    """Sorted by the report keys, for tables people read."""
-    return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys])

@@ -5,75 +5,54 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from returnsmith.functions import rules
-from returnsmith.functions.nulls import is_value
-from returnsmith.operators.lookup import apply_chain, lookup
-from returnsmith.plans.chains import POSITION_CHAIN
+from returnsmith.operators.lookup import apply_chain
+from returnsmith.plans.chains import ACCOUNT_CHAIN, CUSTOMER_RISK, POSITION_CHAIN, REFERENCE_RISK
 
 Dims = Mapping[str, DataFrame]
 
+# derived columns in dependency order: a rule may read the ones above it
+ROW_RULES = {
+    "category": rules.CATEGORY,
+    "vis_country": rules.COUNTERPARTY_COUNTRY,
+    "vis_sector": rules.COUNTERPARTY_SECTOR,
+    "key": rules.KEY,
+    "source_class": rules.SOURCE_CLASS,
+    "deal_code": rules.DEAL_CODE,
+    "nationality_derived": rules.NATIONALITY,
+}
+ACCOUNT_RULES = {
+    "interest_code": rules.INTEREST_CODE,
+    "valuation_code": rules.VALUATION_CODE,
+    "rv_mat_remaining_derived": rules.REMAINING_MATURITY,
+}
+RISK_RULES = {
+    "risk_in": rules.RISK_COUNTRY,
+    "risk_transfer": rules.RISK_TRANSFER,
+    "risk_in_sector": rules.RISK_SECTOR,
+}
+
+
+def add_rules(df: DataFrame, derived: Mapping[str, str], *names: str) -> DataFrame:
+    """Derived columns (all, or the named ones), each of which may read those before it."""
+    return df.selectExpr("*", *[f"{derived[n]} AS {n}" for n in (names or derived)])
+
+
+def _made_by(*chains) -> list[str]:
+    return [n for chain in chains for step in chain for n in (*step.values.values(), step.flag) if n]
+
 
 def map_positions(df: DataFrame, dims: Dims) -> DataFrame:
     return apply_chain(df, POSITION_CHAIN, dims)
 
 
-def add_category(df: DataFrame) -> DataFrame:
-    return (df.withColumn("category", rules.category())
-            .drop("cat_asset", "cat_liability", "cat_off_asset", "cat_off_liability"))
-
-
-def add_country(df: DataFrame) -> DataFrame:
-    return df.withColumn("vis_country", rules.counterparty_country())
-
-
-def add_sector(df: DataFrame) -> DataFrame:
-    return df.withColumn("vis_sector", rules.counterparty_sector()).drop("sector_by_party", "sector_by_related")
-
-
-def add_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("key", rules.report_key())
-
-
-def add_source_class(df: DataFrame) -> DataFrame:
-    return df.withColumn("source_class", rules.source_class()).drop("class_by_coa", "class_by_link")
-
-
-def add_deal_code(df: DataFrame) -> DataFrame:
-    return df.withColumn("deal_code", rules.deal_code())
-
-
-def add_interest_code(df: DataFrame, dims: Dims) -> DataFrame:
-    found = lookup(df, dims["interest"], {"deal_code": "principal_code"}, {"interest_code": "_interest"},
-                   null_safe=False)
-    return found.withColumn("interest_code", F.coalesce("_interest", F.lit("NA"))).drop("_interest")
-
-
-def add_valuation_code(df: DataFrame, dims: Dims) -> DataFrame:
-    found = lookup(df, dims["valuation"], {"deal_code": "exposure_code"},
-                   {"positive_code": "account_if_positive", "negative_code": "account_if_negative"}, null_safe=False)
-    return (found.withColumn("valuation_code", rules.valuation_code())
-            .drop("account_if_positive", "account_if_negative"))
-
-
-def add_nationality(df: DataFrame) -> DataFrame:
-    return df.withColumn("nationality_derived", rules.nationality_known())
-
-
-def add_maturity(df: DataFrame, dims: Dims) -> DataFrame:
-    found = lookup(df, dims["on_demand"], {"deal_code": "ap_code"}, {}, match_flag="_on_demand", null_safe=False)
-    return (found.withColumn("rv_mat_remaining_derived", rules.remaining_maturity(F.col("_on_demand")))
-            .drop("_on_demand"))
-
-
 def enrich_positions(df: DataFrame, dims: Dims) -> DataFrame:
-    """Everything that needs no register: lookups, then the row rules in dependency order."""
-    return (map_positions(df, dims)
-            .transform(add_category).transform(add_country).transform(add_sector).transform(add_key)
-            .transform(add_source_class).transform(add_deal_code)
-            .transform(add_interest_code, dims).transform(add_valuation_code, dims)
-            .transform(add_nationality).transform(add_maturity, dims))
+    """Everything that needs no register: lookups, row rules, lookups by the derived account code."""
+    coded = add_rules(map_positions(df, dims), ROW_RULES)
+    found = add_rules(apply_chain(coded, ACCOUNT_CHAIN, dims), ACCOUNT_RULES)
+    helpers = set(_made_by(POSITION_CHAIN, ACCOUNT_CHAIN)) - {"ale", "report_ccy"}
+    return found.drop(*helpers)
 
 
 def add_risk(df: DataFrame, register: DataFrame) -> DataFrame:
@@ -81,18 +60,11 @@ def add_risk(df: DataFrame, register: DataFrame) -> DataFrame:
 
     Fee rows ask the register by customer, all others by reference; the risk sector always
     goes by reference. Only fee rows take part in the customer join, so the bulk of the
-    positions is shuffled once, for the reference. The register's key may be missing.
+    positions is shuffled once, for the reference.
     """
-    is_fee = is_value(F.col("deal_code"), rules.FEE_CODE)
-    fees = lookup(df.where(is_fee), register, {"customer_nr": "customer_nr"}, {"this_country": "_by_customer"},
-                  match_flag="_customer_listed")
-    rest = df.where(~is_fee).withColumns({"_by_customer": F.lit(None).cast("string"),
-                                          "_customer_listed": F.lit(False)})
-    both = lookup(fees.unionByName(rest), register, {"ide_linkage_ref": "ide_linkage_ref"},
-                  {"this_country": "_by_ref", "this_type": "_type"}, match_flag="_ref_listed")
-    found = F.when(is_fee, F.col("_customer_listed")).otherwise(F.col("_ref_listed"))
-    registered = F.when(is_fee, F.col("_by_customer")).otherwise(F.col("_by_ref"))
-    return (both.withColumn("risk_in", rules.risk_country(found, registered))
-            .withColumn("risk_transfer", rules.risk_transfer())
-            .withColumn("risk_in_sector", rules.risk_sector(F.col("_type")))
-            .drop("_by_customer", "_customer_listed", "_by_ref", "_type", "_ref_listed"))
+    dims = {"register": register}
+    fees = apply_chain(df.where(rules.IS_FEE), [CUSTOMER_RISK], dims)
+    rest = df.where(f"NOT {rules.IS_FEE}").selectExpr(
+        "*", "CAST(NULL AS string) AS country_by_customer", "false AS listed_by_customer")
+    found = apply_chain(fees.unionByName(rest), [REFERENCE_RISK], dims)
+    return add_rules(found, RISK_RULES).drop(*_made_by([CUSTOMER_RISK, REFERENCE_RISK]))

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from returnsmith.functions.nulls import is_value, not_value, sum_present
+from returnsmith.functions.nulls import not_zero, sum_present, text
 
 # reasons as reviewers know them (fixed values)
 NO_KEY = "NA key with non-zero rca"
@@ -14,21 +13,18 @@ FALSE_FLAG = "False check flag found"
 BOOK_MEASURES = ("rca_accrint", "rca_bookv", "rca_marketv", "rca_prov_coll", "rca_prov_indi")
 
 
-def _logged(df: DataFrame, reason) -> DataFrame:
-    return df.withColumns({"log_reason": reason, "record_action": F.lit("")})
-
-
 def position_issues(df: DataFrame) -> DataFrame:
     """Positions without a sector although they carry amounts, and derivatives without a valuation
     account although they are valued. A row with both faults is listed twice; both checks are
     made in one pass over the positions."""
-    no_key = F.col("vis_sector").isNull() & (sum_present(*[F.col(n) for n in BOOK_MEASURES]) != 0)
-    mtm = F.col("rca_mtm_negative") + F.col("rca_mtm_positive")
-    bad_valuation = is_value(F.col("valuation_code"), "ERROR") & not_value(mtm, 0)
-    reasons = F.array_compact(F.array(F.when(no_key, NO_KEY), F.when(bad_valuation, BAD_VALUATION)))
-    return _logged(df.where(no_key | bad_valuation), F.explode(reasons))
+    no_key = f"(vis_sector IS NULL AND {sum_present(*BOOK_MEASURES)} <> 0)"
+    bad_valuation = f"(valuation_code <=> 'ERROR' AND {not_zero('(rca_mtm_negative + rca_mtm_positive)')})"
+    reasons = f"array(CASE WHEN {no_key} THEN {text(NO_KEY)} END, CASE WHEN {bad_valuation} THEN {text(BAD_VALUATION)} END)"
+    return df.where(f"{no_key} OR {bad_valuation}").selectExpr(
+        "*", f"explode(array_compact({reasons})) AS log_reason", "'' AS record_action")
 
 
 def register_issues(df: DataFrame) -> DataFrame:
     """Register rows that differ from the period before."""
-    return _logged(df.where(F.lit("false").isin(F.col("check_country"), F.col("check_type"))), F.lit(FALSE_FLAG))
+    return df.where("check_country = 'false' OR check_type = 'false'").selectExpr(
+        "*", f"{text(FALSE_FLAG)} AS log_reason", "'' AS record_action")

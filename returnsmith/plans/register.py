@@ -2,49 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from returnsmith.functions import rules
 from returnsmith.functions.money import MONEY, half_even, total
-from returnsmith.functions.nulls import is_value, not_value, one_of
 from returnsmith.operators.lookup import apply_chain
 from returnsmith.plans.chains import REGISTER_CHAIN
 from returnsmith.schemas import REGISTER
 
+# rules over the joined registers of both periods, replacing the columns of the same name
+FILLED = {"this_country": rules.REGISTER_COUNTRY, "this_type": rules.REGISTER_TYPE,
+          "last_country": "coalesce(last_country, '')"}
+CHECKS = {"check_country": rules.period_check("this_country", "last_country"),
+          "check_type": rules.period_check("this_type", "last_type")}
+
 
 def loans(df: DataFrame) -> DataFrame:
-    """Loan rows with a book value; a missing book value passes."""
-    return df.where(F.col("rv_coa").isin(*rules.LOAN_COAS) & not_value(F.col("rca_bookv"), 0))
+    return df.where(rules.IS_LOAN)
 
 
 def reference_totals(df: DataFrame) -> DataFrame:
     """Book value per reference. An aggregate rather than a window: a hot reference is summed
     before the shuffle and the result has one row per reference."""
-    book = F.col("rca_bookv").cast(MONEY)
-    sums = df.where(F.col("ide_linkage_ref").isNotNull()).groupBy("ide_linkage_ref").agg(total(book).alias("_sum"))
-    return sums.select(F.col("ide_linkage_ref").alias("_ref"), half_even(F.col("_sum"), 1).cast("double").alias("_book"))
+    book = half_even(total(f"CAST(rca_bookv AS {MONEY})"), 1)
+    return (df.where("ide_linkage_ref IS NOT NULL").groupBy(F.expr("ide_linkage_ref AS _ref"))
+            .agg(F.expr(f"CAST({book} AS double) AS rca_bookv")))
 
 
 def with_reference_total(df: DataFrame, all_rows: DataFrame) -> DataFrame:
     """Each row's book value replaced by the total of its reference over ``all_rows``."""
-    joined = df.drop("rca_bookv").join(reference_totals(all_rows), F.col("ide_linkage_ref") == F.col("_ref"), "left")
-    return joined.withColumnRenamed("_book", "rca_bookv").drop("_ref")
+    totals = reference_totals(all_rows)
+    return df.drop("rca_bookv").join(totals, F.expr("ide_linkage_ref = _ref"), "left").drop("_ref")
 
 
 def register_rules(df: DataFrame) -> DataFrame:
     """Risk country and type of this period, those of the last, and whether they agree."""
-    by_nationality = F.when(is_value(F.col("nationality"), "YY"), F.col("domicile")).otherwise(F.col("nationality"))
-    by_register = one_of(F.trim("ide_sourcesys_ref"), *rules.REGISTER_SYSTEMS)
-    return (df.withColumns({
-        "this_country": F.coalesce(F.col("this_country"), by_nationality),
-        "this_type": F.when(by_register, F.col("this_type")).otherwise(F.col("vis_sector")),
-        "last_country": F.coalesce("last_country", F.lit(""))})
-        .withColumns({
-            "check_country": rules.period_check(F.col("this_country"), F.col("last_country")),
-            "check_type": rules.period_check(F.col("this_type"), F.col("last_type"))}))
+    kept = [n for n in df.columns if n not in CHECKS]
+    filled = df.selectExpr(*[f"{FILLED[n]} AS {n}" if n in FILLED else n for n in kept])
+    return filled.selectExpr("*", *[f"{rule} AS {n}" for n, rule in CHECKS.items()])
 
 
 def build_register(positions: DataFrame, now: DataFrame, last: DataFrame) -> DataFrame:
@@ -52,9 +48,9 @@ def build_register(positions: DataFrame, now: DataFrame, last: DataFrame) -> Dat
     of a customer or reference comes first."""
     listed = apply_chain(loans(positions), REGISTER_CHAIN, {"register_now": now, "register_last": last})
     columns = [*REGISTER.names, *(["seq"] if "seq" in positions.columns else [])]
-    return with_reference_total(listed, positions).select(*columns).transform(register_rules)
+    return register_rules(with_reference_total(listed, positions).select(*columns))
 
 
 def refresh_register_log(log: DataFrame) -> DataFrame:
     """The register rules again over a reviewed log, whose rows are all kept."""
-    return with_reference_total(log, log).select(*log.columns).transform(register_rules)
+    return register_rules(with_reference_total(log, log).select(*log.columns))

@@ -19,6 +19,9 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# clusters set the same in spark.executor.extraJavaOptions
+LONG_METHODS = "-XX:-DontCompileHugeMethods"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Set the defaults above where the session has no explicit value of its own."""
@@ -35,6 +38,8 @@ def local_session(cores: int | str = 8, app: str = "returnsmith", partitions: in
     spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
              .config("spark.sql.shuffle.partitions", str(partitions))
              .config("spark.driver.memory", memory)
+             # wide rows through many joins make long generated methods; let the JVM compile them too
+             .config("spark.driver.extraJavaOptions", LONG_METHODS)
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="run-"))

@@ -12,76 +12,72 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from returnsmith.functions.nulls import text, texts
 from returnsmith.functions.rules import FEE_CODE, account_tail
 from returnsmith.schemas import POSITIONS
 
 Tables = Mapping[str, DataFrame]
 
 # fixed values of the source systems
-FOREVER = "9999-12-31"
+FOREVER = "DATE '9999-12-31'"
 MTM_TYPES = ("ORI MTM_POSITIVE", "ORI MTM_NEGATIVE")
 FEE_VALUATION = "DEFERRED_FEE"
 COMMITMENT_VALUATION = "OBS Commitment"
 FEE_SOURCE = "FASM"
 POSITION_LINKS = ("1", "2", "3", "5", "6", "8", "9", "10", "11")
 FEE_LINK = "12"
+OWN_SYSTEM = "022"
 EXCLUDED_LEDGER_SOURCES = ("777",)
-CUSTOMER = ["nationality", "domicile", "customer_legal_name"]
-DEAL = ["entity", "deal_id", "customer_nr", "deal_type", "currency", "tfi_id", "source_table",
-        "value_date", "maturity_date", "source_system"]
+CUSTOMER = ("nationality", "domicile", "customer_legal_name")
+DEAL = ("entity", "deal_id", "customer_nr", "deal_type", "currency", "tfi_id", "source_table",
+        "value_date", "maturity_date", "source_system")
 
-c = F.col
+
+def shaped(df: DataFrame, columns: Sequence[str], **derived: str) -> DataFrame:
+    """``columns`` in order, each as it is or by its expression in ``derived``."""
+    return df.selectExpr(*[f"{derived[n]} AS {n}" if n in derived else n for n in columns])
+
+
+def _left(df: DataFrame, right: DataFrame, match: str) -> DataFrame:
+    return df.join(right, F.expr(match), "left")
+
+
+def _where_entity(df: DataFrame, entity: str | None) -> DataFrame:
+    return df if entity is None else df.where(f"entity = {text(entity)}")
 
 
 def valid_at(df: DataFrame, as_of: date | str, start: str = "start_validity_date",
              end: str = "end_validity_date", entity: str | None = None) -> DataFrame:
     """Row versions in force on a day, both ends included."""
-    day = F.lit(as_of).cast("date")
-    df = df.where((c(start) <= day) & (c(end) >= day))
-    return df if entity is None else df.where(c("entity") == entity)
+    return _where_entity(df.where(f"{start} <= DATE '{as_of}' AND {end} >= DATE '{as_of}'"), entity)
 
 
 def snapshot(df: DataFrame, as_of: date | str, date_col: str, types: Sequence[str] | None = None,
              entity: str | None = None) -> DataFrame:
     """Rows of one day, of the given valuation types."""
-    df = df.where(c(date_col) == F.lit(as_of).cast("date"))
-    if types is not None:
-        df = df.where(c("valuation_type").isin(*types))
-    return df if entity is None else df.where(c("entity") == entity)
-
-
-def _text(value: str | None) -> Column:
-    return F.lit(value).cast("string")
+    kind = "" if types is None else f" AND valuation_type IN ({texts(types)})"
+    return _where_entity(df.where(f"{date_col} = DATE '{as_of}'{kind}"), entity)
 
 
 def with_customer(df: DataFrame, customers: DataFrame, attributes: Sequence[str] = CUSTOMER) -> DataFrame:
     """Attributes of the customer version in force; rows without a customer stay."""
-    side = customers.select(c("customer_nr").alias("_customer"), *attributes)
-    return df.join(side, c("customer_nr") == c("_customer"), "left").drop("_customer")
+    side = customers.selectExpr("customer_nr AS _customer", *attributes)
+    return _left(df, side, "customer_nr = _customer").drop("_customer")
 
 
-def _plain(df: DataFrame, kind: str) -> DataFrame:
-    return df.withColumns({"tfi_id": _text(None), "source_table": F.lit(kind)}).select(*DEAL)
-
-
-def _instrument(df: DataFrame, kind: str, master: DataFrame, keep_tfi: bool) -> DataFrame:
-    """Deals whose maturity is that of their instrument."""
-    master = master.select(c("tfi_id").alias("_tfi"), c("maturity_date").alias("_matures"))
-    joined = df.drop("maturity_date").join(master, c("tfi_id") == c("_tfi"), "left")
-    return (joined.withColumns({"maturity_date": c("_matures"), "source_table": F.lit(kind),
-                                "tfi_id": c("tfi_id") if keep_tfi else _text(None),
-                                "source_system": F.lit("022")}).select(*DEAL))
+def _instrument(df: DataFrame, master: DataFrame) -> DataFrame:
+    """Deals with the maturity of their instrument."""
+    return _left(df.drop("maturity_date"), master.selectExpr("tfi_id AS _tfi", "maturity_date"), "tfi_id = _tfi")
 
 
 def _valued(df: DataFrame, valuations: DataFrame) -> DataFrame:
     """Derivative deals in the currency of their valuation, once per valuation; 'NA' without one."""
-    side = valuations.select(c("deal_id").alias("_deal"), c("currency").alias("_valued"), "valuation_type")
-    joined = df.drop("currency").join(side, c("deal_id") == c("_deal"), "left")
-    currency = F.when(c("valuation_type").isin(*MTM_TYPES), c("_valued")).otherwise("NA")
-    return joined.withColumn("currency", currency).drop("_deal", "_valued", "valuation_type")
+    side = valuations.selectExpr("deal_id AS _deal", "currency AS _currency", "valuation_type AS _type")
+    joined = _left(df.drop("currency"), side, "deal_id = _deal")
+    return joined.selectExpr("*", f"CASE WHEN _type IN ({texts(MTM_TYPES)}) THEN _currency ELSE 'NA' END AS currency")
 
 
 def transactions(tables: Tables, as_of: date | str, entity: str) -> DataFrame:
@@ -89,97 +85,81 @@ def transactions(tables: Tables, as_of: date | str, entity: str) -> DataFrame:
     def deals(name: str) -> DataFrame:
         return valid_at(tables[name], as_of, entity=entity)
 
-    def own_system(df: DataFrame) -> DataFrame:
-        return df.withColumn("source_system", F.lit("022"))
-
     def valuations(name: str, **more) -> DataFrame:
         return snapshot(tables[name], as_of, "valuation_date", MTM_TYPES, **more)
 
-    bonds = valid_at(tables["bond"], as_of).where(c("object_origin") == entity)
-    balances = snapshot(tables["back_office_balance"], as_of, "balance_date", entity=entity)
+    def kind(df: DataFrame, name: str, **derived: str) -> DataFrame:
+        return shaped(df, DEAL, **{"tfi_id": "CAST(NULL AS string)", "source_table": text(name), **derived})
+
+    own = {"source_system": text(OWN_SYSTEM)}
+    bonds = valid_at(tables["bond"], as_of).where(f"object_origin = {text(entity)}")
+    options = _valued(deals("option_deal"), valuations("option_valuation", entity=entity))
     stacked = [
-        _plain(deals("interest_account"), "iba"),
-        _plain(deals("loan"), "loan"),
-        _instrument(deals("bond_deal"), "bond", bonds, keep_tfi=True),
-        _plain(own_system(_valued(deals("forex"), valuations("forex_valuation"))), "forex"),
-        _instrument(_valued(deals("option_deal"), valuations("option_valuation", entity=entity)), "option",
-                    valid_at(tables["option"], as_of), keep_tfi=False),
-        _plain(own_system(_valued(deals("swap"), valuations("swap_valuation", entity=entity))), "swap"),
-        _plain(balances.withColumns({
-            "deal_type": c("element6"), "value_date": F.lit(FOREVER).cast("date"),
-            "maturity_date": F.lit(FOREVER).cast("date"), "source_system": F.lit("backoffice")}), "back_office"),
+        kind(deals("interest_account"), "iba"),
+        kind(deals("loan"), "loan"),
+        kind(_instrument(deals("bond_deal"), bonds), "bond", tfi_id="tfi_id", **own),
+        kind(_valued(deals("forex"), valuations("forex_valuation")), "forex", **own),
+        kind(_instrument(options, valid_at(tables["option"], as_of)), "option", **own),
+        kind(_valued(deals("swap"), valuations("swap_valuation", entity=entity)), "swap", **own),
+        kind(snapshot(tables["back_office_balance"], as_of, "balance_date", entity=entity), "back_office",
+             deal_type="element6", value_date=FOREVER, maturity_date=FOREVER, source_system="'backoffice'"),
     ]
     return with_customer(reduce(DataFrame.unionByName, stacked), valid_at(tables["customer"], as_of))
 
 
-def _shaped(df: DataFrame) -> DataFrame:
-    return df.select(*[c(f.name).cast(f.dataType).alias(f.name) for f in POSITIONS.fields])
+def _as_positions(df: DataFrame, **derived: str) -> DataFrame:
+    return df.selectExpr(*[f"CAST({derived.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
+                           for f in POSITIONS.fields])
 
 
 def fee_positions(tables: Tables, as_of: date | str, entity: str, lot_type: int) -> DataFrame:
     """Fee deals shaped as position rows: deferred amount only, everything else zero."""
-    fees = valid_at(tables["fee"], as_of, entity=entity).where(c("source_system") == FEE_SOURCE)
+    fees = valid_at(tables["fee"], as_of, entity=entity).where(f"source_system = '{FEE_SOURCE}'")
     amounts = snapshot(tables["fee_valuation"], as_of, "valuation_date", [FEE_VALUATION])
-    amounts = amounts.select(c("deal_id").alias("_deal"), "valuation_type", c("amount").alias("_amount"))
-    joined = with_customer(fees.join(amounts, c("deal_id") == c("_deal"), "left"),
-                           valid_at(tables["customer"], as_of), [*CUSTOMER, "customer_attribute1", "intercompany"])
-
-    def known(name: str) -> Column:
-        return F.coalesce(c(name), F.lit("NA"))
-
-    zero = F.lit(0)
-    return _shaped(joined.select(
-        c("entity").alias("ide_internal_party_ref"), c("deal_id").alias("ide_linkage_ref"),
-        F.lit(FEE_LINK).alias("ide_linkage_type"), c("source_system").alias("ide_sourcesys_ref"),
-        F.lit(lot_type).alias("lot_type_fk"), "rv_coa",
-        *[zero.alias(n) for n in ("rca_accrint", "rca_bookv", "rca_marketv", "rca_prov_coll", "rca_prov_indi",
-                                  "rv_mat_original", "rv_mat_remaining", "rca_mtm_negative", "rca_mtm_positive")],
-        known("customer_attribute1").alias("rv_cpty_type"), known("intercompany").alias("rv_rel_party_type"),
-        c("currency").alias("rv_currency_sub_group"),
-        F.when(c("valuation_type") == FEE_VALUATION, c("_amount")).otherwise(0).alias("rca_deferred_fee"),
-        "entity", "deal_id", "customer_nr", known("nationality").alias("nationality"),
-        known("domicile").alias("domicile"), "customer_legal_name", F.lit(FEE_CODE).alias("deal_type"),
-        "currency", _text(None).alias("tfi_id"), c("source_system").alias("source_table"), "value_date",
-        "maturity_date", F.lit("fee").alias("source_system")))
-
-
-def has_origin() -> Column:
-    """A named source system, or none and no internal counterpart; trailing blanks do not
-    count, and a missing value is neither."""
-    source, internal = F.rtrim("ide_sourcesys_ref"), F.rtrim("ide_internal_one")
-    return (source != "") | ((source == "") & (internal == ""))
+    amounts = amounts.selectExpr("deal_id AS _deal", "amount AS _amount", "true AS _valued")
+    customers = valid_at(tables["customer"], as_of)
+    joined = with_customer(_left(fees, amounts, "deal_id = _deal"), customers,
+                           (*CUSTOMER, "customer_attribute1", "intercompany"))
+    zeros = dict.fromkeys(("rca_accrint", "rca_bookv", "rca_marketv", "rca_prov_coll", "rca_prov_indi", "rv_mat_original",
+                           "rv_mat_remaining", "rca_mtm_negative", "rca_mtm_positive"), "0")
+    return _as_positions(
+        joined, **zeros, ide_internal_party_ref="entity", ide_linkage_ref="deal_id", ide_linkage_type=text(FEE_LINK),
+        ide_sourcesys_ref="source_system", lot_type_fk=str(lot_type), rv_cpty_type="coalesce(customer_attribute1, 'NA')",
+        rv_rel_party_type="coalesce(intercompany, 'NA')", rv_currency_sub_group="currency",
+        rca_deferred_fee="CASE WHEN _valued THEN _amount ELSE 0 END", nationality="coalesce(nationality, 'NA')",
+        domicile="coalesce(domicile, 'NA')", deal_type=text(FEE_CODE), tfi_id="NULL", source_table="source_system",
+        source_system="'fee'")
+
+
+# a named source system, or none and no internal counterpart; trailing blanks do not count,
+# and a missing value is neither
+HAS_ORIGIN = "(rtrim(ide_sourcesys_ref) <> '' OR (rtrim(ide_sourcesys_ref) = '' AND rtrim(ide_internal_one) = ''))"
 
 
 def record_filter(on_balance: DataFrame, lot_type: int) -> DataFrame:
-    return on_balance.where((c("lot_type_fk") == lot_type) & has_origin()
-                            & c("ide_linkage_type").isin(*POSITION_LINKS))
+    return on_balance.where(
+        f"lot_type_fk = {lot_type} AND {HAS_ORIGIN} AND ide_linkage_type IN ({texts(POSITION_LINKS)})")
+
+
+RECORD = ("ide_internal_party_ref", "ide_linkage_ref", "ide_linkage_type", "ide_sourcesys_ref", "lot_type_fk", "rca_accrint",
+          "rca_bookv", "rca_marketv", "rca_prov_coll", "rca_prov_indi", "rv_coa", "rv_cpty_type", "rv_rel_party_type",
+          "rv_currency_sub_group", "rv_mat_original", "rv_mat_remaining", "rca_deferred_fee", "rca_mtm_negative",
+          "rca_mtm_positive", "is_derivative")
 
 
 def record_positions(tables: Tables, deals: DataFrame, lot_type: int) -> DataFrame:
     """On-balance and derivative records with their transaction (several, if it was valued twice)."""
-    zero = F.lit(0.0)
-    shared = ["ide_internal_party_ref", "ide_linkage_ref", "ide_linkage_type", "ide_sourcesys_ref",
-              "lot_type_fk", "rv_cpty_type", "rv_rel_party_type"]
-
-    def present(name: str) -> Column:
-        return F.coalesce(c(name), F.lit(0)).alias(name)
-
-    on_balance = record_filter(tables["records_on_balance"], lot_type).select(
-        *shared, "rv_coa", "rv_currency_sub_group",
-        *[present(n) for n in ("rca_accrint", "rca_bookv", "rca_marketv", "rca_prov_coll", "rca_prov_indi",
-                               "rv_mat_original", "rv_mat_remaining", "rca_deferred_fee")],
-        zero.alias("rca_mtm_negative"), zero.alias("rca_mtm_positive"), F.lit(False).alias("_derivative"))
-    derivative = tables["records_derivative"].where(c("lot_type_fk") == lot_type).select(
-        *shared, c("rv_coa_deriv").alias("rv_coa"), _text(None).alias("rv_currency_sub_group"),
-        *[zero.alias(n) for n in ("rca_accrint", "rca_bookv", "rca_marketv", "rca_prov_coll", "rca_prov_indi",
-                                  "rca_deferred_fee")],
-        F.lit(0).alias("rv_mat_original"), present("rv_mat_remaining"),
-        "rca_mtm_negative", "rca_mtm_positive", F.lit(True).alias("_derivative"))
-    records = on_balance.unionByName(derivative)
-    joined = records.join(deals, c("ide_linkage_ref") == c("deal_id"), "left")
-    return _shaped(joined.withColumns({
-        "rv_currency_sub_group": F.when(c("_derivative"), c("currency")).otherwise(c("rv_currency_sub_group")),
-        "source_system": F.when(c("_derivative"), "022").otherwise(c("source_system"))}))
+    filled = {n: f"coalesce({n}, 0)" for n in RECORD if n.startswith(("rca_", "rv_mat_"))}
+    zeros = dict.fromkeys(filled, "0D")
+    on_balance = shaped(record_filter(tables["records_on_balance"], lot_type), RECORD, **{
+        **filled, "rca_mtm_negative": "0D", "rca_mtm_positive": "0D", "is_derivative": "false"})
+    derivative = shaped(tables["records_derivative"].where(f"lot_type_fk = {lot_type}"), RECORD, **{
+        **zeros, "rca_mtm_negative": "rca_mtm_negative", "rca_mtm_positive": "rca_mtm_positive",
+        "rv_mat_original": "0", "rv_mat_remaining": filled["rv_mat_remaining"], "rv_coa": "rv_coa_deriv",
+        "rv_currency_sub_group": "CAST(NULL AS string)", "is_derivative": "true"})
+    joined = _left(on_balance.unionByName(derivative), deals, "ide_linkage_ref = deal_id")
+    return _as_positions(joined, rv_currency_sub_group="CASE WHEN is_derivative THEN currency ELSE rv_currency_sub_group END",
+                         source_system=f"CASE WHEN is_derivative THEN '{OWN_SYSTEM}' ELSE source_system END")
 
 
 def positions(tables: Tables, deals: DataFrame, as_of: date | str, entity: str, lot_type: int) -> DataFrame:
@@ -190,23 +170,22 @@ def positions(tables: Tables, deals: DataFrame, as_of: date | str, entity: str,
 def facilities(tables: Tables, as_of: date | str, entity: str) -> DataFrame:
     """Off-balance commitments with their amount of the day and their customer."""
     amounts = snapshot(tables["facility_valuation"], as_of, "valuation_date", [COMMITMENT_VALUATION])
-    amounts = amounts.select(c("facility_nr").alias("_facility"), "valuation_type", c("amount").alias("_amount"))
-    joined = valid_at(tables["facility"], as_of, entity=entity).join(
-        amounts, c("facility_nr") == c("_facility"), "left")
+    amounts = amounts.selectExpr("facility_nr AS _facility", "amount AS _amount", "true AS _valued")
+    joined = _left(valid_at(tables["facility"], as_of, entity=entity), amounts, "facility_nr = _facility")
     joined = with_customer(joined, valid_at(tables["customer"], as_of),
-                           ["customer_attribute1", "domicile", "customer_legal_name"])
-    return joined.select(
+                           ("customer_attribute1", "domicile", "customer_legal_name"))
+    return joined.selectExpr(
         "entity", "facility_nr", "customer_nr", "customer_legal_name", "deal_type",
-        account_tail(c("deal_type")).alias("ap_code"), "currency",
-        F.when(c("valuation_type") == COMMITMENT_VALUATION, c("_amount")).otherwise(0).cast("double").alias("obs_amount"),
-        "ccy_amount", F.coalesce("customer_attribute1", F.lit("N/A")).alias("counterparty_type"),
-        F.coalesce("domicile", F.lit("N/A")).alias("domicile"), "source_system")
+        f"{account_tail('deal_type')} AS ap_code", "currency",
+        "CAST(CASE WHEN _valued THEN _amount ELSE 0 END AS double) AS obs_amount", "ccy_amount",
+        "coalesce(customer_attribute1, 'N/A') AS counterparty_type", "coalesce(domicile, 'N/A') AS domicile",
+        "source_system")
 
 
 def ledger(view: DataFrame, as_of: date | str, entity: str,
            exclude: Sequence[str] = EXCLUDED_LEDGER_SOURCES) -> DataFrame:
     """Ledger balances of the day; rows of an excluded or unknown source drop out."""
-    return (snapshot(view, as_of, "date", entity=entity).where(~c("source_system").isin(*exclude)))
+    return snapshot(view, as_of, "date", entity=entity).where(f"source_system NOT IN ({texts(exclude)})")
 
 
 def extract(tables: Tables, as_of: date | str, entity: str, lot_type: int) -> dict[str, DataFrame]:
