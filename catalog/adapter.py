@@ -22,8 +22,9 @@ COUNTRY = f"substr('{COUNTRY_CODES}', 2 * c_nationkey + 1, 2)"
 CURRENCY = ("CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'AUD' WHEN '2' THEN 'USD' WHEN '3' THEN 'CNY' "
             "WHEN '4' THEN 'EUR' ELSE 'GBP' END")
 
-TENOR_CODE = """CAST(CASE WHEN floor(tenor_days / 365.0) >= 5 THEN 1060000 + tenor_days - 365 * floor(tenor_days / 365.0)
-  ELSE 1000000 + 1000 * floor(tenor_days / 30.0) + tenor_days - 365 * floor(tenor_days / 365.0) END AS INT)"""
+# no rounding involved, as the days left over are taken first
+TENOR_CODE = """CASE WHEN tenor_days >= 1825 THEN 1060000 + tenor_days % 365
+  ELSE 1000000 + 1000 * CAST((tenor_days - tenor_days % 30) / 30 AS INT) + tenor_days % 365 END"""
 
 _LEDGER_SET = {
     "date": "last_day(CAST(o_orderdate AS DATE))", "entity": "'106'", "ap_code": """
@@ -104,7 +105,7 @@ FROM <lineitem> JOIN <orders> ON o_orderkey = l_orderkey JOIN <customer> ON c_cu
     "positions": f"""
 SELECT ide_internal_party_ref, ide_linkage_ref, ide_linkage_type, ide_sourcesys_ref, lot_type_fk, rca_accrint, rca_bookv,
   rca_marketv, rca_prov_coll, rca_prov_indi, rv_coa, rv_cpty_type, rv_rel_party_type, currency AS rv_currency_sub_group,
-  {TENOR_CODE} AS rv_mat_original, {TENOR_CODE} AS rv_mat_remaining, rca_deferred_fee, rca_mtm_negative, rca_mtm_positive,
+  CAST({TENOR_CODE} AS INT) AS rv_mat_original, CAST({TENOR_CODE} AS INT) AS rv_mat_remaining, rca_deferred_fee, rca_mtm_negative, rca_mtm_positive,
   entity, deal_id, customer_nr, nationality, domicile, customer_legal_name, deal_type, currency,
   CAST(NULL AS STRING) AS tfi_id, source_table, value_date, maturity_date, source_system, seq
 FROM <position_rows>""",
