@@ -455,6 +455,8 @@ ON p.rv_currency_sub_group = u.currency_group""",
     "map_lookup_unmatched": UNMATCHED,
     "map_chain": """SELECT seq, ale, cat_asset, cat_liability, cat_off_asset, cat_off_liability, report_ccy, sector_by_party,
   sector_by_related, class_by_coa, class_by_link FROM mapped""",
+    "map_reloaded_lookups": """SELECT seq, ale, cat_asset, cat_liability, cat_off_asset, cat_off_liability, report_ccy,
+  sector_by_party, sector_by_related, class_by_coa, class_by_link FROM mapped""",
     "map_registered_lookup": """SELECT f.facility_nr, f.customer_nr, r.this_country AS registered, r.seq IS NOT NULL AS listed
 FROM facility f LEFT JOIN reg_customer r ON f.customer_nr IS NOT DISTINCT FROM r.customer_nr""",
     "lkp_first_wins": "SELECT role, currency, code, first_key FROM owners",

@@ -224,6 +224,16 @@ def map_chain(f: Feed) -> DataFrame:
                             "report_ccy", "sector_by_party", "sector_by_related", "class_by_coa", "class_by_link")
 
 
+@query
+def map_reloaded_lookups(f: Feed) -> DataFrame:
+    """The same chain with lookup tables that went through files."""
+    path = scratch_path(f.spark, "lookups")
+    bundle.write_bundle({name: f.rows(name) for name in ("category", "ccy", "sector", "source_class")}, path, fmt="csv")
+    return pos.map_positions(f.table("positions"), bundle.read_lookups(f.spark, path, fmt="csv")).select(
+        "seq", "ale", "cat_asset", "cat_liability", "cat_off_asset", "cat_off_liability", "report_ccy", "sector_by_party",
+        "sector_by_related", "class_by_coa", "class_by_link")
+
+
 @query
 def map_registered_lookup(f: Feed) -> DataFrame:
     """The computed register, used as a lookup like any other."""
