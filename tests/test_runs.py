@@ -8,8 +8,10 @@ from pyspark.sql.types import StructType
 from catalog.adapter import AS_OF, ENTITY, LOT, Feed
 from returnsmith.operators.review import with_status
 from returnsmith.plans import lifecycle
+from returnsmith.plans.positions import add_risk, enrich_positions
+from returnsmith.plans.register import build_register
 from returnsmith.schemas import FACILITY, POSITIONS
-from returnsmith.session import scratch_path, shared_dir
+from returnsmith.session import scratch_path, settle, shared_dir
 from returnsmith.sources import bundle, warehouse
 from returnsmith.sources.readers import conform
 
@@ -68,6 +70,15 @@ def test_position_actions_rebuild_everything(feed):
     assert tables["positions"].columns == enriched["positions"].columns
 
 
+def test_risk_is_the_same_with_a_large_register(feed, monkeypatch, rows):
+    positions = enrich_positions(feed.table("positions"), feed.dims())
+    register = settle(build_register(positions, feed.table("register_now"), feed.table("register_last")), "register")
+    names = ("seq", "deal_code", "customer_nr", "risk_in", "risk_transfer", "risk_in_sector")
+    one_pass = rows(add_risk(positions, register), *names)
+    monkeypatch.setattr("returnsmith.plans.positions.known_small", lambda df: False)
+    assert rows(add_risk(positions, register), *names) == one_pass
+
+
 def test_extraction_gives_the_raw_tables(feed):
     found = warehouse.extract(feed.warehouse(), AS_OF, ENTITY, LOT)
     assert found["positions"].schema.names == POSITIONS.names
