@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from returnsmith.functions.nulls import text
+from returnsmith.functions.nulls import all_present, text
 
 SMALL_BYTES = 10 * 1024 * 1024
 
@@ -79,8 +79,17 @@ def one_per_key(dim: DataFrame, keys: Mapping[str, str], values: Mapping[str, st
 
 def _join(df: DataFrame, dim: DataFrame, step: Lookup, number: int, order_by: str | None, keep: str,
           trim_keys: bool = False) -> tuple[DataFrame, list[str]]:
-    """The joined frame and the names of the helper columns it still carries."""
+    """The joined frame and the names of the helper columns it still carries.
+
+    AQE splits a hot key only where the join shuffles both sides itself. Grouped by its key, a lookup
+    side would be joined as it stands; compared null-safely it is not, so large ones are.
+    """
     keys = {f"trim({k})" if trim_keys else k: f"_k{number}_{i}" for i, k in enumerate(dict.fromkeys(step.on.values()))}
+    spread = step.null_safe
+    if not step.null_safe:
+        # no missing key is left to meet a missing one, so both ways to compare find the same rows
+        spread = not known_small(dim)
+        dim = dim.where(all_present(*keys))
     flag = f"_hit{number}"
     if order_by:
         dim = one_per_key(dim, keys, step.values, order_by, keep)
@@ -91,7 +100,7 @@ def _join(df: DataFrame, dim: DataFrame, step: Lookup, number: int, order_by: st
                              *[f"{v} AS {n}" for v, n in step.values.items()], *([f"true AS {flag}"] if step.flag else []))
     pairs = {(f"trim({main})" if trim_keys else main): keys[f"trim({key})" if trim_keys else key]
              for main, key in step.on.items()}
-    df = df.join(dim, F.expr(key_match(pairs, step.null_safe)), "left")
+    df = df.join(dim, F.expr(key_match(pairs, spread)), "left")
     if step.flag:
         df = df.selectExpr("*", f"coalesce({flag}, false) AS {step.flag}")
     return df, [*keys.values(), *([flag] if step.flag else [])]

@@ -31,9 +31,10 @@ def reference_totals(df: DataFrame) -> DataFrame:
 
 
 def with_reference_total(df: DataFrame, all_rows: DataFrame) -> DataFrame:
-    """Each row's book value replaced by the total of its reference over ``all_rows``."""
+    """Each row's book value replaced by the total of its reference over ``all_rows``. Compared
+    null-safely like other large lookups, so that the rows of a hot reference can be split."""
     totals = reference_totals(all_rows)
-    return df.drop("rca_bookv").join(totals, F.expr("ide_linkage_ref = _ref"), "left").drop("_ref")
+    return df.drop("rca_bookv").join(totals, F.expr("ide_linkage_ref <=> _ref"), "left").drop("_ref")
 
 
 def register_rules(df: DataFrame) -> DataFrame:
