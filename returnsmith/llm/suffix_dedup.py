@@ -31,11 +31,13 @@ LENGTH = 100
 GRAM = 32
 SPAN = LENGTH - GRAM + 1  # places of a gram in a window
 #: A longer text is worked on in segments that overlap by LENGTH - 1 bytes.
-SEGMENT = 1 << 22
+SEGMENT = 1 << 20
 RUN_READS = 300_000
 BLOCK_READS = 1 << 16
 ABSENT = 0xFF  # no byte of UTF-8
 _PLACE_BITS = 24
+#: 56 bits name a window; equal windows are told by their bytes.
+KEY_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
 
 
 def _segments(texts: pa.Array) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int]], np.ndarray]]:
@@ -88,7 +90,7 @@ def _reads(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(new & inside)
     bounds = np.append(np.flatnonzero(new | ~inside), len(start))
     last = bounds[np.searchsorted(bounds, first, "right")] - 1
-    return grams[at[first]], at[first], first, last, segment[first], hasher
+    return grams[at[first]] & KEY_BITS, at[first], first, last, segment[first], hasher
 
 
 def _emit(batches):
