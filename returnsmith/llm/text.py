@@ -15,7 +15,7 @@ import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 SHINGLE = 5
 
 
