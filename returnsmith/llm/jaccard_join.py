@@ -32,6 +32,10 @@ from returnsmith.session import settle
 #: A similarity of NUM / DEN or more links two documents.
 NUM, DEN = 4, 5
 STAR_ROUNDS = 2
+#: 56 bits of a segment's key are enough to find candidates, and an eighth less to shuffle.
+KEY_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
+#: The ids of nodes whose sets are needed are broadcast to the texts up to so many (8 bytes each), else joined by a shuffle.
+BROADCAST_NODES = 1_000_000
 
 
 def _band(n: int) -> tuple[int, int]:
@@ -92,7 +96,7 @@ def _segment_keys(s: np.ndarray, bands: list[tuple[int, int]]) -> np.ndarray:
         least = np.sort(sizes)[spare]  # segments with fewer shingles are at most ``spare``
         kept = np.flatnonzero(sizes >= least)
         out.append(mix(sketch[kept] * np.uint64(BASE) + (kept + (band << 32)).astype(np.uint64), 4))
-    return np.concatenate(out)
+    return np.concatenate(out) & KEY_BITS
 
 
 def _fingerprint(s: np.ndarray) -> tuple[int, int]:
@@ -116,17 +120,18 @@ def _as_long(values: list[int]) -> pa.Array:
 
 
 def profiles(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, fp, fp2): size and 128-bit fingerprint of each document's shingle set."""
+    """(doc_id, n_shingles, fp, fp2, bits): size, 128-bit fingerprint and bit sketch of each document's shingle set."""
     def profile(batches):
         for block, sets in _sets(batches):
             prints = [_fingerprint(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                 _as_long([p[0] for p in prints]), _as_long([p[1] for p in prints])],
-                names=["doc_id", "n_shingles", "fp", "fp2"])
+                 _as_long([p[0] for p in prints]), _as_long([p[1] for p in prints]),
+                 pa.array([_bits(s, _sketch_words(len(s))).tobytes() for s in sets], pa.binary())],
+                names=["doc_id", "n_shingles", "fp", "fp2", "bits"])
 
     return docs.select(F.col(id_column).cast("bigint").alias("doc_id"), "text").mapInArrow(
-        profile, "doc_id bigint, n_shingles bigint, fp bigint, fp2 bigint")
+        profile, "doc_id bigint, n_shingles bigint, fp bigint, fp2 bigint, bits binary")
 
 
 def _emit(batches):
@@ -152,7 +157,7 @@ def _bits(s: np.ndarray, words64: int) -> np.ndarray:
 
 #: A sketch's length in 64-bit words, by size: a power of two, so that the longer of two folds onto the shorter.
 def _sketch_words(n: int) -> int:
-    return 1 << max(1, int(np.ceil(np.log2(max(1, n * 3 // 4) / 64 + 1e-9))) if n else 1)
+    return 1 << max(2, int(np.ceil(np.log2(max(1, 3 * n) / 64))))
 
 
 def _fold(bits: np.ndarray, to: int) -> np.ndarray:
@@ -164,20 +169,17 @@ def _fold(bits: np.ndarray, to: int) -> np.ndarray:
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """(node, n, bits, shingles) of documents (node, text); rows with equal node and set once."""
+    """(node, shingles) of documents (node, text); rows with equal node and set once."""
     def build(batches):
         seen = set()
         for block, sets in _sets(batches):
             names = list(zip(block.column("node").to_pylist(), (_fingerprint(s) for s in sets), strict=True))
             new = [i for i, name in enumerate(names) if name not in seen and not seen.add(name)]
             yield pa.RecordBatch.from_arrays(
-                [block.column("node").take(pa.array(new, pa.int64())), pa.array([len(sets[i]) for i in new], pa.int64()),
-                 _as_long([names[i][1][0] for i in new]),
-                 pa.array([_bits(sets[i], _sketch_words(len(sets[i]))).tobytes() for i in new], pa.binary()),
-                 pa.array([sets[i].tobytes() for i in new], pa.binary())],
-                names=["node", "n", "fp", "bits", "shingles"])
+                [block.column("node").take(pa.array(new, pa.int64())), _as_long([names[i][1][0] for i in new]),
+                 pa.array([sets[i].tobytes() for i in new], pa.binary())], names=["node", "fp", "shingles"])
 
-    return (docs.mapInArrow(build, "node bigint, n bigint, fp bigint, bits binary, shingles binary")
+    return (docs.mapInArrow(build, "node bigint, fp bigint, shingles binary")
             .dropDuplicates(["node", "fp"]).drop("fp"))
 
 
@@ -188,6 +190,20 @@ def _similar(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * both >= NUM * (len(a) + len(b) - both)
 
 
+def possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sizes and bit sketches leave room for the similarity."""
+    def prune(batches):
+        for batch in batches:
+            n, m = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            at = np.arange(len(n))
+            apart = _Sketches(pa.concat_arrays([batch.column("ba"), batch.column("bb")])).distance(at, at + len(n))
+            near = (np.maximum(n, m) * NUM <= np.minimum(n, m) * DEN) & (apart <= (n + m) * (DEN - NUM) // (DEN + NUM))
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return (pairs.join(bits.toDF("a", "na", "ba"), "a").join(bits.toDF("b", "nb", "bb"), "b")
+            .select("a", "b", "na", "nb", "ba", "bb").mapInArrow(prune, "a bigint, b bigint").distinct())
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that are similar on their whole sets."""
     def check(batches):
@@ -197,8 +213,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     for p, q in zip(x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    side = sets.select("node", "shingles")
-    return (pairs.join(side.toDF("a", "sa"), "a").join(side.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
+    return (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
             .mapInArrow(check, "a bigint, b bigint"))
 
 
@@ -213,7 +228,7 @@ def _stars(members: DataFrame, highest: bool) -> DataFrame:
             .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
 
 
-def _apart(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _apart(members: DataFrame, bits: DataFrame) -> DataFrame:
     """Pairs of different components in a shared segment that the bit sketches can't rule out.
 
     Pairs are looked at as arrays, a distance in the segment's list at a time; a row goes out only for a pair that is
@@ -241,7 +256,7 @@ def _apart(members: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(low[0]), pa.array(low[1])], names=["a", "b"])
 
     open_keys = members.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).filter("l1 <> l2")
-    return (members.join(open_keys.select("key"), "key").join(sets.select("node", "n", "bits"), "node")
+    return (members.join(open_keys.select("key"), "key").join(bits, "node")
             .repartition(shuffle_partitions(members.sparkSession), "key").sortWithinPartitions("key")
             .mapInArrow(compare, "a bigint, b bigint").distinct())
 
@@ -289,27 +304,38 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     empty table gives none.
     """
     profile = settle(profiles(docs, id_column), "profile")
-    nodes = profile.filter("n_shingles > 0").groupBy("n_shingles", "fp", "fp2").agg(F.min("doc_id").alias("node"))
+    nodes = settle(profile.filter("n_shingles > 0").groupBy("n_shingles", "fp", "fp2").agg(
+        F.min("doc_id").alias("node"), F.min("bits").alias("bits")), "nodes")  # equal sets have equal sketches
+    bits = nodes.filter("node is not null").select("node", F.col("n_shingles").alias("n"), "bits")
     source = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), "text")
-    shared = settle(shared_keys(source, _emit).join(nodes.select("fp", F.col("node").alias("id")),
-                                                    F.col("node") == F.col("fp"))
+    shared = settle(shared_keys(source, _emit, groups=True).join(nodes.select("fp", F.col("node").alias("id")),
+                                                                 F.col("node") == F.col("fp"))
                     .select("key", F.col("id").alias("node")).filter("node is not null"), "shared")
-    wanted = shared.select("node").distinct()
-    texts = source.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-    sets = settle(set_table(texts.select(F.col("doc_id").alias("node"), "text")), "sets")
-    links, labels = None, None
+    links = labels = sets = known = None
     for step in range(STAR_ROUNDS + 1):
         if labels is None:
             members = shared.withColumn("label", F.col("node"))
         else:
             members = shared.join(labels, "node", "left").select(
                 "key", "node", F.coalesce("label", "node").alias("label"))
-        pairs = _stars(members, step == 1) if step < STAR_ROUNDS else _apart(members, sets)
+        pairs = settle(possible(_stars(members, step == 1), bits) if step < STAR_ROUNDS else _apart(members, bits), "pairs")
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = settle(wanted if known is None else wanted.join(known, "node", "left_anti"), "wanted")
+        count = wanted.count()
+        if count:  # the sets of these nodes, from their texts
+            side = F.broadcast(wanted) if count <= BROADCAST_NODES else wanted
+            texts = source.join(side, F.col("doc_id") == F.col("node"), "left_semi")
+            more = settle(set_table(texts.select(F.col("doc_id").alias("node"), "text")), "sets")
+            sets, known = (more, wanted) if sets is None else (sets.unionByName(more), known.unionByName(wanted))
+        if sets is None or pairs.isEmpty():
+            continue
         found = settle(verified(pairs, sets), "links")
-        if labels is None or not found.isEmpty():
+        if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = settle(components(links), "labels")
-    return (profile.join(nodes, ["n_shingles", "fp", "fp2"], "left").join(labels, "node", "left")
+    if labels is None:
+        labels = bits.select("node", F.col("node").alias("label")).limit(0)
+    return (profile.join(nodes.drop("bits"), ["n_shingles", "fp", "fp2"], "left").join(labels, "node", "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "node", "doc_id").alias("component_id")))
 
 

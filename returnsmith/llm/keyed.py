@@ -10,9 +10,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-BUCKETS_PER_PARTITION = 8
+from returnsmith.llm.text import mix
+
 RUN_KEYS = 2_000_000
 
 
@@ -21,12 +23,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def planes(values: np.ndarray) -> bytes:
-    """64-bit values as eight byte planes: planes of zeros compress to nothing."""
-    return np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit values as eight compressed byte planes: small values and small differences cost what they hold."""
+    raw = np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
 def from_planes(body: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).ravel()
 
 
 def pack(keys: np.ndarray) -> bytes:
@@ -46,14 +50,14 @@ def bucket_edges(n: int) -> np.ndarray:
 Emit = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]]
 
 
-def shared_keys(df: DataFrame, emit: Emit) -> DataFrame:
+def shared_keys(df: DataFrame, emit: Emit, groups: bool = False) -> DataFrame:
     """(key, node) of every key that at least two nodes have, each pair once.
 
     ``emit`` turns a task's batches into arrays (keys, nodes), both uint64. Naming a key twice for a node says
-    no more than once, so copies may be emitted by several tasks.
+    no more than once, so copies may be emitted by several tasks. With ``groups`` a key stands for its set of nodes: keys
+    that the same nodes share become one.
     """
-    partitions = shuffle_partitions(df.sparkSession)
-    n = partitions * BUCKETS_PER_PARTITION
+    n = shuffle_partitions(df.sparkSession)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -101,7 +105,13 @@ def shared_keys(df: DataFrame, emit: Emit) -> DataFrame:
         keep = np.zeros(len(keys), bool)
         keep[1:] |= same
         keep[:-1] |= same
-        return pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(nodes[keep].view(np.int64))],
+        keys, nodes = keys[keep], nodes[keep]
+        if groups and len(keys):
+            first = np.append(True, keys[1:] != keys[:-1])
+            code = mix(np.add.reduceat(mix(nodes, 41), np.flatnonzero(first)), 42)
+            pairs = np.unique(np.stack([code[np.cumsum(first) - 1], nodes]), axis=1)
+            keys, nodes = pairs[0], pairs[1]
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(nodes.view(np.int64))],
                                           names=["key", "node"])
 
     def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,9 +127,9 @@ def shared_keys(df: DataFrame, emit: Emit) -> DataFrame:
         if rows:
             yield meet(rows)
 
-    return (df.mapInArrow(runs, "bucket int, keys binary, names binary, nodes binary")
-            .repartition(partitions, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(by_bucket, "key bigint, node bigint"))
+    found = (df.mapInArrow(runs, "bucket int, keys binary, names binary, nodes binary")
+             .repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(by_bucket, "key bigint, node bigint"))
+    return found.distinct() if groups else found
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
