@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
 
 def _lists(values: list[list[int]]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-    flat = np.fromiter((x for v in values for x in v), np.int32, int(ends[-1]))
+    flat = np.fromiter(chain.from_iterable(values), np.int32, int(ends[-1]))
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
@@ -52,10 +53,9 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_column: str = "te
     """The rows with one more column: the token ids of the whole text, an array of ints.
 
     No special tokens; each match of the pattern is merged on its own. A null or empty text has an empty array.
-    Repeated rows stay; an empty table stays empty. The new column's name must be free.
+    Repeated rows and null ids stay; an empty table stays empty. A column that has the new one's name is replaced.
     """
-    if ids_column in docs.columns:
-        raise ValueError(f"column {ids_column} exists")
+    docs = docs.drop(ids_column)
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,10 +71,10 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_column: str = "te
 def decode(docs: DataFrame, rank_file: str, pattern: str, ids_column: str = "ids", bytes_column: str = "decoded") -> DataFrame:
     """The rows with one more column: the bytes of the token ids. A null array gives null.
 
-    Bytes, not text: ids cut anywhere need not end a character. An id that the ranks lack fails the job.
+    Bytes, not text: ids cut anywhere need not end a character. An id that the ranks lack fails the job. A column that
+    has the new one's name is replaced.
     """
-    if bytes_column in docs.columns:
-        raise ValueError(f"column {bytes_column} exists")
+    docs = docs.drop(bytes_column)
     place = docs.columns.index(ids_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
