@@ -2,10 +2,11 @@
 
 Amounts arrive as double. A double sum depends on the order of its terms, that is on
 partitioning, retries and lost executors; reports summed that way change from run to
-run. So each amount becomes DECIMAL(18,4) before it is summed. Decimal sums are exact,
-hence also associative: partial sums of partial sums give the same figure, which is what
-lets the reports run on pre-aggregated cells. Figures turn back into double only at the
-edge of a report.
+run. So each amount becomes DECIMAL(26,8) before it is summed, and sums are DECIMAL(36,8).
+Decimal sums are exact, hence also associative: partial sums of partial sums give the same
+figure, which is what lets the reports run on pre-aggregated cells. Figures turn back into
+double, and are rounded, only at the edge of a report. An amount that does not fit (10^18 or
+more, or not a number) is an error in ANSI mode and outside it; nothing becomes null on the way.
 """
 
 from __future__ import annotations
@@ -14,13 +15,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-MONEY = "decimal(18,4)"
+MONEY = "decimal(26,8)"
+
+
+def exact_amount(col: str) -> str:
+    """An amount as exact decimal; one that does not fit fails the job in either ANSI mode."""
+    return (f"CASE WHEN {col} IS NOT NULL THEN coalesce(try_cast({col} AS {MONEY}), "
+            f"raise_error(concat('amount out of range: ', CAST({col} AS string)))) END")
 
 
 def exact(df: DataFrame, *names: str) -> DataFrame:
-    """Amount columns as DECIMAL(18,4); columns that are decimal already (partial sums) stay."""
+    """Amount columns as exact decimals; columns that are decimal already (partial sums) stay."""
     raw = [n for n in names if not isinstance(df.schema[n].dataType, DecimalType)]
-    return df.withColumns({n: F.expr(f"CAST({n} AS {MONEY})") for n in raw}) if raw else df
+    return df.withColumns({n: F.expr(exact_amount(n)) for n in raw}) if raw else df
 
 
 def amount(name: str) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from returnsmith.functions import rules
-from returnsmith.functions.money import MONEY, half_even, total
+from returnsmith.functions.money import exact_amount, half_even, total
 from returnsmith.operators.lookup import apply_chain
 from returnsmith.plans.chains import REGISTER_CHAIN
 from returnsmith.schemas import REGISTER
@@ -25,7 +25,7 @@ def loans(df: DataFrame) -> DataFrame:
 def reference_totals(df: DataFrame) -> DataFrame:
     """Book value per reference. An aggregate rather than a window: a hot reference is summed
     before the shuffle and the result has one row per reference."""
-    book = half_even(total(f"CAST(rca_bookv AS {MONEY})"), 1)
+    book = half_even(total(exact_amount("rca_bookv")), 1)
     return (df.where("ide_linkage_ref IS NOT NULL").groupBy(F.expr("ide_linkage_ref AS _ref"))
             .agg(F.expr(f"CAST({book} AS double) AS rca_bookv")))
 
