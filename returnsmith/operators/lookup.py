@@ -4,7 +4,7 @@ Nothing here carries a broadcast hint. Spark broadcasts a lookup table by itself
 its size estimate, or the size AQE measures at run time, is below
 ``spark.sql.autoBroadcastJoinThreshold``; a larger one gets a sort-merge join whose hot
 keys AQE splits on the data side (a left join may split its left side). So a lookup
-table may grow without any change here.
+table may grow without any change here; no size is looked at.
 """
 
 from __future__ import annotations
@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from returnsmith.functions.nulls import all_present, text
 
-SMALL_BYTES = 10 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class Lookup:
@@ -37,28 +35,15 @@ class Lookup:
 
 
 def inline_table(spark: SparkSession, columns: str, rows: Sequence[Sequence]) -> DataFrame:
-    """A small fixed table (text or whole numbers) as literal rows, whose size Spark knows."""
+    """A fixed table (text or whole numbers) as literal rows of the plan, hence in one partition: picking one
+    row per key needs no shuffle."""
     def literal(value) -> str:
         if value is None:
             return "CAST(NULL AS string)"
         return text(value) if isinstance(value, str) else str(value)
 
     body = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
-    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns.split())})")
-
-
-def known_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
-    """Whether the optimizer's size estimate of a table is within ``limit``; unknown counts as large."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return False
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
-
-
-def prepare(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Lookup tables ready for use: those known to be small get one partition, so that picking
-    one row per key needs no shuffle."""
-    return {name: df.coalesce(1) if known_small(df) else df for name, df in dims.items()}
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns.split())})").coalesce(1)
 
 
 def key_match(pairs: Mapping[str, str], null_safe: bool) -> str:
@@ -82,13 +67,11 @@ def _join(df: DataFrame, dim: DataFrame, step: Lookup, number: int, order_by: st
     """The joined frame and the names of the helper columns it still carries.
 
     AQE splits a hot key only where the join shuffles both sides itself. Grouped by its key, a lookup
-    side would be joined as it stands; compared null-safely it is not, so large ones are.
+    side would be joined as it stands; compared null-safely it is not. So keys are always compared
+    null-safely, and where missing ones must not meet they are taken out of the lookup side first.
     """
     keys = {f"trim({k})" if trim_keys else k: f"_k{number}_{i}" for i, k in enumerate(dict.fromkeys(step.on.values()))}
-    spread = step.null_safe
     if not step.null_safe:
-        # no missing key is left to meet a missing one, so both ways to compare find the same rows
-        spread = not known_small(dim)
         dim = dim.where(all_present(*keys))
     flag = f"_hit{number}"
     if order_by:
@@ -100,7 +83,7 @@ def _join(df: DataFrame, dim: DataFrame, step: Lookup, number: int, order_by: st
                              *[f"{v} AS {n}" for v, n in step.values.items()], *([f"true AS {flag}"] if step.flag else []))
     pairs = {(f"trim({main})" if trim_keys else main): keys[f"trim({key})" if trim_keys else key]
              for main, key in step.on.items()}
-    df = df.join(dim, F.expr(key_match(pairs, spread)), "left")
+    df = df.join(dim, F.expr(key_match(pairs, True)), "left")
     if step.flag:
         df = df.selectExpr("*", f"coalesce({flag}, false) AS {step.flag}")
     return df, [*keys.values(), *([flag] if step.flag else [])]
@@ -153,16 +136,18 @@ def unmatched(df: DataFrame, steps: Sequence[Lookup], dims: Mapping[str, DataFra
     return counts.selectExpr(f"inline(array({lines}))")
 
 
-def routed_lookup(df: DataFrame, route: str, dim: DataFrame, on: Sequence[str], value: str, name: str) -> DataFrame:
+def routed_lookup(df: DataFrame, route: str, dim: DataFrame, on: Sequence[str], value: str, name: str,
+                  tries: int = 3) -> DataFrame:
     """Lookup whose keys are chosen by row, with fallbacks.
 
-    ``route`` is an array of structs holding the key fields ``on``, most wanted first; the
-    first one that finds a value other than null or '' wins. All candidates go through a single join.
-    Rows of ``df`` must be distinct, and ``dim`` unique by ``on``.
+    ``route`` is an array of structs holding the key fields ``on``, most wanted first, ``tries`` at most (a longer one
+    is an error); the first one that finds a value other than null or '' wins. One join per candidate, so every row of
+    ``df`` stays as it is, equal ones too. ``dim`` is unique by ``on``.
     """
     own = df.columns
-    tries = df.selectExpr(*own, f"posexplode_outer({route}) AS (_try, _key)")
-    found = dim.selectExpr(*[f"{k} AS _d_{k}" for k in on], f"{value} AS _found")
-    joined = tries.join(found, F.expr(key_match({f"_key.{k}": f"_d_{k}" for k in on}, False)), "left")
-    best = joined.groupBy(*own).agg(F.expr("min(CASE WHEN _found <> '' THEN struct(_try, _found) END) AS _best"))
-    return best.selectExpr(*own, f"_best._found AS {name}")
+    out = df.selectExpr("*", f"{route} AS _route").selectExpr(
+        *own, f"CASE WHEN size(_route) > {tries} THEN raise_error('route too long') ELSE _route END AS _route")
+    for i in range(tries):
+        found = dim.selectExpr(*[f"{k} AS _d{i}_{k}" for k in on], f"CASE WHEN {value} <> '' THEN {value} END AS _found{i}")
+        out = out.join(found, F.expr(key_match({f"get(_route, {i}).{k}": f"_d{i}_{k}" for k in on}, False)), "left")
+    return out.selectExpr(*own, f"coalesce({', '.join(f'_found{i}' for i in range(tries))}) AS {name}")

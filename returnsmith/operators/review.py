@@ -20,7 +20,7 @@ def with_status(log: DataFrame) -> DataFrame:
 
 def delete_listed(df: DataFrame, listed: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Rows whose key is not listed; missing keys meet missing keys."""
-    keys = list(keys or df.columns)
+    keys = list(df.columns if keys is None else keys)
     listed = listed.selectExpr(*[f"{k} AS _k_{k}" for k in keys])
     return df.join(listed, F.expr(key_match({k: f"_k_{k}" for k in keys}, True)), "left_anti")
 

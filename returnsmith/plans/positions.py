@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from returnsmith.functions import rules
-from returnsmith.operators.lookup import apply_chain, known_small
+from returnsmith.operators.lookup import apply_chain
 from returnsmith.plans.chains import ACCOUNT_CHAIN, CUSTOMER_RISK, POSITION_CHAIN, REFERENCE_RISK
 
 Dims = Mapping[str, DataFrame]
@@ -59,17 +59,8 @@ def add_risk(df: DataFrame, register: DataFrame) -> DataFrame:
     """Ultimate risk country, transfer flag and risk sector.
 
     Fee rows ask the register by customer, all others by reference; the risk sector always goes by
-    reference. A register known to be small is broadcast, so every row may ask both ways in
-    one pass. For a large one the fee rows are split off first: only they are shuffled by
-    customer, and the bulk of the positions just once, by reference, at the price of a second scan.
+    reference. Every row asks both ways, in one scan of the positions whatever the register's size;
+    AQE chooses how to join.
     """
-    dims = {"register": register}
-    if known_small(register):
-        asked = apply_chain(df, [CUSTOMER_RISK], dims)
-    else:
-        fees = apply_chain(df.where(rules.IS_FEE), [CUSTOMER_RISK], dims)
-        rest = df.where(f"NOT {rules.IS_FEE}").selectExpr(
-            "*", "CAST(NULL AS string) AS country_by_customer", "false AS listed_by_customer")
-        asked = fees.unionByName(rest)
-    found = apply_chain(asked, [REFERENCE_RISK], dims)
+    found = apply_chain(df, [CUSTOMER_RISK, REFERENCE_RISK], {"register": register})
     return add_rules(found, RISK_RULES).drop(*_made_by([CUSTOMER_RISK, REFERENCE_RISK]))

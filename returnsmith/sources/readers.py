@@ -8,11 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructType
 
 from returnsmith.functions.nulls import tokens_to_null
-from returnsmith.operators.lookup import known_small
 from returnsmith.schemas import NULL_TOKENS
 
-ONE_SPLIT = 128 * 1024 * 1024
-
 
 def read_table(spark: SparkSession, source: Mapping, schema: StructType | None = None) -> DataFrame:
     """Read the table a config entry describes: ``type`` parquet, csv, jdbc, table or sql.
@@ -38,14 +35,6 @@ def read_table(spark: SparkSession, source: Mapping, schema: StructType | None =
     return reader.options(**options).load(source["path"])
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A file smaller than one split is read by a single task however many cores wait; its rows are
-    dealt to all of them by ``keys``. Inputs of several splits stay as they are."""
-    if not known_small(df, ONE_SPLIT):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def clean_header(df: DataFrame) -> DataFrame:
     """Column names without a '.N' repeat suffix and without outer blanks."""
     names = [str(n).split(".")[0].strip() for n in df.columns]
@@ -59,7 +48,7 @@ def normalise_nulls(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS,
                     cols: Sequence[str] | None = None) -> DataFrame:
     """Null for every text value the sources use as "no value"."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    changed = set(cols or text)
+    changed = set(text if cols is None else cols)
     return df.selectExpr(*[f"{tokens_to_null(n, tokens)} AS {n}" if n in changed else n for n in df.columns])
 
 

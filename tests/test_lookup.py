@@ -1,7 +1,6 @@
 import pytest
 
-from returnsmith.operators.lookup import (Lookup, apply_chain, inline_table, known_small, lookup, prepare, routed_lookup,
-                                          unmatched)
+from returnsmith.operators.lookup import Lookup, apply_chain, inline_table, lookup, routed_lookup, unmatched
 
 
 @pytest.fixture
@@ -68,10 +67,19 @@ def test_routed_lookup_falls_through_null_and_blank(spark, rows):
         ("x", "hit"), ("y", "own"), ("z", None)]
 
 
-def test_small_tables_are_known_and_need_no_shuffle(spark, data):
+def test_routed_lookup_keeps_equal_rows(spark, rows):
+    df = spark.createDataFrame([("x", "c"), ("x", "c"), ("y", None)], "code string, ccy string")
+    dim = spark.createDataFrame([("x", "c", "hit")], "code string, currency string, v string")
+    route = "array(struct('none' AS code, ccy AS currency), struct(code AS code, ccy AS currency))"
+    assert rows(routed_lookup(df, route, dim, ("code", "currency"), "v", "found"), "code", "found") == [
+        ("x", "hit"), ("x", "hit"), ("y", None)]
+    with pytest.raises(Exception, match="route too long"):
+        routed_lookup(df, route, dim, ("code", "currency"), "v", "found", tries=1).collect()
+
+
+def test_inline_tables_need_no_shuffle(spark, data):
     small = inline_table(spark, "seq k v", [(1, "a", None), (2, "a'b", "w")])
-    assert known_small(small) and not known_small(small, 1)
-    found = lookup(data, prepare({"d": small})["d"], {"k": "k"}, {"v": "v1"})
+    found = lookup(data, small, {"k": "k"}, {"v": "v1"})
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
