@@ -1,8 +1,9 @@
 """Duplicates of a feed: find, log and remove them.
 
-A group of copies may hold a large part of the feed. Removal and detection are
-aggregates, so copies collapse before the shuffle; the row-exact log spreads every
-group over lanes before one row per group is set aside.
+Most rows of a feed are unique. Rows are first counted by 128 bits of their content, an aggregate with numeric
+buffers only; just the rows whose hash occurs twice or more are compared in full, so that a clash of hashes drops
+nothing. A group of copies may hold a large part of the feed: equal rows are combined before they are
+shuffled, and each step on a group is an aggregate or a join that adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -14,40 +15,45 @@ from pyspark.sql import functions as F
 
 from returnsmith.operators.lookup import key_match
 
-LANES = 32
-
 
 def _content(df: DataFrame, ignore: str, order_by: str | None) -> list[str]:
     return [n for n in df.columns if n not in (ignore, order_by)]
 
 
+def _often(df: DataFrame, content: Sequence[str]) -> DataFrame:
+    """The rows with ``_copies``: true where the hash of the content occurs more than once, else null."""
+    held = ", ".join([*content, *[f"isnull({n})" for n in content]])  # a null leaves a hash as it is, so it is told apart
+    keyed = df.selectExpr("*", f"xxhash64({held}) AS _h1", f"xxhash64('second', {held}) AS _h2")
+    often = (keyed.groupBy(F.expr("_h1 AS _o1"), F.expr("_h2 AS _o2")).agg(F.expr("count(*) AS _n")).where("_n > 1")
+             .selectExpr("_o1", "_o2", "true AS _copies"))
+    # compared null-safely, so that the rows of a hot group can be split
+    return keyed.join(often, F.expr("_h1 <=> _o1 AND _h2 <=> _o2"), "left").drop("_h1", "_h2", "_o1", "_o2")
+
+
 def drop_repeats(df: DataFrame, ignore: str, order_by: str | None = None) -> DataFrame:
     """One row per set of rows equal but for ``ignore``: the one with its highest value, a missing
     value being the lowest. ``order_by`` (a row number, not content) settles ties: earliest first."""
+    content = _content(df, ignore, order_by)
+    marked = _often(df, content)
     order = f", -{order_by} AS _order" if order_by else ""
-    best = df.groupBy(*_content(df, ignore, order_by)).agg(F.expr(f"max(struct({ignore} AS _value{order})) AS _best"))
+    best = marked.where("_copies").groupBy(*content).agg(F.expr(f"max(struct({ignore} AS _value{order})) AS _best"))
     held = {ignore: "_best._value", order_by: "-_best._order"}
-    return best.selectExpr(*[f"{held[n]} AS {n}" if n in held else n for n in df.columns])
+    kept = best.selectExpr(*[f"{held[n]} AS {n}" if n in held else n for n in df.columns])
+    return marked.where("_copies IS NULL").select(*df.columns).unionByName(kept)
 
 
-def repeats(df: DataFrame, ignore: str, order_by: str | None = None, lanes: int = LANES) -> DataFrame:
-    """All rows of each set of rows equal but for ``ignore``, except the last one: the lowest value.
+def repeats(df: DataFrame, ignore: str, order_by: str | None = None) -> DataFrame:
+    """All rows of each set of rows equal but for ``ignore``, except one: that with the lowest value, the latest of those.
 
-    Rows are dealt to lanes by input partition. The last row of each lane is a candidate, all
-    others are surely repeats; the second step compares only candidates, at most one per lane,
-    while the rest stay spread by lane.
+    Rows equal in everything are counted, not ranked: the one that is left out is taken off its count.
     """
-    content = ", ".join(_content(df, ignore, order_by))
-    order = f"{ignore} ASC NULLS FIRST" + (f", {order_by} DESC" if order_by else "")
-
-    def rank(among: str) -> str:
-        return f"row_number() OVER (PARTITION BY {content}, {among} ORDER BY {order})"
-
-    dealt = df.selectExpr("*", f"spark_partition_id() % {lanes} AS _lane")
-    ranked = dealt.selectExpr("*", f"{rank('_lane')} AS _in_lane")
-    met = ranked.selectExpr("*", "CASE WHEN _in_lane = 1 THEN -1 ELSE _lane END AS _meet")
-    judged = met.selectExpr("*", f"{rank('_meet')} AS _among")
-    return judged.where("_in_lane > 1 OR _among > 1").select(*df.columns)
+    content = _content(df, ignore, order_by)
+    counted = _often(df, content).where("_copies").groupBy(*df.columns).agg(F.expr("count(*) AS _rows"))
+    place = f"struct({ignore} AS _value{f', -{order_by} AS _order' if order_by else ''})"
+    least = counted.groupBy(*[F.expr(f"{n} AS _k_{n}") for n in content]).agg(F.expr(f"min({place}) AS _least"))
+    joined = counted.join(least, F.expr(key_match({n: f"_k_{n}" for n in content}, True)))
+    left = joined.selectExpr(*df.columns, f"_rows - CASE WHEN {place} <=> _least THEN 1 ELSE 0 END AS _left").where("_left > 0")
+    return left.selectExpr(*df.columns, "explode(sequence(1L, _left)) AS _each").drop("_each")
 
 
 def duplicate_sets(df: DataFrame, keys: Sequence[str]) -> DataFrame:
