@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,10 +26,10 @@ LONG_METHODS = "-XX:-DontCompileHugeMethods"
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set the defaults above where the session has no explicit value of its own."""
-    launched_with = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    """Set the defaults above where the session has no explicit value of its own, set at launch or at run time."""
+    held = {k for k, _ in spark.sparkContext.getConf().getAll()} | set(spark.conf.getAll)
     for key, value in RUNTIME_DEFAULTS.items():
-        if key not in launched_with:
+        if key not in held:
             spark.conf.set(key, value)
     return spark
 
@@ -74,3 +76,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``settle`` for one run: what it writes is dropped at the end, so results must be written by then."""
+    root = scratch_path(spark, "run")
+
+    def share(df: DataFrame, name: str) -> DataFrame:
+        path = f"{root}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield share
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
