@@ -1,17 +1,18 @@
 """The three runs of a reporting period, each from tables to tables.
 
-Between runs the tables live in bundles, so a run starts from files, not from lineage. Within a
-run only tables of report size are shared between outputs; they are settled in the shared folder.
+Between runs the tables live in bundles, so a run starts from files, not from lineage. What several outputs
+of a run share is settled once in the shared folder (``share``; ``session.run_scratch`` drops it after the run).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from returnsmith.operators.dedup import drop_repeats, merge_log, repeats
-from returnsmith.operators.review import apply_actions
+from returnsmith.operators.review import ACTION, apply_actions
 from returnsmith.plans import reports
 from returnsmith.plans.facility import enrich_facility
 from returnsmith.plans.ledger import enrich_ledger
@@ -34,16 +35,19 @@ REPORTED = ("seq", "ale", "category", "report_ccy", "vis_sector", "vis_country",
             "risk_transfer", "risk_in_sector", *MEASURES)
 
 
-def initial_run(raw: Tables, dims: Tables, duplicates_before: DataFrame | None = None) -> dict[str, Tables]:
+def initial_run(raw: Tables, dims: Tables, duplicates_before: DataFrame | None = None,
+                share: Settle = settle) -> dict[str, Tables]:
     """De-duplicate and enrich the positions, build the register, and open the review logs.
 
-    ``raw`` holds positions, ledger and facility. Positions leave this run de-duplicated but not enriched.
+    ``raw`` holds positions, ledger and facility. Positions leave this run de-duplicated but not enriched; ``duplicates``
+    is the log of the runs before (``duplicates_before``) with this run's additions. The positions are de-duplicated once,
+    and the register is built once: all outputs read what was written.
     """
     found = repeats(raw["positions"], "customer_nr", order_by="seq").drop("seq")
     duplicates = found if duplicates_before is None else merge_log(duplicates_before, found)
-    positions = drop_repeats(raw["positions"], "customer_nr", order_by="seq")
+    positions = share(drop_repeats(raw["positions"], "customer_nr", order_by="seq"), "positions")
     enriched = enrich_positions(positions, dims)
-    register = build_register(enriched, dims["register_now"], dims["register_last"])
+    register = share(build_register(enriched, dims["register_now"], dims["register_last"]), "register")
     return {
         "raw": {"positions": positions, "ledger": raw["ledger"], "facility": raw["facility"], "register": register},
         "logs": {"positions_log": position_issues(enriched), "register_log": register_issues(register),
@@ -64,12 +68,14 @@ def rebuild(tables: Tables, dims: Tables, share: Settle = settle) -> dict[str, D
     }
 
 
-def review_run(tables: Tables, logs: Tables, dims: Tables) -> dict[str, Tables]:
-    """Rebuild everything, apply the register reviewers' actions, and extend the logs. Repeatable."""
-    data = rebuild(tables, dims)
+def review_run(tables: Tables, logs: Tables, dims: Tables, share: Settle = settle) -> dict[str, Tables]:
+    """Rebuild everything, apply the register reviewers' actions, and extend the logs. Repeatable. The rebuilt
+    positions are written before the log is made from them."""
+    data = rebuild(tables, dims, share)
+    data["positions"] = share(data["positions"], "positions")
     register_log = refresh_register_log(logs["register_log"])
-    data["register"], register_log = apply_actions(data["register"], register_log,
-                                                   ["ide_linkage_ref", "customer_nr"])
+    register, register_log = apply_actions(data["register"], register_log, ["ide_linkage_ref", "customer_nr"])
+    data["register"] = share(register, "register")
 
     def extended(log: DataFrame, issues: DataFrame) -> DataFrame:
         return log.unionByName(issues, allowMissingColumns=True)
@@ -79,18 +85,31 @@ def review_run(tables: Tables, logs: Tables, dims: Tables) -> dict[str, Tables]:
                      "positions_log": extended(logs["positions_log"], position_issues(data["positions"]))}}
 
 
-def apply_position_actions(tables: Tables, log: DataFrame, dims: Tables) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Position reviewers' actions, then everything rebuilt from the result."""
-    positions, log = apply_actions(tables["positions"], log)
-    return rebuild({**tables, "positions": positions}, dims), log
+def apply_position_actions(tables: Tables, log: DataFrame, dims: Tables, keys: Sequence[str] | None = None,
+                           share: Settle = settle) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Position reviewers' actions, then everything rebuilt from the result.
+
+    A log row is about the rows equal to it in all columns, so one that the first run logged, without the risk columns,
+    finds nothing after a review; with ``keys`` only those columns are compared.
+    """
+    positions, log = apply_actions(tables["positions"], log, keys)
+    return rebuild({**tables, "positions": positions}, dims, share), log
 
 
-def final_run(tables: Tables, dims: Tables, in_millions: bool = False, share: Settle = settle) -> dict[str, DataFrame]:
+def final_run(tables: Tables, dims: Tables, in_millions: bool = False, share: Settle = settle,
+              positions_log: DataFrame | None = None, keys: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """All reconciliations and reports over enriched tables (as the review run leaves them).
 
+    With ``positions_log`` its pending actions are applied first and everything is rebuilt; the log, with what was done
+    marked, is then the output ``positions_log``, to be written back.
+
     The positions are read four times, each time for a few columns: for the account cells, the country
     figures, the asset and the liability lines. All else works on the small results, which ``share`` settles.
     """
+    marked = None
+    if positions_log is not None:
+        tables, marked = apply_position_actions(tables, positions_log, dims, keys, share)
+        tables["positions"] = share(tables["positions"].select(*REPORTED), "positions")
     positions = tables["positions"]
     cells = share(position_cells(positions), "cells")
     rec = share(reconcile(tables["ledger"], cells), "reconciliation")
@@ -106,4 +125,13 @@ def final_run(tables: Tables, dims: Tables, in_millions: bool = False, share: Se
         out.update({f"country_{letter}": df for letter, df in reports.scaled(table).items()})
     else:
         out["country"] = reports.wide(table)
-    return out
+    return out if marked is None else {**out, "positions_log": marked}
+
+
+def run_counts(started: Mapping[str, Tables], log: DataFrame | None = None) -> DataFrame:
+    """What a run reports of itself: (what, n) with the duplicates found, and the log rows by action and status."""
+    lines = started["logs"]["duplicates"].selectExpr("'duplicates' AS what").unionByName(
+        started["logs"]["positions_log"].selectExpr("concat('position issue: ', log_reason) AS what"))
+    if log is not None:
+        lines = lines.unionByName(log.selectExpr(f"concat('action: ', {ACTION}, ', ', coalesce(status, 'PENDING')) AS what"))
+    return lines.groupBy("what").agg(F.expr("count(*) AS n"))

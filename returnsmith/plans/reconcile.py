@@ -63,6 +63,18 @@ def position_cells(positions: DataFrame) -> DataFrame:
     return figures(rows, CELL_KEYS, **CELL_SUMS, seq_first="min(seq)", seq_last="max(seq)")
 
 
+def account_cells(positions: DataFrame) -> DataFrame:
+    """The same sums without key and risk country: what the account measures alone need of the positions."""
+    rows = exact(positions, "rca_bookv", "rca_accrint", "rca_deferred_fee", "rca_mtm_negative", "rca_mtm_positive")
+    return figures(rows, [k for k in CELL_KEYS if k not in ("key", "risk_in")], **CELL_SUMS)
+
+
+def valuation_cells(positions: DataFrame) -> DataFrame:
+    """Valuation amounts by valuation account: what the derivatives check needs of the positions."""
+    rows = exact(positions, "rca_mtm_negative", "rca_mtm_positive")
+    return figures(rows, ["valuation_code"], mtm=CELL_SUMS["mtm"])
+
+
 def _roles(*roles: str, code: str = "{}") -> str:
     return "inline(array(" + ", ".join(
         f"struct({text(r)} AS role, {code.format(ROLE_CODES[r])} AS code)" for r in roles) + "))"

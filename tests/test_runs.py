@@ -11,7 +11,7 @@ from returnsmith.plans import lifecycle
 from returnsmith.plans.positions import add_risk, enrich_positions
 from returnsmith.plans.register import build_register
 from returnsmith.schemas import FACILITY, POSITIONS
-from returnsmith.session import scratch_path, settle, shared_dir
+from returnsmith.session import run_scratch, scratch_path, settle, shared_dir, tune
 from returnsmith.sources import bundle, warehouse
 from returnsmith.sources.readers import conform
 
@@ -70,13 +70,68 @@ def test_position_actions_rebuild_everything(feed):
     assert tables["positions"].columns == enriched["positions"].columns
 
 
-def test_risk_is_the_same_with_a_large_register(feed, monkeypatch, rows):
-    positions = enrich_positions(feed.table("positions"), feed.dims())
+def test_risk_needs_one_scan_of_the_positions(spark, feed):
+    path = scratch_path(spark, "positions")
+    enrich_positions(feed.table("positions"), feed.dims()).write.parquet(path)
+    positions = spark.read.parquet(path)
     register = settle(build_register(positions, feed.table("register_now"), feed.table("register_last")), "register")
-    names = ("seq", "deal_code", "customer_nr", "risk_in", "risk_transfer", "risk_in_sector")
-    one_pass = rows(add_risk(positions, register), *names)
-    monkeypatch.setattr("returnsmith.plans.positions.known_small", lambda df: False)
-    assert rows(add_risk(positions, register), *names) == one_pass
+    shown = add_risk(positions, register)._jdf.queryExecution().executedPlan().toString()
+    assert sum(path.removeprefix("file:") in line for line in shown.splitlines() if "FileScan" in line) == 1
+
+
+def test_first_run_removes_repeats_once(spark, feed, monkeypatch):
+    calls = []
+    monkeypatch.setattr(lifecycle, "drop_repeats", lambda *a, **k: calls.append(1) or a[0])
+    with run_scratch(spark) as share:
+        started = lifecycle.initial_run({"positions": conform(feed.table("positions"), POSITIONS, ["seq"]),
+                                         "ledger": feed.table("ledger"), "facility": feed.table("facility")}, feed.dims(), share=share)
+        for df in (started["raw"]["positions"], started["raw"]["register"], *[started["logs"][n] for n in ("positions_log", "register_log")]):
+            shown = df._jdf.queryExecution().executedPlan().toString()
+            scans = [line for line in shown.splitlines() if "FileScan" in line]
+            assert scans and not any("lineitem" in line for line in scans)
+        folder = started["raw"]["register"].inputFiles()[0].rsplit("/", 2)[0]
+        assert os.path.isdir(folder.removeprefix("file://"))
+    assert calls == [1] and not os.path.exists(folder.removeprefix("file://"))
+
+
+def test_final_run_applies_position_actions(feed):
+    dims = feed.dims()
+    tables = lifecycle.rebuild({"positions": feed.table("positions"), "facility": feed.table("facility"), "ledger": feed.table("ledger")}, dims)
+    log = tables["positions"].where("currency = 'AUD'").selectExpr("*", "'delete' AS record_action", "'PENDING' AS status")
+    out = lifecycle.final_run(tables, dims, positions_log=log)
+    assert [r.status for r in out["positions_log"].select("status").distinct().collect()] == ["DONE"]
+    assert out["assets"].where("report_ccy = 'AUD'").count() == 0 < lifecycle.final_run(tables, dims)["assets"].where("report_ccy = 'AUD'").count()
+
+
+def test_a_bundle_that_dies_between_two_tables_leaves_the_one_before(spark):
+    path = scratch_path(spark, "bundle")
+    bundle.write_bundle({"a": spark.range(1), "b": spark.range(1)}, path)
+    with pytest.raises(Exception):
+        bundle.write_bundle({"a": spark.range(2), "b": spark.range(2).selectExpr("raise_error('x') AS id")}, path)
+    assert [df.count() for df in bundle.read_bundle(spark, path).values()] == [1, 1]
+    bundle.write_bundle({"a": spark.range(3), "b": spark.range(3)}, path)
+    assert [df.count() for df in bundle.read_bundle(spark, path).values()] == [3, 3]
+    bundle.write_bundle({"a": spark.range(9)}, path, only=[])
+    assert bundle.read_bundle(spark, path)["a"].count() == 3 and bundle.read_bundle(spark, path, names=[]) == {}
+
+
+def test_reports_of_several_parts_are_read_back_in_order(spark):
+    path = scratch_path(spark, "reports")
+    rows = spark.createDataFrame([("b", 2), ("a", 1), ("c", 3)], "country string, n int").repartition(3)
+    bundle.write_report({"x": rows, "y": rows.select("n")}, path, "country", order_by=["country"])
+    saved = bundle.read_bundle(spark, path)
+    assert set(saved) == {"country_x", "country_y"}
+    assert [r.country for r in saved["country_x"].coalesce(1).collect()] == ["a", "b", "c"]
+
+
+def test_settings_of_the_user_are_kept(spark):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        assert tune(spark).conf.get(name) == "false"
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_extraction_gives_the_raw_tables(feed):
