@@ -12,9 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from returnsmith.operators.lookup import inline_table, prepare
-from returnsmith.schemas import LEDGER
-from returnsmith.sources.readers import spread
+from returnsmith.operators.lookup import inline_table
+from returnsmith.schemas import LEDGER, POSITIONS
 
 AS_OF, ENTITY, LOT = "1998-07-31", "106", 992
 COUNTRY_CODES = "AUCNUSGBSGHKJPDEFRNZKRINIDTHMYPHVNTWCAMXBRZAAEXXNL"
@@ -65,6 +64,9 @@ FROM <orders> WHERE o_orderstatus IN ({statuses})"""
 
 
 # name -> body; <x> is a driver table or another body
+_POSITION_NAMES = ", ".join(POSITIONS.names)
+_COPY = 10 ** 16  # above every row number
+
 BODIES = {
     "position_rows": f"""
 SELECT '106' AS ide_internal_party_ref,
@@ -99,10 +101,10 @@ SELECT '106' AS ide_internal_party_ref,
   CASE WHEN l_linenumber = 7 THEN 'FASM' WHEN l_linenumber IN (3,4,6) THEN 'swap' ELSE 'loan' END AS source_table,
   CAST(o_orderdate AS DATE) AS value_date, CAST(l_shipdate AS DATE) AS maturity_date,
   CASE l_suppkey % 3 WHEN 0 THEN '2' WHEN 1 THEN '002' ELSE 'fee' END AS source_system,
-  CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS seq
+  CAST(((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 64 + l_quantity AS BIGINT) AS seq
 FROM <lineitem> JOIN <orders> ON o_orderkey = l_orderkey JOIN <customer> ON c_custkey = o_custkey JOIN <part> ON p_partkey = l_partkey""",
 
-    "positions": f"""
+    "position_base": f"""
 SELECT ide_internal_party_ref, ide_linkage_ref, ide_linkage_type, ide_sourcesys_ref, lot_type_fk, rca_accrint, rca_bookv,
   rca_marketv, rca_prov_coll, rca_prov_indi, rv_coa, rv_cpty_type, rv_rel_party_type, currency AS rv_currency_sub_group,
   CAST({TENOR_CODE} AS INT) AS rv_mat_original, CAST({TENOR_CODE} AS INT) AS rv_mat_remaining, rca_deferred_fee, rca_mtm_negative, rca_mtm_positive,
@@ -110,6 +112,15 @@ SELECT ide_internal_party_ref, ide_linkage_ref, ide_linkage_type, ide_sourcesys_
   CAST(NULL AS STRING) AS tfi_id, source_table, value_date, maturity_date, source_system, seq
 FROM <position_rows>""",
 
+    "positions": "SELECT * FROM <position_base>",
+
+    # the feed as delivered: some positions again under another customer or none, some as they are
+    "feed": f"""
+SELECT {_POSITION_NAMES}, seq FROM <position_base>
+UNION ALL SELECT {_POSITION_NAMES.replace("customer_nr", "CASE WHEN seq % 3 = 0 THEN NULL ELSE '9' || customer_nr END AS customer_nr")},
+  seq + {_COPY} FROM <position_base> WHERE seq % 7 = 0
+UNION ALL SELECT {_POSITION_NAMES}, seq + 2 * {_COPY} FROM <position_base> WHERE seq % 5 = 0""",
+
     "ledger": f"SELECT {_LEDGER_COLUMNS} FROM <orders>",
 
     "facility": f"""
@@ -118,7 +129,7 @@ SELECT '106' AS entity, CAST(o_orderkey AS STRING) AS facility_nr, CAST(o_custke
   concat('FAC', CASE o_orderkey % 3 WHEN 0 THEN '6101' WHEN 1 THEN '6201' ELSE '6301' END) AS deal_type,
   {CURRENCY} AS currency, o_totalprice AS obs_amount, c_mktsegment AS counterparty_type,
   CASE WHEN c_nationkey = 21 THEN NULL ELSE {COUNTRY} END AS domicile, CAST(NULL AS STRING) AS source_system
-FROM <orders> JOIN <customer> ON c_custkey = o_custkey WHERE o_orderstatus = 'P'""",
+FROM <orders> JOIN <customer> ON c_custkey = o_custkey""",
 
     "register_now": _register("'F', 'P'", 0),
     "register_last": _register("'F', 'O'", 1),
@@ -283,8 +294,7 @@ class Feed:
 
     def _make(self, name: str) -> DataFrame:
         if name in BASE_SCHEMAS:
-            df = self.spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
-            return spread(df, "l_orderkey", "l_partkey") if name == "lineitem" else df
+            return self.spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
         steps = in_order(name)
         base = {ref for step in steps for ref in refs(BODIES[step]) if ref in BASE_SCHEMAS}
         bodies = {step: re.sub(r"<(\w+)>", lambda m: f"{{{m[1]}}}" if m[1] in base else m[1], BODIES[step]) for step in steps}
@@ -297,7 +307,7 @@ class Feed:
         return inline_table(self.spark, f"seq {columns}", [(i, *row) for i, row in enumerate(rows)])
 
     def dims(self) -> dict[str, DataFrame]:
-        small = self.once("dims", lambda: prepare({name: self.rows(name) for name in DIM_ROWS}))
+        small = self.once("dims", lambda: {name: self.rows(name) for name in DIM_ROWS})
         return {**small, **{name: self.table(name) for name in DIM_TABLES}}
 
     def warehouse(self) -> Warehouse:

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import re
 
+from returnsmith.plans.positions import ACCOUNT_RULES, ROW_RULES
+from returnsmith.plans.reconcile import DERIVATIVE_GROUPS
+from returnsmith.schemas import POSITIONS
 from catalog.adapter import AS_OF, BASE_SCHEMAS, BODIES, DIM_ROWS, ENTITY, LOT, duckdb_body
 
 
 
 def m(col: str) -> str:
-    return f"CAST({col} AS DECIMAL(18,4))"
+    return f"CAST(CAST({col} AS VARCHAR) AS DECIMAL(38,8))"
 
 
 def dbl(expr: str, name: str) -> str:
@@ -55,6 +58,8 @@ POSITION_COLUMNS = """ide_internal_party_ref, ide_linkage_ref, ide_linkage_type,
   source_system"""
 NO_TFI = POSITION_COLUMNS.replace("tfi_id, ", "")
 OWNED = """coalesce(currency, 'NA') AS currency, key, risk_in, seq"""
+CONTENT = ", ".join(n for n in POSITIONS.names if n != "customer_nr")
+# labels as the report matches them (fixed values)
 SECTOR_TESTS = {
     "banking": "regexp_matches({c}, '^Banking:.*') AND {c} <> 'Banking: central banks'",
     "central_banks": "regexp_matches({c}, 'Banking: central bank')",
@@ -256,10 +261,14 @@ SELECT r.ide_internal_party_ref, r.ide_linkage_ref, r.ide_linkage_type, r.ide_so
 FROM (SELECT * FROM wh_records_derivative WHERE lot_type_fk = {LOT}) r LEFT JOIN trn t ON r.ide_linkage_ref = t.deal_id""",
 
     # quality and review
-    "feed": """SELECT ide_linkage_type, rv_coa, rv_cpty_type, rv_rel_party_type, currency, deal_type, customer_nr, nationality,
-  source_system FROM positions""",
-    "dups": """SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY ide_linkage_type, rv_coa, rv_cpty_type,
-  rv_rel_party_type, currency, deal_type, nationality, source_system ORDER BY customer_nr ASC NULLS FIRST) AS n FROM feed) WHERE n > 1""",
+    "dups": f"""SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY {CONTENT}
+  ORDER BY customer_nr ASC NULLS FIRST, seq DESC) AS n FROM feed) WHERE n > 1""",
+    "dedup": f"""SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY {CONTENT}
+  ORDER BY customer_nr DESC NULLS LAST, seq) AS n FROM feed) WHERE n = 1""",
+    "log_all": """
+SELECT * EXCLUDE (record_action), CASE currency WHEN 'AUD' THEN 'Delete' WHEN 'USD' THEN 'UPDATE' WHEN 'CNY' THEN 'insert'
+    WHEN 'EUR' THEN '' END AS record_action, CASE WHEN ide_sourcesys_ref = '022' THEN 'DONE' ELSE 'PENDING' END AS status FROM issues""",
+    "todo_all": "SELECT *, lower(coalesce(record_action, '')) AS act FROM log_all WHERE status <> 'DONE'",
     "issues": """
 SELECT *, 'NA key with non-zero rca' AS log_reason, '' AS record_action FROM enriched
 WHERE vis_sector IS NULL AND coalesce(rca_accrint, 0) + coalesce(rca_bookv, 0) + coalesce(rca_marketv, 0) + coalesce(rca_prov_coll, 0)
@@ -342,6 +351,7 @@ def _doubles(names: str) -> str:
     return ", ".join(dbl(n, n) for n in names.split())
 
 
+ENRICHED = ", ".join([*[n for n in POSITIONS.names if n != "tfi_id"], "seq", "ale", "report_ccy", *ROW_RULES, *ACCOUNT_RULES])
 REC_KEYS = "ap_code, ap_name, ccy, coa, ale"
 LOGGED = "seq, ide_linkage_ref, customer_nr, currency, rca_bookv, rca_accrint, vis_sector"
 A_COLUMNS = "a_gl_adj a_le_3m a_m3_12m a_y1_2y a_y2_5y a_ge_5y a_maturity_adj a_total a_unallocated"
@@ -377,12 +387,7 @@ UNMATCHED = " UNION ALL ".join(
         ("source_class", "ide_linkage_type+rv_coa", "d.linkage_type = p.ide_linkage_type AND d.coa = p.rv_coa"),
         ("source_class", "ide_linkage_type", "d.linkage_type = p.ide_linkage_type"))))
 
-_DERIVATIVES = {
-    "1": "7444 7801 7802", "2": "8576 8801 8802", "3": "7444 7804 7805", "4": "8576 8804 8805",
-    "5": "7342 7811 7812 7814 7815 7816 7817 7818 7823 7830 7831 7832 7833 7834 7835 7836",
-    "6": "8342 8811 8812 8814 8815 8816 8817 8818 8823 8830 8831 8832 8833 8834 8835 8836",
-}
-_ACCOUNTS = ", ".join(f"('{g}', {i}, '{code}')" for g, codes in _DERIVATIVES.items() for i, code in enumerate(codes.split(), 1))
+_ACCOUNTS = ", ".join(f"('{g}', {i}, '{code}')" for g, codes in DERIVATIVE_GROUPS.items() for i, code in enumerate(codes, 1))
 V["derivative_lines"] = f"""
 SELECT *, CASE WHEN grp IN ('1', '3', '5') THEN coalesce(rca_mtm, 0) + dm010 ELSE coalesce(rca_mtm, 0) - dm010 END AS diff FROM (
 SELECT t.grp, t.line, t.code, a.suffix_name AS name, v.mtm AS rca_mtm, round_even(coalesce((SELECT {sums('aud_equivalent')} FROM gl
@@ -415,7 +420,7 @@ _LINES = "report_ccy, vis_sector, vis_country, "
 _REC = "total rca_bookv rca_accrint rca_deferred_fee rca_mtm impact_a impact_l adjustment rt30_total diff"
 _NO_NULL = "CASE WHEN {0} IN ('-1.#IND','1.#QNAN','1.#IND','-1.#QNAN','#N/A N/A','#N/A','N/A','n/a','<NA>','#NA','NULL','null','NaN','-NaN','nan','-nan','None','') THEN NULL ELSE {0} END AS {0}"
 _KEYS_OF = "l.ide_linkage_ref IS NOT DISTINCT FROM d.ide_linkage_ref AND l.customer_nr IS NOT DISTINCT FROM d.customer_nr"
-_ALL_OF = " AND ".join(f"l.{n} IS NOT DISTINCT FROM d.{n}" for n in LOGGED.split(", "))
+_ALL_OF = " AND ".join(f"l.{n} IS NOT DISTINCT FROM d.{n}" for n in ENRICHED.split(", "))
 
 
 def _acted(match: str) -> str:
@@ -481,12 +486,12 @@ FROM facility f LEFT JOIN reg_customer r ON f.customer_nr IS NOT DISTINCT FROM r
     "rmd_period_check": """SELECT seq, ide_linkage_ref, this_country, last_country, check_country, this_type, last_type, check_type
 FROM register""",
     "facility_enriched": "SELECT facility_nr, customer_nr, ap_code, guarantee, domicile, risk_country, obs_amount FROM fac",
-    "dq_duplicates": "SELECT * FROM dups",
-    "dq_dedup_keep": """SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY ide_linkage_type, rv_coa, rv_cpty_type,
-  rv_rel_party_type, currency, deal_type, nationality, source_system ORDER BY customer_nr DESC NULLS LAST) AS n FROM feed) WHERE n = 1""",
+    "dq_duplicates": "SELECT * EXCLUDE (tfi_id) FROM dups",
+    "dq_dedup_keep": "SELECT * EXCLUDE (tfi_id) FROM dedup",
     "dq_duplicate_sets": """SELECT seq, customer_nr, currency, rv_coa, value_date, rca_bookv FROM positions
 QUALIFY count(*) OVER (PARTITION BY customer_nr, currency, rv_coa, value_date) > 1""",
-    "dq_duplicate_log_merge": "SELECT * FROM dups UNION SELECT * FROM dups WHERE currency = 'AUD'",
+    "dq_duplicate_log_merge": """SELECT * EXCLUDE (tfi_id, seq) FROM dups UNION SELECT * EXCLUDE (tfi_id, seq) FROM dups
+WHERE currency = 'AUD'""",
     "dq_position_issues": """SELECT seq, vis_sector, valuation_code, rca_bookv, rca_mtm_negative, log_reason, record_action FROM issues""",
     "dq_register_issues": """SELECT seq, ide_linkage_ref, check_country, check_type, 'False check flag found' AS log_reason,
   '' AS record_action FROM register WHERE check_country = 'false' OR check_type = 'false'""",
@@ -494,7 +499,9 @@ QUALIFY count(*) OVER (PARTITION BY customer_nr, currency, rv_coa, value_date) >
     "rev_delete": f"""SELECT {LOGGED} FROM data d WHERE NOT EXISTS (SELECT 1 FROM log l WHERE lower(l.record_action) = 'delete'
   AND {_KEYS_OF})""",
     "rev_apply_actions": _acted(_KEYS_OF),
-    "rev_apply_actions_all_columns": _acted(_ALL_OF),
+    "rev_apply_actions_all_columns": f"""SELECT {ENRICHED} FROM enriched d WHERE NOT EXISTS (SELECT 1 FROM todo_all l
+WHERE act IN ('delete', 'update') AND l.seq = d.seq AND {_ALL_OF})
+UNION ALL SELECT {ENRICHED} FROM todo_all WHERE act IN ('update', 'insert')""",
     "rev_status": f"""SELECT {LOGGED}, log_reason, record_action, CASE WHEN lower(coalesce(record_action, ''))
   IN ('delete', 'update', 'insert') THEN 'DONE' ELSE status END AS status FROM log""",
     "rec_gl_pivot": f"SELECT {REC_KEYS}, {_doubles('total')}, ale_opposite FROM gl_pivot",
@@ -527,7 +534,28 @@ LEFT JOIN x_c_inward USING (country) WHERE country IS NOT NULL""",
 }
 
 
-def _body(name: str) -> str:
+# the runs work on the feed: what the reports call positions is what the run before left
+_AFTER_FIRST = {"positions": "SELECT * FROM dedup"}
+_AFTER_ACTIONS = {"positions": "SELECT * FROM dedup WHERE NOT coalesce(currency = 'AUD' AND ide_linkage_type = '1', false)"}
+RUNS: dict[str, tuple[str, dict[str, str]]] = {
+    "run_initial_positions": ("SELECT * EXCLUDE (tfi_id) FROM positions", _AFTER_FIRST),
+    "run_initial_register": (FINAL["rmd_register"], _AFTER_FIRST),
+    "run_initial_duplicates": (FINAL["dq_duplicate_log_merge"], {}),
+    "run_initial_position_log": (FINAL["dq_position_issues"], _AFTER_FIRST),
+    "run_review_positions": (FINAL["pos_enriched"], _AFTER_FIRST),
+    "run_final_assets": (FINAL["rpt_assets"], _AFTER_ACTIONS),
+    "run_final_country": (FINAL["rpt_b_wide"], _AFTER_ACTIONS),
+    "run_final_position_log": ("""SELECT seq, risk_in, 'delete' AS record_action, 'DONE' AS status FROM risk
+WHERE currency = 'AUD' AND ide_linkage_type = '1'""", _AFTER_FIRST),
+}
+_JOB = "ale, cat_asset, report_ccy, sector_by_party, class_by_link"
+FINAL["job_mapped_positions"] = f"SELECT 'parquet' AS source, seq, {_JOB} FROM mapped UNION ALL SELECT 'table', seq, {_JOB} FROM mapped"
+FINAL.update({name: body for name, (body, _) in RUNS.items()})
+
+
+def _body(name: str, instead: dict[str, str]) -> str:
+    if name in instead:
+        return instead[name]
     if name in BODIES or name.startswith("d_"):
         return re.sub(r"<(\w+)>", r"\1", duckdb_body(name))
     return V[name]
@@ -540,15 +568,16 @@ def _mentioned(body: str) -> list[str]:
     return [n for n in dict.fromkeys(found) if (n in BODIES or n in V) and n not in BASE_SCHEMAS]
 
 
-def _needed(body: str, out: list[str]) -> None:
+def _needed(body: str, out: list[str], instead: dict[str, str]) -> None:
     for name in _mentioned(body):
         if name not in out:
-            _needed(_body(name), out)
+            _needed(_body(name, instead), out, instead)
             out.append(name)
 
 
 def oracle_query(name: str) -> str:
+    instead = RUNS[name][1] if name in RUNS else {}
     steps: list[str] = []
-    _needed(FINAL[name], steps)
-    ctes = ", ".join(f"{step} AS ({_body(step)})" for step in steps)
+    _needed(FINAL[name], steps, instead)
+    ctes = ", ".join(f"{step} AS ({_body(step, instead)})" for step in steps)
     return f"WITH {ctes} {FINAL[name]}" if ctes else FINAL[name]

@@ -18,6 +18,7 @@ from returnsmith.plans import reports
 from returnsmith.plans.chains import POSITION_CHAIN
 from returnsmith.plans.facility import enrich_facility
 from returnsmith.plans.ledger import enrich_ledger
+from returnsmith.plans import jobs, lifecycle
 from returnsmith.plans.lifecycle import REPORTED
 from returnsmith.plans.quality import position_issues, register_issues
 from returnsmith.schemas import FACILITY, LEDGER, POSITIONS
@@ -87,11 +88,33 @@ def country_table(f: Feed) -> DataFrame:
     return settle(reports.country_report(positions, facility(f), figures, f.dims()["country"]), "country")
 
 
-def feed_without_ids(f: Feed) -> DataFrame:
-    """Positions as a source without row identity would deliver them: many equal but for the customer."""
-    return f.table("positions").select(
-        "ide_linkage_type", "rv_coa", "rv_cpty_type", "rv_rel_party_type", "currency", "deal_type", "customer_nr",
-        "nationality", "source_system")
+def delivered(f: Feed) -> DataFrame:
+    """The feed as a source delivers it, all columns: some rows come again, with another customer, none, or the same."""
+    return conform(f.table("feed"), POSITIONS, ["seq"])
+
+
+def started(f: Feed) -> dict:
+    """The first run over the feed, with the log of a run before it that saw part of the feed."""
+    def make() -> dict:
+        raw = {"positions": delivered(f), "ledger": conform(f.table("ledger"), LEDGER), "facility": conform(f.table("facility"), FACILITY)}
+        before = dedup.repeats(delivered(f).where("currency = 'AUD'"), "customer_nr", order_by="seq").drop("seq")
+        return lifecycle.initial_run(raw, f.dims(), before)
+    return f.once("started", make)
+
+
+def reviewed_run(f: Feed) -> dict:
+    first = started(f)
+    return f.once("review", lambda: lifecycle.review_run(first["raw"], {k: review.with_status(v) for k, v in first["logs"].items()}, f.dims()))
+
+
+def final(f: Feed) -> dict:
+    """The final run with position actions: reviewers deleted the AUD positions of one linkage type."""
+    def make() -> dict:
+        tables = reviewed_run(f)["updated"]
+        log = tables["positions"].where("currency = 'AUD' AND ide_linkage_type = '1'").selectExpr(
+            "*", "'delete' AS record_action", "'PENDING' AS status")
+        return lifecycle.final_run(tables, f.dims(), positions_log=log)
+    return f.once("final", make)
 
 
 def reviewed_log(f: Feed, issues: DataFrame, columns: list[str]) -> DataFrame:
@@ -369,12 +392,12 @@ def facility_enriched(f: Feed) -> DataFrame:
 
 @query
 def dq_duplicates(f: Feed) -> DataFrame:
-    return dedup.repeats(feed_without_ids(f), "customer_nr")
+    return dedup.repeats(delivered(f), "customer_nr", order_by="seq").drop("tfi_id")
 
 
 @query
 def dq_dedup_keep(f: Feed) -> DataFrame:
-    return dedup.drop_repeats(feed_without_ids(f), "customer_nr")
+    return dedup.drop_repeats(delivered(f), "customer_nr", order_by="seq").drop("tfi_id")
 
 
 @query
@@ -385,9 +408,9 @@ def dq_duplicate_sets(f: Feed) -> DataFrame:
 
 @query
 def dq_duplicate_log_merge(f: Feed) -> DataFrame:
-    feed = feed_without_ids(f)
-    return dedup.merge_log(dedup.repeats(feed.where("currency = 'AUD'"), "customer_nr"),
-                           dedup.repeats(feed, "customer_nr"))
+    feed = delivered(f)
+    return dedup.merge_log(dedup.repeats(feed.where("currency = 'AUD'"), "customer_nr", order_by="seq").drop("seq"),
+                           dedup.repeats(feed, "customer_nr", order_by="seq").drop("seq")).drop("tfi_id")
 
 
 @query
@@ -431,8 +454,9 @@ def rev_apply_actions(f: Feed) -> DataFrame:
 
 @query
 def rev_apply_actions_all_columns(f: Feed) -> DataFrame:
-    data, log = position_log(f)
-    return review.apply_actions(data, log)[0]
+    base = enriched(f)
+    log = reviewed_log(f, position_issues(base), base.columns)
+    return review.apply_actions(base, log)[0].drop("tfi_id")
 
 
 @query
@@ -453,14 +477,20 @@ def rec_gl_full(f: Feed) -> DataFrame:
     return rec.gl_reconciliation(ledger(f), with_risk(f))
 
 
-def _of_full(*columns: str) -> Query:
-    return lambda f: rec_gl_full(f).select(*rec.LEDGER_KEYS, *columns)
+def measured(f: Feed) -> DataFrame:
+    """Ledger accounts with their position sums. Needs no register: the sums go by account, not by risk country."""
+    sums = rec.account_measures(rec.account_cells(enriched(f)))
+    return rec.add_measures(rec.add_adjustment(rec.ledger_pivot(ledger(f))), sums)
+
 
+def _measured(*columns: str) -> Query:
+    return lambda f: as_double(measured(f).select(*rec.LEDGER_KEYS, *columns))
 
-QUERIES["rec_gl_bookv"] = _of_full("ale_opposite", "rca_bookv")
-QUERIES["rec_gl_measures"] = _of_full("rca_accrint", "rca_deferred_fee", "rca_mtm")
-QUERIES["rec_gl_diff"] = _of_full("rt30_total", "total", "diff", "diff_desc")
-QUERIES["rec_gl_impact"] = _of_full("impact_a", "impact_l")
+
+QUERIES["rec_gl_bookv"] = _measured("ale_opposite", "rca_bookv")
+QUERIES["rec_gl_measures"] = _measured("rca_accrint", "rca_deferred_fee", "rca_mtm")
+QUERIES["rec_gl_impact"] = _measured("impact_a", "impact_l")
+QUERIES["rec_gl_diff"] = lambda f: as_double(rec.add_diff(measured(f)).select(*rec.LEDGER_KEYS, "rt30_total", "total", "diff", "diff_desc"))
 
 
 @query
@@ -480,7 +510,7 @@ def rec_off_balance(f: Feed) -> DataFrame:
 
 @query
 def rec_derivatives(f: Feed) -> DataFrame:
-    return as_double(rec.derivatives_check(rec.position_cells(with_risk(f)), ledger(f), f.dims()))
+    return as_double(rec.derivatives_check(rec.valuation_cells(enriched(f)), ledger(f), f.dims()))
 
 
 # ---- reports ----------------------------------------------------------------------------------
@@ -548,3 +578,69 @@ def rpt_b_scaled(f: Feed) -> DataFrame:
         rows = rows.withColumn("part", F.lit(letter))
         long = rows if long is None else long.unionByName(rows)
     return long
+
+
+# ---- runs -------------------------------------------------------------------------------------
+
+@query
+def run_initial_positions(f: Feed) -> DataFrame:
+    return started(f)["raw"]["positions"].drop("tfi_id")
+
+
+@query
+def run_initial_register(f: Feed) -> DataFrame:
+    return started(f)["raw"]["register"].drop("check_country", "check_type")
+
+
+@query
+def run_initial_duplicates(f: Feed) -> DataFrame:
+    return started(f)["logs"]["duplicates"].drop("tfi_id")
+
+
+@query
+def run_initial_position_log(f: Feed) -> DataFrame:
+    return started(f)["logs"]["positions_log"].select("seq", "vis_sector", "valuation_code", "rca_bookv", "rca_mtm_negative",
+                                                      "log_reason", "record_action")
+
+
+@query
+def run_initial_counts(f: Feed) -> DataFrame:
+    return lifecycle.run_counts(started(f), reviewed_log(f, position_issues(enriched(f)), POSITION_LOG))
+
+
+@query
+def run_review_positions(f: Feed) -> DataFrame:
+    return reviewed_run(f)["updated"]["positions"].drop("tfi_id")
+
+
+@query
+def run_final_assets(f: Feed) -> DataFrame:
+    return final(f)["assets"]
+
+
+@query
+def run_final_country(f: Feed) -> DataFrame:
+    return final(f)["country"]
+
+
+@query
+def run_final_position_log(f: Feed) -> DataFrame:
+    return final(f)["positions_log"].select("seq", "risk_in", "record_action", "status")
+
+
+@query
+def job_mapped_positions(f: Feed) -> DataFrame:
+    """A mapping job from its description: a source, lookups, a chain and a target, over two sources and a bundle."""
+    home = scratch_path(f.spark, "job")
+    bundle.write_bundle({name: f.rows(name) for name in ("category", "ccy", "sector", "source_class")}, f"{home}/lookups", fmt="csv")
+    f.table("positions").write.parquet(f"{home}/positions")
+    f.table("positions").createOrReplaceTempView("job_positions")
+    sources = ({"type": "parquet", "path": f"{home}/positions"}, {"type": "table", "name": "job_positions"})
+    for i, source in enumerate(sources):
+        jobs.run_mapping(f.spark, {"source": source, "lookups": {"path": f"{home}/lookups", "format": "csv"},
+                                   "chain": POSITION_CHAIN, "target": {"path": f"{home}/out", "table": f"mapped_{i}"}})
+    newest = bundle.newest_bundle(f.spark, f"{home}/updated", f"{home}/out")
+    tables = bundle.read_bundle(f.spark, newest)
+    names = ("seq", "ale", "cat_asset", "report_ccy", "sector_by_party", "class_by_link")
+    return tables["mapped_0"].select(F.lit("parquet").alias("source"), *names).unionByName(
+        tables["mapped_1"].select(F.lit("table").alias("source"), *names))
