@@ -49,22 +49,23 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
 
 
-def masked_parts(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Which tokens meet a span, and (span, start, end) of each token's part in it; all lists ascend."""
+def masked_parts(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens meet a span, and rows (span, start, end) of each token's part in it; all lists ascend."""
     mask = np.zeros(len(starts), bool)
-    parts = []
+    parts = [np.zeros((0, 3), np.int32)]
     for k, (low, high) in enumerate(spans):
         a, b = np.searchsorted(ends, low, "right"), np.searchsorted(starts, high, "left")
-        mask[a:b] = True
-        parts += [(k, max(low, int(s)), min(high, int(e))) for s, e in zip(starts[a:b], ends[a:b], strict=True)]
-    return mask, parts
+        if a < b:
+            mask[a:b] = True
+            parts.append(np.stack([np.full(b - a, k), np.maximum(low, starts[a:b]), np.minimum(high, ends[a:b])], 1).astype(np.int32))
+    return mask, np.concatenate(parts)
 
 
-def loss_texts(formatted: str, parts: list[tuple[int, int, int]]) -> list[str]:
+def loss_texts(formatted: str, parts: np.ndarray) -> list[str]:
     """The unescaped text under the mask, span by span; tokens that share a character give it once."""
     out: dict[int, list[str]] = {}
     at = 0
-    for k, start, end in parts:
+    for k, start, end in parts.tolist():
         piece = out.setdefault(k, [])
         piece.append(formatted[max(at, start):max(at, end)])
         at = max(at, end)
@@ -78,7 +79,18 @@ def tokenizer(path: str) -> Tokenizer:
     return encoder
 
 
-_PART = pa.list_(pa.struct([("turn", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
+#: Conversations that are held as Python objects at a time.
+SLICE = 128
+
+
+def _lists(values: list[np.ndarray], flat: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]).astype(np.int32)), flat)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, SLICE):
+            yield batch.slice(low, SLICE)
 
 
 def format_chats(chats: DataFrame, tokenizer_file: str, loss_role: str = LOSS_ROLE) -> DataFrame:
@@ -91,7 +103,7 @@ def format_chats(chats: DataFrame, tokenizer_file: str, loss_role: str = LOSS_RO
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(tokenizer_file)
-        for batch in batches:
+        for batch in _slices(batches):
             texts, ids, losses, places = [], [], [], []
             for turns in batch.column("turns").to_pylist():
                 turns = [(t["role"] or "", t["text"] or "") for t in turns]
@@ -101,12 +113,15 @@ def format_chats(chats: DataFrame, tokenizer_file: str, loss_role: str = LOSS_RO
                 wanted = [k for k, (role, _) in enumerate(turns) if role == loss_role]
                 mask, parts = masked_parts(offsets[:, 0], offsets[:, 1], [spans[k] for k in wanted])
                 texts.append(formatted)
-                ids.append(encoded.ids)
-                losses.append(mask.tolist())
-                places.append([{"turn": wanted[k], "start": s, "end": e} for k, s, e in parts])
+                ids.append(np.array(encoded.ids, np.int32))
+                losses.append(mask)
+                parts[:, 0] = np.array(wanted, np.int32)[parts[:, 0]]
+                places.append(parts)
+            flat = np.concatenate(places)
+            struct = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, j])) for j in range(3)], names=["turn", "start", "end"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("conv_id"), pa.array(texts, pa.string()), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(losses, pa.list_(pa.bool_())), pa.array(places, _PART)],
+                [batch.column("conv_id"), pa.array(texts, pa.string()), _lists(ids, pa.array(np.concatenate(ids))),
+                 _lists(losses, pa.array(np.concatenate(losses))), _lists(places, struct)],
                 names=["conv_id", "formatted", "ids", "loss", "parts"])
 
     grouped = chats.groupBy(F.col("conv_id").cast("bigint").alias("conv_id")).agg(
@@ -118,11 +133,12 @@ def format_chats(chats: DataFrame, tokenizer_file: str, loss_role: str = LOSS_RO
 def digests(formatted: DataFrame) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), read back from the output alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
-            for text, parts in zip(batch.column("formatted").to_pylist(), batch.column("parts").to_pylist(), strict=True):
+            for text, parts in zip(batch.column("formatted").to_pylist(), batch.column("parts"), strict=True):
                 turns = read_back(text)
-                loss = "".join(loss_texts(text, [(p["turn"], p["start"], p["end"]) for p in parts]))
+                rows = np.stack([parts.values.field(j).to_numpy() for j in range(3)], 1)
+                loss = "".join(loss_texts(text, rows))
                 whole = "".join(f"{role}\n{body}\n" for role, body in turns)
                 out.append((len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
                             hashlib.sha256(loss.encode()).hexdigest(), len(text)))
