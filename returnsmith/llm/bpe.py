@@ -19,8 +19,12 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from returnsmith.llm.text import blocks
+
 #: Texts longer than this (code points) are encoded in pieces of about this size.
 PIECE_CHARS = 65_536
+#: Rows that are decoded at a time.
+ROWS = 256
 _SAFE = regex.compile(r"(?<=[^\s\x1c-\x1f\x85])[ \n]")
 
 
@@ -60,7 +64,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_column: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(rank_file, pattern)
-        for batch in batches:
+        for batch in blocks(batches, text_column):  # ids are Python objects for one block at a time
             ids = [[t for p in pieces(text) for t in encoder.encode_ordinary(p)] if text and len(text) > PIECE_CHARS
                    else encoder.encode_ordinary(text or "") for text in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, _lists(ids)], names=[*batch.schema.names, ids_column])
@@ -79,7 +83,7 @@ def decode(docs: DataFrame, rank_file: str, pattern: str, ids_column: str = "ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(rank_file, pattern)
-        for batch in batches:
+        for batch in (b.slice(low, ROWS) for b in batches for low in range(0, b.num_rows, ROWS)):
             column = batch.column(place)
             column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
             out = [None if not x.is_valid else encoder.decode_bytes(x.values.to_numpy().tolist()) for x in column]
