@@ -2,7 +2,8 @@
 
 Assignments, access keys and hex runs are reported as they match. A base64 or hex run that could be more than
 noise is decoded, and reported only if its bytes parse: an ASN.1 key whose nested lengths fit exactly, an SSH key made of
-length-prefixed fields, or a signed token whose header and body are JSON objects.
+length-prefixed fields, or a signed token whose header and body are JSON objects. Base64 is read in both alphabets, behind
+``NAME=``, and over lines of any width from 24 on that are parted by line feeds or by their escapes, indented or not.
 """
 
 from __future__ import annotations
@@ -11,7 +12,9 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,15 +31,20 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_CHARS = 6
 
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)(?![A-Za-z0-9_-])")
-#: A run of base64, over the line feeds of a wrapped block too.
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/=])(?:[A-Za-z0-9+/]{64,}(?:\r?\n[A-Za-z0-9+/]{1,76})*|[A-Za-z0-9+/]{24,})={0,2}(?![A-Za-z0-9+/=])")
+#: What parts the lines of a wrapped run: a line feed, or its escape in JSON and source texts, with indentation.
+BREAK = re.compile(r"[ \t]*(?:(?:\\+r)?\\+n|\r\n?|\n)(?:[ \t]|\\+t)*")
+#: Runs of each base64 alphabet, over the breaks of a wrapped block too. What stands before or after a key in such a run
+#: is told apart by the lines at which the key's own lengths begin and end.
+RUNS = tuple(re.compile(rf"(?<![{c}])[{c}]{{24,}}(?:{BREAK.pattern}[{c}]+)*={{0,2}}") for c in ("A-Za-z0-9+/", "A-Za-z0-9_-"))
 ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}(?![0-9A-Fa-f])")
-_CHEAP = re.compile(r"[A-Za-z0-9+/]{24}")
+_CHEAP = re.compile(r"[A-Za-z0-9+/_-]{24}")
+_KEY_TYPE = re.compile(rb"\0\0\0.(?:ssh|ecdsa|sk)-", re.DOTALL)
+_OPENSSH = base64.b64encode(b"openssh-key-v1\0").decode()
 
 
 def decoded(run: str) -> bytes | None:
     """The bytes of a base64 run (either alphabet, padding optional), or None."""
-    run = re.sub(r"\s+", "", run).rstrip("=").replace("-", "+").replace("_", "/")
+    run = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(run) % 4 == 1:
         return None
     try:
@@ -107,6 +115,80 @@ def is_ssh_key(body: bytes) -> bool:
     return len(fields) >= 2 and re.match(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+$", fields[0]) is not None
 
 
+def _size_at(symbols: str, low: int, at: int) -> int | None:
+    """The four-byte number at byte ``at`` of what is encoded from ``low`` on."""
+    low += at // 3 * 4
+    body = (decoded(symbols[low:low + 8]) or b"")[at % 3:at % 3 + 4]
+    return int.from_bytes(body, "big") if len(body) == 4 else None
+
+
+def _skip(symbols: str, low: int, at: int, fields: int = 1) -> int | None:
+    """The byte after so many length-prefixed fields, or None if they do not fit."""
+    for _ in range(fields):
+        size = _size_at(symbols, low, at)
+        if size is None or at + 4 + size > (len(symbols) - low) * 3 // 4:
+            return None
+        at += 4 + size
+    return at
+
+
+def _key_at(symbols: str, low: int, ends: list[int]) -> tuple[str, int] | None:
+    """(kind, last line) of the key that begins at ``low`` and ends with a line, or None; only as much as it claims is decoded."""
+    def line(size: int) -> int | None:
+        high = low - (-size * 4 // 3)
+        at = bisect_left(ends, high)
+        return at if at < len(ends) and ends[at] == high else None
+
+    head = decoded(symbols[low:low + 16]) or b""
+    if head[:1] == b"\x30" and len(head) >= 6:
+        width = head[1] & 0x7F if head[1] & 0x80 else 0
+        size = 2 + width + (int.from_bytes(head[2:2 + width], "big") if width else head[1])
+        at = line(size) if width <= 4 else None
+        if at is not None and is_der_key(decoded(symbols[low:ends[at]]) or b""):
+            return "der", at
+    elif _KEY_TYPE.match(head):
+        at, fields, found = _skip(symbols, low, 0), 1, None
+        while at is not None and (at := _skip(symbols, low, at)) is not None:
+            fields += 1
+            if (last := line(at)) is not None:
+                found = last
+                if _KEY_TYPE.match(decoded(symbols[ends[last]:ends[last] + 16]) or b""):
+                    break  # the next line is a key of its own
+        if found is not None and is_ssh_key(decoded(symbols[low:ends[found]]) or b""):
+            return "ssh", found
+    elif symbols.startswith(_OPENSSH, low):
+        at = _skip(symbols, low, 15, 3)
+        if at is None:
+            return None
+        sealed = re.search(r"gcm|poly1305", (decoded(symbols[low:low + 80]) or b"").decode("latin-1")) is not None
+        after = _skip(symbols, low, at + 4, (_size_at(symbols, low, at) or 0) + 1)
+        if after is None:
+            return "ssh", len(ends) - 1  # a key cut off: all of the run
+        return "ssh", min(len(ends) - 1, bisect_left(ends, low - (-(after + 16 * sealed) * 4 // 3)))
+    return None
+
+
+def _encoded_keys(text: str, runs: re.Pattern) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of the base64 keys in the text that begin and end with a line of a run."""
+    for m in runs.finditer(text):
+        run = m[0].rstrip("=")
+        breaks = [b.span() for b in BREAK.finditer(run)] if "\n" in run or "\r" in run or "\\" in run else []
+        starts = [0, *(b for _, b in breaks)]
+        stops = [*(a for a, _ in breaks), len(run)]
+        if m.start() and text[m.start() - 1] == "\\" and run[0] in "nrt":
+            starts[0] = 1  # the letter of an escape
+        symbols = "".join(run[a:b] for a, b in zip(starts, stops, strict=True))
+        ends = list(accumulate(b - a for a, b in zip(starts, stops, strict=True)))
+        i = 0
+        while i < len(ends):
+            found = _key_at(symbols, ends[i - 1] if i else 0, ends)
+            if found:
+                kind, last = found
+                yield kind, m.start() + starts[i], m.end() if last == len(ends) - 1 else m.start() + stops[last]
+                i = last
+            i += 1
+
+
 def is_signed_token(header: str, body: str) -> bool:
     """Header and body decode to JSON objects, and the header names an algorithm."""
     try:
@@ -126,10 +208,10 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     if "eyJ" in text:
         out += [("token", m.start(), m.end()) for m in TOKEN.finditer(text) if is_signed_token(m[1], m[2])]
     if _CHEAP.search(text):
-        for m in BASE64.finditer(text):
-            body = decoded(m[0])
-            if body:
-                out += [(kind, m.start(), m.end()) for kind, holds in (("der", is_der_key), ("ssh", is_ssh_key)) if holds(body)]
+        keys: dict[tuple[str, int], int] = {}
+        for kind, start, end in (k for runs in RUNS for k in _encoded_keys(text, runs)):
+            keys[kind, start] = max(end, keys.get((kind, start), 0))  # the other alphabet may see a part of it only
+        out += [(kind, start, end) for (kind, start), end in keys.items()]
         for m in ANY_HEX.finditer(text):
             if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
                 out.append(("der", m.start(), m.end()))

@@ -158,6 +158,38 @@ def test_secrets_base_and_structure(spark):
     assert secret_scan.scan(frame(spark, [])).count() == 0
 
 
+def url64(body):
+    return base64.urlsafe_b64encode(body).decode().rstrip("=")
+
+
+def test_encoded_keys_are_found_where_they_are_kept():
+    pkcs = bytes.fromhex("30820134020100300d06092a864886f70d01010105000482011e") + bytes(i * 7 % 256 for i in range(286))
+    openssh = b"openssh-key-v1\0" + b"".join(len(f).to_bytes(4, "big") + f for f in (b"none", b"none", b"")) \
+        + b"\0\0\0\1" + b"".join(len(f).to_bytes(4, "big") + f for f in (SSH, bytes(range(136))))
+    for kind, body in (("der", RSA), ("der", pkcs), ("ssh", SSH), ("ssh", openssh)):
+        for whole in (b64(body), b64(body).rstrip("="), url64(body)):
+            for width in (64, 70, 76, 32):
+                lines = [whole[i:i + width] for i in range(0, len(whole), width)]
+                cases = [("PRIVATE_KEY=", [whole], "\n"), ("https://x.y/?a=b&k=", [whole], "&c=d"), ("k ", [whole], " v"), ('key="', [whole], '"'),
+                         ("C:\\", [whole], " v"), ("-----BEGIN PRIVATE KEY-----\n", lines, "\n-----END PRIVATE KEY-----"),
+                         ("-----BEGIN PRIVATE KEY-----\r\n", [*lines], "\r\n-----END"), ("key: |\n    ", lines, "\n    user: me\nplain words"),
+                         ('{"k": "-----BEGIN PRIVATE KEY-----\\n', lines, '\\n-----END PRIVATE KEY-----\\n"}'),
+                         ('"{\\"k\\": \\"-----BEGIN-----\\\\n', lines, '\\\\n-----END-----\\"}"'), ("a" * 30 + "\n", lines, "\nends\nhere")]
+                breaks = ["\n", "\n", "\n", "\n", "\n", "\n", "\r\n", "\n    ", "\\n", "\\\\n", " \n\t"]
+                for (before, parts, after), part in zip(cases, breaks, strict=True):
+                    key = part.join(parts)
+                    text = "é🙂 " + before + key + after
+                    at = text.index(key)
+                    found = [s for s in secret_scan.spans(text) if s[0] in ("der", "ssh")]
+                    assert found == [(kind, at, at + len(key))], (kind, before, part, width)
+                    assert lines[0] not in secret_scan.redact(text, found, "[secret]") and lines[-1] + after not in secret_scan.redact(text, found, "[secret]")
+    three = "\n".join([b64(SSH), b64(RSA).rstrip("="), b64(SSH), b64(SSH)])
+    assert [s[0] for s in secret_scan.spans(three)] == ["ssh", "der", "ssh", "ssh"]
+    # neither noise nor a key with bytes missing in the middle
+    assert not secret_scan.spans("K=" + b64(b"just some ordinary words in base64, nothing else") + "\n" + b64(RSA)[:60] + b64(RSA)[64:])
+    assert not secret_scan.spans("\n".join(["MIIB" * 20, "AAAA" * 20] * 20_000) + "\\n" * 50_000)
+
+
 def test_licences(spark):
     t = license_scan.TEMPLATES
     cut = " ".join(t["Apache-2.0"].split()[:60])
