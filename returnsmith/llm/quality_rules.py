@@ -54,7 +54,7 @@ def _per_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _repeated_words(w, n: int) -> np.ndarray:
-    """Words that lie in a window of three words which the row has twice or more."""
+    """Words that lie in a window of three words which the row has twice or more, letter case included."""
     row, at, h = shingles(w, 3)
     full = np.flatnonzero(np.bincount(w.doc, minlength=n)[row] >= 3)
     row, at, h = row[full], at[full], h[full]
@@ -84,7 +84,7 @@ def metrics(docs: DataFrame, id_column: str = "doc_id", stratum: str = "lang") -
         for block in blocks(batches):
             texts = block.column("text")
             n = block.num_rows
-            w = words(texts, SPACED)
+            w = words(texts, SPACED, lower=False)
             raw, offsets = raw_bytes(texts)
             lines = np.array([_lines(t) for t in texts.to_pylist()], np.int64).reshape(n, 2)
             inside = SPACED[raw] & ((raw & 0xC0) != 0x80)

@@ -36,6 +36,17 @@ def test_quality_metrics_equal_brute_force(spark):
     assert quality_rules.judge(frame(spark, []), spark.createDataFrame([], "doc_id bigint, quality int, toxic int")).count() == 0
 
 
+def test_repeated_windows_are_compared_with_their_case(spark):
+    phrase = words(30, 7, 10**6)
+    rows = [(1, " ".join(phrase + [w.upper() for w in phrase])), (2, " ".join(phrase + phrase)), (3, "A b c a b c A b c É é É É é É")]
+    got = {r["doc_id"]: r for r in quality_rules.judge(frame(spark, rows), spark.createDataFrame([], "doc_id bigint, quality int, toxic int")).collect()}
+    for i, text in rows:
+        w = text.split()
+        grams = Counter(tuple(w[j:j + 3]) for j in range(len(w) - 2))
+        assert got[i]["n_repeat_words"] == len({j + k for j in range(len(w) - 2) if grams[tuple(w[j:j + 3])] > 1 for k in range(3)})
+    assert got[1]["n_repeat_words"] == 0 and got[1]["kept"] and got[2]["n_repeat_words"] == 60 and got[2]["base_failed"]
+
+
 def test_binomial_bound_and_sequence():
     assert quality_rules.binomial_at_most(0, 10, 0.1) == pytest.approx(0.9 ** 10)
     assert quality_rules.binomial_at_most(10, 10, 0.1) == 1
