@@ -22,9 +22,11 @@ from returnsmith.llm.text import ALNUM, Hasher, blocks, mix, words
 
 #: The fit reads so many labelled documents at most, chosen by a hash of the id; scoring reads everything.
 MAX_LABELLED = 8_000
-#: And so many stretches of STRETCH tokens for the chain.
+#: The chain reads so many stretches of STRETCH tokens with a toxic one, and as many others, chosen by a hash.
 MAX_STRETCHES = 6_000
 STRETCH = 128
+#: A document offers so many of either sort.
+DOC_STRETCHES = 64
 #: Bytes of a word's beginnings that are features, next to the word itself.
 BEGINNINGS = (3, 4, 5, 6)
 #: Log-odds from which a string labels a token of a toxic document, and toxic documents that must hold it.
@@ -101,41 +103,58 @@ def _document_features(odds: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.ones(n), np.clip(np.log(np.minimum(largest, 1e12)), -12, 12), np.log1p(count)])
 
 
-def _fit_chain(x: np.ndarray, y: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Weights by gradient steps on the conditional likelihood of stretches; x [stretch, token, feature] with a bias."""
+def _stretch_weights(doc: np.ndarray, number: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """How many stretches each one stands for in the fit of the chain, 0 for those left out.
+
+    A document offers DOC_STRETCHES with a toxic token and as many others. Of the toxic ones offered all are taken, or if they are
+    more than MAX_STRETCHES, each document's first before any document's second; of the others MAX_STRETCHES. Order is by
+    a hash of document and number, and what is taken stands for all that was offered of its sort.
+    """
+    code = mix(mix(doc.astype(np.int64).view(np.uint64), 71) ^ number.astype(np.uint64), 72)
+    order = np.lexsort((code, marked, doc))
+    new = np.append(True, (doc[order[1:]] != doc[order[:-1]]) | (marked[order[1:]] != marked[order[:-1]]))
+    rank = np.empty(len(doc), np.int64)
+    rank[order] = np.arange(len(doc)) - np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
+    weight = np.zeros(len(doc))
+    for sort in (True, False):
+        own = np.flatnonzero((marked == sort) & (rank < DOC_STRETCHES))
+        taken = own[np.lexsort((code[own], rank[own] * sort))][:MAX_STRETCHES]
+        weight[taken] = len(own) / max(1, len(taken))
+    return weight
+
+
+def _fit_chain(x: np.ndarray, y: np.ndarray, real: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Weights by gradient steps on the conditional likelihood of weighted stretches; x [stretch, token, feature] with a bias."""
     n, length, size = x.shape
-    weight = np.zeros(size)
-    weight[0] = -4.0
+    share, total = weight[:, None], weight.sum()
+    emission = np.zeros(size)
+    emission[0] = -4.0
     move, start = np.zeros((2, 2)), 0.0
-    theta = np.concatenate([weight, move.ravel(), [start]])
+    theta = np.concatenate([emission, move.ravel(), [start]])
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     both = real[:, 1:] & real[:, :-1]
-    seen_move = np.array([[np.sum(both & (y[:, :-1] == a) & (y[:, 1:] == b)) for b in (0, 1)] for a in (0, 1)], float)
-    seen_emit = np.einsum("ntk,nt->k", x, (y * real).astype(float))
-    seen_first = float(np.sum(y[:, 0]))
+    linked = np.ascontiguousarray((both * share).T)
+    seen_move = np.array([[np.sum((both & (y[:, :-1] == a) & (y[:, 1:] == b)) * share) for b in (0, 1)] for a in (0, 1)], float)
+    seen_emit = np.einsum("ntk,nt->k", x, y * real * share)
+    seen_first = float(np.sum(y[:, 0] * weight))
     for step in range(1, STEPS + 1):
-        e = np.exp(np.clip(x @ theta[:size], -30, 30))
-        chain, first = np.exp(theta[size:size + 4]).reshape(2, 2), np.exp(theta[-1])
-        a = np.zeros((length, n, 2))
-        b = np.ones((length, n, 2))
-        a[0] = np.stack([np.ones(n), e[:, 0] * first], 1)
-        a[0] /= a[0].sum(1, keepdims=True)
+        e = np.ascontiguousarray(np.exp(np.clip(x @ theta[:size], -30, 30)).T)
+        (c00, c01), (c10, c11) = np.exp(theta[size:size + 4]).reshape(2, 2)
+        ahead, behind = np.empty((length, n)), np.ones((length, n))
+        ahead[0] = e[0] * np.exp(theta[-1])
         for t in range(1, length):
-            now = (a[t - 1] @ chain) * np.stack([np.ones(n), e[:, t]], 1)
-            now /= now.sum(1, keepdims=True)
-            a[t] = np.where(real[:, t, None], now, a[t - 1])
+            ahead[t] = e[t] * (c01 + c11 * ahead[t - 1]) / (c00 + c10 * ahead[t - 1])
         for t in range(length - 2, -1, -1):
-            back = (b[t + 1] * np.stack([np.ones(n), e[:, t + 1]], 1)) @ chain.T
-            back /= back.sum(1, keepdims=True)
-            b[t] = np.where(real[:, t + 1, None], back, b[t + 1])
-        p = a * b
-        p = (p / p.sum(2, keepdims=True))[:, :, 1].T * real
-        pair = np.zeros((2, 2))
-        for t in range(1, length):
-            joint = a[t - 1][:, :, None] * chain[None] * (b[t] * np.stack([np.ones(n), e[:, t]], 1))[:, None, :]
-            pair += (joint / joint.sum((1, 2), keepdims=True))[both[:, t - 1]].sum(0)
+            follow = e[t + 1] * behind[t + 1]
+            behind[t] = np.where(real[:, t + 1], (c10 + c11 * follow) / (c00 + c01 * follow), 1.0)
+        odds = ahead * behind
+        p = (odds / (1 + odds)).T * real * share
+        before, follow = ahead[:-1], e[1:] * behind[1:]
+        joint = c01 * follow, c10 * before, c11 * before * follow
+        scale = linked / (c00 + sum(joint))
+        pair = np.array([c00 * scale.sum(), *(np.vdot(j, scale) for j in joint)]).reshape(2, 2)
         slope = np.concatenate([seen_emit - np.einsum("ntk,nt->k", x, p), (seen_move - pair).ravel(),
-                                [seen_first - p[:, 0].sum()]]) / n - 0.001 * theta
+                                [seen_first - p[:, 0].sum()]]) / total - 0.001 * theta
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope ** 2
         theta = theta + 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     return theta[:size], np.exp(theta[size:size + 4]).reshape(2, 2), float(np.exp(theta[-1]))
@@ -151,8 +170,9 @@ def _fit_score(z: np.ndarray, y: np.ndarray) -> np.ndarray:
     return beta
 
 
-def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
+def fit(texts: pa.Array, toxic: np.ndarray, ids: np.ndarray | None = None) -> Model:
     """A model from labelled texts; every other one goes to the log-odds, the rest to the chain and the score."""
+    ids = np.arange(len(toxic)) if ids is None else ids
     odd = np.arange(len(toxic)) % 2 == 1
     prior = (toxic.sum() + 0.5) / (len(toxic) + 1)
     blank = Model(np.zeros(0, np.uint64), np.zeros(0), np.array([-4.0] + [0.0] * (1 + len(BEGINNINGS))), np.ones((2, 2)), 1.0,
@@ -175,30 +195,43 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((good + 0.5) / (n_good + 1))
     keep = (bad >= SUPPORT) & (odds > 1)
     strings, odds = strings[keep], odds[keep]
-    xs, ys, reals, room = [], [], [], MAX_STRETCHES
     rest = table.filter(pa.array(odd))
-    for block in blocks([rest]):
-        w = words(block.column("text"), ALNUM)
-        x = _features(w, strings, odds)
-        y = (x.max(axis=0) >= CLEAR) & (block.column("toxic").to_numpy()[w.doc] == 1)
-        place = np.arange(len(w.doc)) - np.searchsorted(w.doc, w.doc)
-        name, at = np.unique(w.doc * (1 << 40) + place // STRETCH, return_inverse=True)
-        spoken = np.bincount(at, (x > 0).any(axis=0), minlength=len(name)) > 0
-        chosen = np.flatnonzero(spoken | (np.arange(len(name)) % 8 == 0))[:room]
-        room -= len(chosen)
-        slot = np.full(len(name), -1)
-        slot[chosen] = np.arange(len(chosen))
-        own = np.flatnonzero(slot[at] >= 0)
-        full = np.zeros((len(chosen), STRETCH, 1 + len(x)))
-        mark, real = np.zeros((2, len(chosen), STRETCH), bool)
-        where = (slot[at[own]], place[own] % STRETCH)
+
+    def stretches():
+        """Blocks as (features, marks, tokens' places, tokens' stretches, the stretches' documents and numbers)."""
+        base = 0
+        for block in blocks([rest]):
+            w = words(block.column("text"), ALNUM)
+            x = _features(w, strings, odds)
+            y = (x.max(axis=0) >= CLEAR) & (block.column("toxic").to_numpy()[w.doc] == 1)
+            place = np.arange(len(w.doc)) - np.searchsorted(w.doc, w.doc)
+            name, at = np.unique(w.doc * (1 << 40) + place // STRETCH, return_inverse=True)
+            yield x, y, place, at, base + (name >> 40), name & ((1 << 40) - 1)
+            base += block.num_rows
+
+    found = []
+    for x, y, _, at, doc, number in stretches():
+        spoken = np.bincount(at, (x > 0).any(axis=0), minlength=len(doc)) > 0
+        found.append((doc, number, np.bincount(at, y, minlength=len(doc)) > 0, spoken | (np.arange(len(doc)) % 8 == 0)))
+    doc, number, marked, offered = (np.concatenate([f[j] for f in found]) for j in range(4))
+    weight = np.zeros(len(doc))
+    weight[offered] = _stretch_weights(ids[odd][doc[offered]], number[offered], marked[offered])
+    slot = np.where(weight > 0, np.cumsum(weight > 0) - 1, -1)
+    weight = weight[weight > 0]
+    full = np.zeros((len(weight), STRETCH, 2 + len(BEGINNINGS)))
+    mark, real = np.zeros((2, len(weight), STRETCH), bool)
+    first = 0
+    for x, y, place, at, doc, _ in stretches():
+        to = slot[first + at]
+        own = np.flatnonzero(to >= 0)
+        where = (to[own], place[own] % STRETCH)
         full[(*where, 0)] = 1
         for kind in range(len(x)):
             full[(*where, kind + 1)] = x[kind][own]
         mark[where], real[where] = y[own], True
-        xs, ys, reals = [*xs, full], [*ys, mark], [*reals, real]
+        first += len(doc)
     model = blank._replace(strings=strings, odds=odds)
-    emission, chain, first = _fit_chain(np.concatenate(xs), np.concatenate(ys), np.concatenate(reals))
+    emission, chain, first = _fit_chain(full, mark, real, weight)
     model = model._replace(emission=emission, chain=chain, first=first)
     z = np.concatenate([f for _, f, _ in _measured(blocks([rest]), model)], axis=1)
     return model._replace(score=_fit_score(z, rest.column("toxic").to_numpy().astype(float)))
@@ -251,7 +284,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> Mode
     texts = table.column("text")
     texts = texts.combine_chunks() if table.num_rows else pa.array([], pa.string())
     texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
-    return fit(texts, table.column("toxic").to_numpy())
+    return fit(texts, table.column("toxic").to_numpy(), table.column("id").to_numpy())
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id") -> DataFrame:

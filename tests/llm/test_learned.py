@@ -97,6 +97,31 @@ def test_toxicity_held_out_accuracy_and_folds(spark):
     assert np.mean([r["predicted"] == r["toxic"] for r in got]) > 0.95
 
 
+def test_chain_sees_all_documents_when_stretches_are_capped(monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_STRETCHES", 40)
+    rng = random.Random(3)
+    texts = [" ".join(words(20_000, i)) for i in range(6)]  # clean, long and first
+    texts += [" ".join(words(60, i) + ["vileone", "vileish"] * (i % 4 < 2)) for i in range(400)]
+    toxic = np.array([int("vile" in t) for t in texts])
+    model = toxicity.fit(pa.array(texts), toxic)
+    block = pa.record_batch([pa.array([" ".join(words(30, 900) + bad + words(30, 901)) for bad in (["vileone", "vileish"], [])])], names=["text"])
+    (_, z, runs), = toxicity._measured(iter([block]), model)
+    assert [r[0] for r in runs] == [0]  # one span, in the toxic text
+    p = 1 / (1 + np.exp(-model.score @ z))
+    assert p[0] > 0.9 and p[1] < 0.1
+
+    doc = np.repeat(np.arange(50) - 25, 200)
+    number, marked = np.tile(np.arange(200), 50), np.array([rng.random() < 0.02 for _ in range(10_000)])
+    weight = toxicity._stretch_weights(doc, number, marked)
+    for sort in (True, False):
+        own = (marked == sort)
+        offered = sum(min(toxicity.DOC_STRETCHES, n) for n in Counter(doc[own].tolist()).values())
+        assert np.sum(weight[own] > 0) == 40 and weight[own].sum() == pytest.approx(offered)
+    assert len(set(doc[marked & (weight > 0)])) == 40 and len(set(doc[~marked & (weight > 0)])) > 15
+    few = marked & (np.arange(10_000) < 1000)
+    assert (toxicity._stretch_weights(doc, number, few)[few] == 1).all()
+
+
 def test_toxicity_spans_and_messy_rows(spark):
     rng = random.Random(1)
     texts = [" ".join(words(60, i) + ([rng.choice(["vileone", "vileish", "nastyfolk"])] * 2 if i % 4 < 2 and i % 8 < 4 else [])) for i in range(400)]
