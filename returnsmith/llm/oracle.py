@@ -81,4 +81,23 @@ select conv_id, count(*)::bigint n_turns,
 from t group by conv_id
 """
 
-ORACLE = {"op1_lm_score": OP1, "op2_decontaminate": OP2, "op3_jaccard_join": OP3, "op7_suffix_dedup": OP7, "op10_chat_format": OP10}
+OP12 = rf"""
+with p as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) p from (select coalesce(lang, 'und') lang, {LOWERED} t from documents)),
+w as (select lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') w from p),
+g as (select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) phrase
+  from w cross join (select unnest(range(1, 5)) m) where len(w) >= m),
+f as (select lang, phrase, m, count(*) f from g group by all), n as (select lang, sum(f)::bigint n from f where m = 1 group by 1),
+c as (select lang, phrase, m, f a, string_split(phrase, ' ') w from f where m > 1 and f >= 30),
+k as (select lang, phrase, m, a, w, unnest(range(1, m)) k from c),
+s as (select k.lang, phrase, m, a, w, k, x.f l, y.f r, ((2000000::hugeint * a) // (x.f + y.f))::bigint score from k
+  join (select lang, phrase part, f from f) x on x.lang = k.lang and x.part = array_to_string(w[1:k], ' ')
+  join (select lang, phrase part, f from f) y on y.lang = k.lang and y.part = array_to_string(w[k + 1:m], ' ')),
+b as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+i as (select distinct c.lang, c.phrase from c join c o on o.lang = c.lang and o.m > c.m and 100::hugeint * o.a >= 80::hugeint * c.a
+  and contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))
+select lang, rank, phrase, a, l, r, n, score from (select b.lang, row_number() over (partition by b.lang order by score desc, a desc, phrase) rank,
+  phrase, a::bigint a, l::bigint l, r::bigint r, score from b anti join i using (lang, phrase)) join n using (lang) where rank <= 2000
+"""
+
+ORACLE = {"op1_lm_score": OP1, "op2_decontaminate": OP2, "op3_jaccard_join": OP3, "op7_suffix_dedup": OP7, "op10_chat_format": OP10,
+          "op12_collocations": OP12}

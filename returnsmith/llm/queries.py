@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from returnsmith.llm import (
     bpe,
     chat_format,
+    collocations,
     decontaminate,
     jaccard_join,
     license_scan,
     lm_score,
+    neighbours,
     quality_rules,
     secret_scan,
     suffix_dedup,
@@ -106,5 +108,15 @@ def op11_token_links(spark: SparkSession, folder: str) -> DataFrame:
                                                "n_group_links")
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op13_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 QUERIES = {f.__name__: f for f in (op1_lm_score, op2_decontaminate, op3_jaccard_join, op4_bpe, op5_license_scan, op6_toxicity,
-                                   op7_suffix_dedup, op8_secret_scan, op9_quality_rules, op10_chat_format, op11_token_links)}
+                                   op7_suffix_dedup, op8_secret_scan, op9_quality_rules, op10_chat_format, op11_token_links,
+                                   op12_collocations, op13_nearest)}
