@@ -1,59 +1,92 @@
 """Duplicates of a feed: find, log and remove them.
 
-Most rows of a feed are unique. Rows are first counted by 128 bits of their content, an aggregate with numeric
-buffers only; just the rows whose hash occurs twice or more are compared in full, so that a clash of hashes drops
-nothing. A group of copies may hold a large part of the feed: equal rows are combined before they are
-shuffled, and each step on a group is an aggregate or a join that adaptive execution can split.
+Most rows of a feed are unique. A first read counts the rows by a 64-bit hash of their content; the hashes that occur
+twice or more are written once. They become bitmaps of a bounded size, which the second read asks about every
+row: a row whose bit is not set has no copy and is kept as it stands, without a shuffle. The others, copies and a few rows that share a bit
+with one, are compared in full, so neither a shared bit nor a clash of hashes drops or logs anything. Kept rows and log follow
+from the one split. A group of copies may hold a large part of the feed: equal rows are combined
+before they are shuffled, and each step on a group is an aggregate or a join that adaptive execution can split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from returnsmith.operators.lookup import key_match
-
-
-def _content(df: DataFrame, ignore: str, order_by: str | None) -> list[str]:
-    return [n for n in df.columns if n not in (ignore, order_by)]
-
-
-def _often(df: DataFrame, content: Sequence[str]) -> DataFrame:
-    """The rows with ``_copies``: true where the hash of the content occurs more than once, else null."""
+from returnsmith.session import settle
+
+BITMAP = 1 << 15    # bits of one bitmap: what Spark's bitmap functions make
+BITMAPS = 2048      # 8 MB of them at most go to every executor, whatever the feed; more hashes only share more bits
+BITS_PER_HASH = 32
+
+
+@dataclass(frozen=True)
+class Split:
+    """A feed in two: rows that have no copy (``single``), and those that may have one (``several``)."""
+
+    single: DataFrame
+    several: DataFrame
+    ignore: str
+    order_by: str | None
+
+    def _content(self) -> list[str]:
+        return [n for n in self.several.columns if n not in (self.ignore, self.order_by)]
+
+    def best(self) -> DataFrame:
+        """The kept row of each set among ``several``."""
+        order = f", -{self.order_by} AS _order" if self.order_by else ""
+        best = self.several.groupBy(*self._content()).agg(F.expr(f"max(struct({self.ignore} AS _value{order})) AS _best"))
+        held = {self.ignore: "_best._value", self.order_by: "-_best._order"}
+        return best.selectExpr(*[f"{held[n]} AS {n}" if n in held else n for n in self.several.columns])
+
+    def kept(self) -> DataFrame:
+        """One row per set of rows equal but for ``ignore``: the one with its highest value, a missing
+        value being the lowest. ``order_by`` (a row number, not content) settles ties: earliest first."""
+        return self.single.unionByName(self.best())
+
+    def logged(self) -> DataFrame:
+        """All rows of each set of rows equal but for ``ignore``, except one: that with the lowest value, the latest of those.
+
+        Rows equal in everything are counted, not ranked: the one that is left out is taken off its count.
+        """
+        names, content = self.several.columns, self._content()
+        counted = self.several.groupBy(*names).agg(F.expr("count(*) AS _rows"))
+        place = f"struct({self.ignore} AS _value{f', -{self.order_by} AS _order' if self.order_by else ''})"
+        least = counted.groupBy(*[F.expr(f"{n} AS _k_{n}") for n in content]).agg(F.expr(f"min({place}) AS _least"))
+        joined = counted.join(least, F.expr(key_match({n: f"_k_{n}" for n in content}, True)))
+        left = joined.selectExpr(*names, f"_rows - CASE WHEN {place} <=> _least THEN 1 ELSE 0 END AS _left").where("_left > 0")
+        return left.selectExpr(*names, "explode(sequence(1L, _left)) AS _each").drop("_each")
+
+
+def split_repeats(df: DataFrame, ignore: str, order_by: str | None = None,
+                  share: Callable[[DataFrame, str], DataFrame] = settle) -> Split:
+    """Split a feed with two reads of it; what the split is read from again is written by ``share``."""
+    content = [n for n in df.columns if n not in (ignore, order_by)]
     held = ", ".join([*content, *[f"isnull({n})" for n in content]])  # a null leaves a hash as it is, so it is told apart
-    keyed = df.selectExpr("*", f"xxhash64({held}) AS _h1", f"xxhash64('second', {held}) AS _h2")
-    often = (keyed.groupBy(F.expr("_h1 AS _o1"), F.expr("_h2 AS _o2")).agg(F.expr("count(*) AS _n")).where("_n > 1")
-             .selectExpr("_o1", "_o2", "true AS _copies"))
-    # compared null-safely, so that the rows of a hot group can be split
-    return keyed.join(often, F.expr("_h1 <=> _o1 AND _h2 <=> _o2"), "left").drop("_h1", "_h2", "_o1", "_o2")
+    hashed = f"xxhash64({held})"
+    often = share(df.groupBy(F.expr(f"{hashed} AS _hash")).agg(F.expr("count(*) AS _n")).where("_n > 1").select("_hash"), "hashes")
+    bitmaps = min(BITMAPS, max(1, -(-often.count() * BITS_PER_HASH // BITMAP)))
+    bit = f"pmod(_hash, {bitmaps * BITMAP}L)"
+    bits = often.groupBy(F.expr(f"{bit} DIV {BITMAP} AS _map")).agg(F.expr(f"bitmap_construct_agg({bit} % {BITMAP}) AS _bits"))
+    keyed = df.selectExpr("*", f"{hashed} AS _hash").selectExpr("*", f"{bit} DIV {BITMAP} AS _at", f"CAST({bit} % {BITMAP} AS int) AS _bit")
+    byte = "CAST(conv(hex(substring(_bits, _bit DIV 8 + 1, 1)), 16, 10) AS int)"
+    asked = keyed.join(F.broadcast(bits), F.expr("_at = _map"), "left")  # bounded by BITMAPS
+    marked = share(asked.selectExpr(*df.columns, f"_bits IS NOT NULL AND getbit({byte}, _bit % 8) = 1 AS _often"), "split")
+    return Split(marked.where("NOT _often").drop("_often"), marked.where("_often").drop("_often"), ignore, order_by)
 
 
 def drop_repeats(df: DataFrame, ignore: str, order_by: str | None = None) -> DataFrame:
-    """One row per set of rows equal but for ``ignore``: the one with its highest value, a missing
-    value being the lowest. ``order_by`` (a row number, not content) settles ties: earliest first."""
-    content = _content(df, ignore, order_by)
-    marked = _often(df, content)
-    order = f", -{order_by} AS _order" if order_by else ""
-    best = marked.where("_copies").groupBy(*content).agg(F.expr(f"max(struct({ignore} AS _value{order})) AS _best"))
-    held = {ignore: "_best._value", order_by: "-_best._order"}
-    kept = best.selectExpr(*[f"{held[n]} AS {n}" if n in held else n for n in df.columns])
-    return marked.where("_copies IS NULL").select(*df.columns).unionByName(kept)
+    """The kept rows of a feed (``Split.kept``)."""
+    return split_repeats(df, ignore, order_by).kept()
 
 
 def repeats(df: DataFrame, ignore: str, order_by: str | None = None) -> DataFrame:
-    """All rows of each set of rows equal but for ``ignore``, except one: that with the lowest value, the latest of those.
-
-    Rows equal in everything are counted, not ranked: the one that is left out is taken off its count.
-    """
-    content = _content(df, ignore, order_by)
-    counted = _often(df, content).where("_copies").groupBy(*df.columns).agg(F.expr("count(*) AS _rows"))
-    place = f"struct({ignore} AS _value{f', -{order_by} AS _order' if order_by else ''})"
-    least = counted.groupBy(*[F.expr(f"{n} AS _k_{n}") for n in content]).agg(F.expr(f"min({place}) AS _least"))
-    joined = counted.join(least, F.expr(key_match({n: f"_k_{n}" for n in content}, True)))
-    left = joined.selectExpr(*df.columns, f"_rows - CASE WHEN {place} <=> _least THEN 1 ELSE 0 END AS _left").where("_left > 0")
-    return left.selectExpr(*df.columns, "explode(sequence(1L, _left)) AS _each").drop("_each")
+    """The logged rows of a feed (``Split.logged``)."""
+    return split_repeats(df, ignore, order_by).logged()
 
 
 def duplicate_sets(df: DataFrame, keys: Sequence[str]) -> DataFrame:

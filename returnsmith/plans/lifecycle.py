@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from returnsmith.operators.dedup import drop_repeats, merge_log, repeats
+from returnsmith.operators.dedup import merge_log, split_repeats
 from returnsmith.operators.review import ACTION, apply_actions
 from returnsmith.plans import reports
 from returnsmith.plans.facility import enrich_facility
@@ -40,12 +40,14 @@ def initial_run(raw: Tables, dims: Tables, duplicates_before: DataFrame | None =
     """De-duplicate and enrich the positions, build the register, and open the review logs.
 
     ``raw`` holds positions, ledger and facility. Positions leave this run de-duplicated but not enriched; ``duplicates``
-    is the log of the runs before (``duplicates_before``) with this run's additions. The positions are de-duplicated once,
-    and the register is built once: all outputs read what was written.
+    is the log of the runs before (``duplicates_before``) with this run's additions. The positions are split once, by two reads
+    of the feed, into rows without a copy and the others; kept rows and log both follow from what was written, and so does
+    the register, which is built once.
     """
-    found = repeats(raw["positions"], "customer_nr", order_by="seq").drop("seq")
+    split = split_repeats(raw["positions"], "customer_nr", "seq", share)
+    found = split.logged().drop("seq")
     duplicates = found if duplicates_before is None else merge_log(duplicates_before, found)
-    positions = share(drop_repeats(raw["positions"], "customer_nr", order_by="seq"), "positions")
+    positions = split.single.unionByName(share(split.best(), "kept"))
     enriched = enrich_positions(positions, dims)
     register = share(build_register(enriched, dims["register_now"], dims["register_last"]), "register")
     return {

@@ -3,8 +3,10 @@ from collections import Counter
 
 import pytest
 
-from returnsmith.operators.dedup import drop_repeats, duplicate_sets, merge_log, repeats
+from returnsmith.operators import dedup
+from returnsmith.operators.dedup import drop_repeats, duplicate_sets, merge_log, repeats, split_repeats
 from returnsmith.operators.review import apply_actions, delete_listed, with_status
+from returnsmith.session import scratch_path, settle
 
 
 def brute_force(data):
@@ -84,7 +86,53 @@ def test_nulls_in_different_columns_are_different_content(spark, rows):
     assert rows(repeats(df, "customer"), "customer") == [("3",), ("4",)]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_counting_repeats_is_a_hash_aggregate(spark):
     df = spark.range(10).selectExpr("CAST(id % 7 AS string) AS content", "CAST(id AS string) AS customer", "id AS seq")
-    shown = drop_repeats(df, "customer", "seq")._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in shown and shown.count("HashAggregate") >= 2
+    written = {}
+
+    def share(df, name):
+        written[name] = plan_of(df)
+        return settle(df, name)
+
+    split_repeats(df, "customer", "seq", share)
+    assert "Window" not in written["hashes"] and written["hashes"].count("HashAggregate") >= 2
+
+
+def test_kept_rows_and_log_need_two_reads_of_the_feed(spark):
+    """The feed is read for the hashes and for the split; all outputs come from what was written, unique rows without a shuffle."""
+    path = scratch_path(spark, "feed")
+    rows = spark.range(20_000).selectExpr("id AS seq", "CAST(id % 19000 AS string) AS content", "CAST(id AS string) AS customer")
+    rows.write.parquet(path)
+    feed = spark.read.parquet(path)
+    written = []
+
+    def share(df, name):
+        written.append((name, df))
+        return settle(df, name)
+
+    split = split_repeats(feed, "customer", "seq", share)
+    kept, logged = split.kept(), split.logged()
+    assert (kept.count(), logged.count()) == (19_000, 1000)
+    scans = [line for df in (*(df for _, df in written), kept, logged) for line in plan_of(df).splitlines()
+             if "FileScan" in line and path.removeprefix("file:") in line]
+    assert [name for name, _ in written] == ["hashes", "split"] and len(scans) == 2
+    marked = plan_of(written[1][1])
+    assert "hashpartitioning(_hash" not in marked and "BroadcastHashJoin" in marked and "SortMergeJoin" not in marked
+    assert "Exchange" not in plan_of(split.single)
+    assert 2000 <= split.several.count() < 2000 + 18_000 / 20  # both rows of 1000 sets, and one of 32 others that shares a bit
+
+
+def test_full_bitmaps_only_send_more_rows_to_be_compared(spark, monkeypatch):
+    """Where all bits are set, every row is compared in full, and the result is the same."""
+    monkeypatch.setattr(dedup, "BITMAP", 1 << 15)
+    monkeypatch.setattr(dedup, "BITMAPS", 1)
+    monkeypatch.setattr(dedup, "BITS_PER_HASH", 1)
+    data = [(f"k{i % 60_000}", str(i % 7)) for i in range(120_000)]
+    df = spark.createDataFrame(data, "content string, customer string")
+    logged, kept = brute_force(data)
+    assert Counter(map(tuple, repeats(df, "customer").collect())) == logged
+    assert Counter(map(tuple, drop_repeats(df, "customer").collect())) == kept

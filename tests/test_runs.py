@@ -79,13 +79,14 @@ def test_risk_needs_one_scan_of_the_positions(spark, feed):
     assert sum(path.removeprefix("file:") in line for line in shown.splitlines() if "FileScan" in line) == 1
 
 
-def test_first_run_removes_repeats_once(spark, feed, monkeypatch):
+def test_first_run_splits_the_feed_once(spark, feed, monkeypatch):
     calls = []
-    monkeypatch.setattr(lifecycle, "drop_repeats", lambda *a, **k: calls.append(1) or a[0])
+    split = lifecycle.split_repeats
+    monkeypatch.setattr(lifecycle, "split_repeats", lambda *a, **k: calls.append(1) or split(*a, **k))
     with run_scratch(spark) as share:
         started = lifecycle.initial_run({"positions": conform(feed.table("positions"), POSITIONS, ["seq"]),
                                          "ledger": feed.table("ledger"), "facility": feed.table("facility")}, feed.dims(), share=share)
-        for df in (started["raw"]["positions"], started["raw"]["register"], *[started["logs"][n] for n in ("positions_log", "register_log")]):
+        for df in (started["raw"]["positions"], started["raw"]["register"], *started["logs"].values()):
             shown = df._jdf.queryExecution().executedPlan().toString()
             scans = [line for line in shown.splitlines() if "FileScan" in line]
             assert scans and not any("lineitem" in line for line in scans)
