@@ -73,8 +73,7 @@ IS_FEE = f"(deal_code <=> {text(FEE_CODE)})"
 
 # registered country of a listed row (even if blank there), else by nationality; fee rows are
 # listed by customer, all others by reference
-RISK_COUNTRY = f"""CASE WHEN {IS_FEE} AND listed_by_customer THEN country_by_customer
-    WHEN NOT {IS_FEE} AND listed_by_ref THEN country_by_ref
+RISK_COUNTRY = """CASE WHEN listed THEN registered
     WHEN nationality = 'YY' THEN vis_country ELSE nationality_derived END"""
 
 RISK_TRANSFER = "CASE WHEN risk_in = vis_country THEN 'N' ELSE 'Y' END"

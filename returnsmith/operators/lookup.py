@@ -136,6 +136,46 @@ def unmatched(df: DataFrame, steps: Sequence[Lookup], dims: Mapping[str, DataFra
     return counts.selectExpr(f"inline(array({lines}))")
 
 
+def keyed_entries(dim: DataFrame, kinds: Mapping[str, str], values: Sequence[str], order_by: str = "seq") -> DataFrame:
+    """(kind, key, *values): the first entry by ``order_by`` of each key of each kind, in one aggregate.
+
+    ``kinds`` names the key column of each kind. A missing key is a key of its own.
+    """
+    each = ", ".join(f"struct({text(kind)} AS kind, {column} AS key)" for kind, column in kinds.items())
+    rows = dim.selectExpr(order_by, *values, f"explode(array({each})) AS _k")
+    held = ", ".join([order_by, *values])
+    first = rows.groupBy(F.expr("_k.kind AS kind"), F.expr("_k.key AS key")).agg(F.expr(f"min(struct({held})) AS _row"))
+    return first.selectExpr("kind", "key", *[f"_row.{v} AS {v}" for v in values])
+
+
+def chosen_lookup(df: DataFrame, dim: DataFrame, two_keys: str, special: str, common: str, special_values: Mapping[str, str],
+                  common_values: Mapping[str, str], found: str, order_by: str = "seq") -> DataFrame:
+    """Lookup by a key that each row chooses; every row of ``df`` is joined once.
+
+    All rows look up ``common``. Rows for which ``two_keys`` holds take ``special_values`` and whether they were ``found`` by
+    the key ``special`` instead. ``special`` and ``common`` are columns of both sides; values map a column of ``dim`` to its new name, and
+    a name that is in both mappings is one column. Both keys of a row are looked up in one table of answers: the entries of ``common``, and the
+    pairs of keys that ``two_keys`` rows hold. The pairs are read from ``df`` by themselves, three columns wide, and joined
+    as distinct rows, which are as many as the keys, not as the rows.
+    """
+    wanted = list(dict.fromkeys([*special_values, *common_values]))
+    entries = keyed_entries(dim, {"special": special, "common": common}, wanted, order_by)
+    by_common = entries.where("kind = 'common'")
+    by_special = entries.where("kind = 'special'").selectExpr("key AS _special", *[f"{v} AS _s_{v}" for v in special_values], "true AS _hit")
+    pairs = df.where(two_keys).selectExpr(f"{special} AS _a", f"{common} AS _b").distinct()
+    both = pairs.join(by_special, F.expr("_a <=> _special"), "left").join(
+        by_common.selectExpr("key AS _common", *[f"{v} AS _c_{v}" for v in common_values]), F.expr("_b <=> _common"), "left")
+    names = {n: (v, None) for v, n in common_values.items()}
+    names.update({n: (names.get(n, (None, None))[0], v) for v, n in special_values.items()})  # name: column by common, by special
+    for_pairs = [f"{f'_s_{s}' if s else f'_c_{c}'} AS _n_{n}" for n, (c, s) in names.items()]
+    for_rest = [f"{c if c else 'NULL'} AS _n_{n}" for n, (c, _) in names.items()]
+    answers = (both.selectExpr("true AS _pair", "_a", "_b", "coalesce(_hit, false) AS _found", *for_pairs)
+               .unionByName(by_common.selectExpr("false AS _pair", "CAST(NULL AS string) AS _a", "key AS _b", "true AS _found", *for_rest)))
+    chosen = f"coalesce({two_keys}, false)"
+    joined = df.join(answers, F.expr(f"{chosen} <=> _pair AND CASE WHEN {chosen} THEN {special} END <=> _a AND {common} <=> _b"), "left")
+    return joined.selectExpr(*df.columns, f"coalesce(_found, false) AS {found}", *[f"_n_{n} AS {n}" for n in names])
+
+
 def routed_lookup(df: DataFrame, route: str, dim: DataFrame, on: Sequence[str], value: str, name: str,
                   tries: int = 3) -> DataFrame:
     """Lookup whose keys are chosen by row, with fallbacks.

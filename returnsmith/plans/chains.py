@@ -33,13 +33,6 @@ REGISTER_CHAIN = (
     Lookup("register_last", {"ide_linkage_ref": "deal_id"}, {"country": "last_country", "type": "last_type"}),
 )
 
-# the computed register may hold missing keys
-CUSTOMER_RISK = Lookup("register", {"customer_nr": "customer_nr"}, {"this_country": "country_by_customer"},
-                       flag="listed_by_customer", null_safe=True)
-REFERENCE_RISK = Lookup("register", {"ide_linkage_ref": "ide_linkage_ref"},
-                        {"this_country": "country_by_ref", "this_type": "type_by_ref"}, flag="listed_by_ref",
-                        null_safe=True)
-
 FACILITY_CHAIN = (
     Lookup("guarantee", {"ap_code": "deal_type"}, {"guarantee": "guarantee_found"}),
     Lookup("register", {"customer_nr": "customer_nr"}, {"this_country": "registered"}, null_safe=True),

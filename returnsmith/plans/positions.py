@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from returnsmith.functions import rules
-from returnsmith.operators.lookup import apply_chain
-from returnsmith.plans.chains import ACCOUNT_CHAIN, CUSTOMER_RISK, POSITION_CHAIN, REFERENCE_RISK
+from returnsmith.operators.lookup import apply_chain, chosen_lookup
+from returnsmith.plans.chains import ACCOUNT_CHAIN, POSITION_CHAIN
 
 Dims = Mapping[str, DataFrame]
 
@@ -59,8 +59,8 @@ def add_risk(df: DataFrame, register: DataFrame) -> DataFrame:
     """Ultimate risk country, transfer flag and risk sector.
 
     Fee rows ask the register by customer, all others by reference; the risk sector always goes by
-    reference. Every row asks both ways, in one scan of the positions whatever the register's size;
-    AQE chooses how to join.
+    reference. Every row is joined once, by the key that it chooses; the distinct keys of the fee rows are read by themselves.
     """
-    found = apply_chain(df, [CUSTOMER_RISK, REFERENCE_RISK], {"register": register})
-    return add_rules(found, RISK_RULES).drop(*_made_by([CUSTOMER_RISK, REFERENCE_RISK]))
+    found = chosen_lookup(df, register, rules.IS_FEE, "customer_nr", "ide_linkage_ref", {"this_country": "registered"},
+                          {"this_country": "registered", "this_type": "type_by_ref"}, "listed")
+    return add_rules(found, RISK_RULES).drop("registered", "type_by_ref", "listed")

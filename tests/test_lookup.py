@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from returnsmith.operators.lookup import Lookup, apply_chain, inline_table, lookup, routed_lookup, unmatched
+from returnsmith.operators.lookup import Lookup, apply_chain, chosen_lookup, inline_table, lookup, routed_lookup, unmatched
 
 
 @pytest.fixture
@@ -83,3 +85,23 @@ def test_inline_tables_need_no_shuffle(spark, data):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chosen_lookup_equals_brute_force(spark):
+    rnd = random.Random(4)
+    keys = [None, "", "a", "b", "c", "d"]
+    data = [(i, rnd.choice([True, False, None]), rnd.choice(keys), rnd.choice(keys)) for i in range(200)]
+    dim = [(i, rnd.choice(keys[:5]), rnd.choice(keys[1:]), f"v{i}", rnd.choice([None, f"t{i}"])) for i in range(12)]
+    df = spark.createDataFrame(data, "id int, fee boolean, customer string, ref string").repartition(4)
+    table = spark.createDataFrame(dim, "seq int, customer string, ref string, country string, type string")
+    out = chosen_lookup(df, table, "fee", "customer", "ref", {"country": "found_country"}, {"country": "found_country", "type": "found_type"}, "listed")
+    by_customer, by_ref = {}, {}
+    for row in dim:
+        by_customer.setdefault(row[1], row)
+        by_ref.setdefault(row[2], row)
+    want = []
+    for i, fee, customer, ref in data:
+        one, other = (by_customer.get(customer) if fee else by_ref.get(ref)), by_ref.get(ref)
+        want.append((i, fee, customer, ref, one is not None, one and one[3], other and other[4]))
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+    assert out.columns == ["id", "fee", "customer", "ref", "listed", "found_country", "found_type"]

@@ -70,13 +70,28 @@ def test_position_actions_rebuild_everything(feed):
     assert tables["positions"].columns == enriched["positions"].columns
 
 
-def test_risk_needs_one_scan_of_the_positions(spark, feed):
+def test_risk_joins_the_positions_once(spark, feed):
+    """The wide rows are read and joined once; a second scan reads the keys of the fee rows only."""
     path = scratch_path(spark, "positions")
     enrich_positions(feed.table("positions"), feed.dims()).write.parquet(path)
     positions = spark.read.parquet(path)
     register = settle(build_register(positions, feed.table("register_now"), feed.table("register_last")), "register")
     shown = add_risk(positions, register)._jdf.queryExecution().executedPlan().toString()
-    assert sum(path.removeprefix("file:") in line for line in shown.splitlines() if "FileScan" in line) == 1
+    scans = [line for line in shown.splitlines() if "FileScan" in line and path.removeprefix("file:") in line]
+    read = [{c.split(":")[0] for c in line.split("ReadSchema: struct<")[1].split(",")} for line in scans]
+    assert len(read) == 2 and {"customer_nr", "ide_linkage_ref", "deal_code"} in read
+    # the joins below the rows' own one are between keys: only one has a wide left side
+    wide = add_risk(positions, register)._jdf.queryExecution().optimizedPlan()
+    assert wide.toString().splitlines()[0].startswith("Project") and _joins_on_the_left(wide) == 1
+
+
+def _joins_on_the_left(plan):
+    """Joins between the result and its leftmost leaf."""
+    n = 0
+    while plan.children().size():
+        n += plan.nodeName().startswith("Join")
+        plan = plan.children().head()
+    return n
 
 
 def test_first_run_splits_the_feed_once(spark, feed, monkeypatch):
