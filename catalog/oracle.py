@@ -548,6 +548,13 @@ RUNS: dict[str, tuple[str, dict[str, str]]] = {
     "run_final_position_log": ("""SELECT seq, risk_in, 'delete' AS record_action, 'DONE' AS status FROM risk
 WHERE currency = 'AUD' AND ide_linkage_type = '1'""", _AFTER_FIRST),
 }
+_COUNTS = f"""SELECT 'duplicates: rows' AS what, count(*) AS n FROM ({FINAL['dq_duplicate_log_merge']}) GROUP BY ALL
+UNION ALL SELECT 'positions_log: issue: ' || log_reason, count(*) FROM issues GROUP BY ALL
+UNION ALL SELECT 'register_log: issue: ' || log_reason, count(*) FROM ({FINAL['dq_register_issues']}) GROUP BY ALL
+UNION ALL SELECT 'after_review: issue: ' || log_reason, count(*) FROM log_all GROUP BY ALL
+UNION ALL SELECT 'after_review: action: ' || lower(coalesce(record_action, '')) || ', ' || status, count(*) FROM log_all GROUP BY ALL"""
+RUNS["run_initial_counts"] = (_COUNTS, _AFTER_FIRST)
+FINAL["map_written_counts"] = FINAL["map_lookup_unmatched"]
 _JOB = "ale, cat_asset, report_ccy, sector_by_party, class_by_link"
 FINAL["job_mapped_positions"] = f"SELECT 'parquet' AS source, seq, {_JOB} FROM mapped UNION ALL SELECT 'table', seq, {_JOB} FROM mapped"
 FINAL.update({name: body for name, (body, _) in RUNS.items()})
@@ -579,5 +586,7 @@ def oracle_query(name: str) -> str:
     instead = RUNS[name][1] if name in RUNS else {}
     steps: list[str] = []
     _needed(FINAL[name], steps, instead)
-    ctes = ", ".join(f"{step} AS ({_body(step, instead)})" for step in steps)
+    # the runs name some steps many times: each is computed once
+    kept = "MATERIALIZED " if name in RUNS else ""
+    ctes = ", ".join(f"{step} AS {kept}({_body(step, instead)})" for step in steps)
     return f"WITH {ctes} {FINAL[name]}" if ctes else FINAL[name]

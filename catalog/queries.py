@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalog.adapter import AS_OF, ENTITY, LOT, Feed
 from returnsmith.functions.money import as_double
 from returnsmith.operators import dedup, review
+from returnsmith.operators.counts import mapped_with_counts
 from returnsmith.operators.lookup import lookup, routed_lookup, unmatched
 from returnsmith.plans import positions as pos
 from returnsmith.plans import reconcile as rec
@@ -605,7 +606,16 @@ def run_initial_position_log(f: Feed) -> DataFrame:
 
 @query
 def run_initial_counts(f: Feed) -> DataFrame:
-    return lifecycle.run_counts(started(f), reviewed_log(f, position_issues(enriched(f)), POSITION_LOG))
+    """What the first run reports of its logs, the position log once more as reviewers left it; counted while they are written."""
+    logs = started(f)["logs"]
+    after = {"after_review": reviewed_log(f, logs["positions_log"].drop("record_action"), POSITION_LOG)}
+    return lifecycle.write_logs({**logs, **after})[1]
+
+
+@query
+def map_written_counts(f: Feed) -> DataFrame:
+    """Unmatched keys of the position chain, counted while the mapped rows are written."""
+    return mapped_with_counts(f.table("positions"), POSITION_CHAIN, f.dims(), settle)[1]
 
 
 @query

@@ -11,13 +11,14 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from returnsmith.operators.counts import as_rows, by_value, written
 from returnsmith.operators.dedup import merge_log, split_repeats
 from returnsmith.operators.review import ACTION, apply_actions
 from returnsmith.plans import reports
 from returnsmith.plans.facility import enrich_facility
 from returnsmith.plans.ledger import enrich_ledger
 from returnsmith.plans.positions import add_risk, enrich_positions
-from returnsmith.plans.quality import position_issues, register_issues
+from returnsmith.plans.quality import BAD_VALUATION, FALSE_FLAG, NO_KEY, position_issues, register_issues
 from returnsmith.plans.reconcile import (derivatives_check, gl_breaks, off_balance_check, position_cells,
                                          reconcile)
 from returnsmith.plans.register import build_register, refresh_register_log
@@ -130,10 +131,23 @@ def final_run(tables: Tables, dims: Tables, in_millions: bool = False, share: Se
     return out if marked is None else {**out, "positions_log": marked}
 
 
-def run_counts(started: Mapping[str, Tables], log: DataFrame | None = None) -> DataFrame:
-    """What a run reports of itself: (what, n) with the duplicates found, and the log rows by action and status."""
-    lines = started["logs"]["duplicates"].selectExpr("'duplicates' AS what").unionByName(
-        started["logs"]["positions_log"].selectExpr("concat('position issue: ', log_reason) AS what"))
-    if log is not None:
-        lines = lines.unionByName(log.selectExpr(f"concat('action: ', {ACTION}, ', ', coalesce(status, 'PENDING')) AS what"))
-    return lines.groupBy("what").agg(F.expr("count(*) AS n"))
+ACTIONS = ("delete", "update", "insert", "")
+STATES = ("PENDING", "DONE")
+
+
+def log_figures(log: DataFrame) -> dict[str, str]:
+    """What is counted of a review log while it is written: rows by reason, and by action and state where it has them."""
+    figures = by_value("issue: ", "log_reason", (NO_KEY, BAD_VALUATION, FALSE_FLAG)) if "log_reason" in log.columns else {}
+    if "status" in log.columns:
+        state = f"concat({ACTION}, ', ', coalesce(status, 'PENDING'))"
+        figures |= by_value("action: ", state, [f"{action}, {state}" for action in ACTIONS for state in STATES])
+    return figures or {"rows": "count(*)"}
+
+
+def write_logs(logs: Tables, share: Settle = settle) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The logs of a run as written, and (what, n): the counts that the run reports, taken while the rows were written."""
+    out, figures = {}, {}
+    for name, log in logs.items():
+        out[name], seen = written(log, name, share, log_figures(log))
+        figures |= {f"{name}: {what}": n for what, n in seen.items()}
+    return out, as_rows(next(iter(logs.values())).sparkSession, figures)
