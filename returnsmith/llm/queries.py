@@ -103,7 +103,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 def op11_token_links(spark: SparkSession, folder: str) -> DataFrame:
     aligned = token_links.align(table(spark, folder, "documents"), public_tokenizers.path(CHAT_TOKENIZER),
-                                public_tokenizers.path(PIECE_MODEL))
+                                public_tokenizers.path(PIECE_MODEL), public_tokenizers.PATTERN)
     return token_links.digests(aligned).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
                                                "n_group_links")
 

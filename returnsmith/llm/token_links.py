@@ -13,6 +13,7 @@ texts, a sparse row over them, so a chunk asks for the count of a pair once, wha
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,6 +33,7 @@ SPACE = "▁"
 BLOCK = 1 << 18          # bytes of text encoded at a time
 CHUNK_ITEMS = 1_500_000  # entries of the sparse rows of a chunk; a longer text is a chunk of its own
 CHUNK_DOCS = 20_000
+ROWS = 256               # aligned texts worked on at a time
 
 ALIGNED = ("doc_id bigint, a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>, "
            "link_a array<int>, link_b array<int>")
@@ -113,8 +115,23 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _byte_encoder(a, a_bytes: list[bytes], pattern: str | None):
+    """Texts to arrays of A's ids. A's merges stand in the order of their ids in vocabularies of this kind; then, and where
+    ``pattern`` (how A splits a text) is known, ``tiktoken`` makes the same ids in less time. Else A's own library makes them."""
+    vocabulary = a.get_vocab(with_added_tokens=False)
+    merges = json.loads(a.to_str())["model"]["merges"]
+    joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in merges]
+    if pattern and [vocabulary.get(t) for t in joined] == list(range(256, 256 + len(joined))):
+        import tiktoken
+
+        fast = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks={a_bytes[i]: i for i in vocabulary.values() if i < 256 + len(joined)},
+                                 special_tokens={})
+        return lambda texts: [fast.encode_to_numpy(t, disallowed_special=()) for t in texts]
+    return lambda texts: [np.array(e.ids, np.int64) for e in a.encode_batch(texts, add_special_tokens=False)]
+
+
 @lru_cache(maxsize=1)
-def _tokenizers(a_file: str, b_file: str) -> tuple:
+def _tokenizers(a_file: str, b_file: str, pattern: str | None) -> tuple:
     """Encoders and vocabularies, once a worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import sentencepiece
@@ -129,13 +146,13 @@ def _tokenizers(a_file: str, b_file: str) -> tuple:
     b_bytes = [bytes([int(b.id_to_piece(i)[3:-1], 16)]) if b.is_byte(i) else
                b"" if b.is_control(i) or b.is_unknown(i) else b.id_to_piece(i).replace(SPACE, " ").encode()
                for i in range(b.get_piece_size())]
-    return a, Vocabulary.of(a_bytes), b, Vocabulary.of(b_bytes)
+    return (_byte_encoder(a, a_bytes, pattern), Vocabulary.of(a_bytes),
+            lambda texts: [np.array(x, np.int64) for x in b.encode(texts, num_threads=1)], Vocabulary.of(b_bytes))
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows, and the offsets of the rows."""
-    start = np.cumsum([0, *map(len, lists)])
-    return np.fromiter((i for ids in lists for i in ids), np.int64, start[-1]), start
+    return np.concatenate([np.zeros(0, np.int64), *lists]).astype(np.int64), np.cumsum([0, *map(len, lists)])
 
 
 def _faithful(v: Vocabulary, ids: np.ndarray, start: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -155,20 +172,17 @@ def _lists(values: np.ndarray, start: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
-def _aligned(batch: pa.RecordBatch, a_file: str, b_file: str) -> pa.RecordBatch:
-    a, a_words, b, b_words = _tokenizers(a_file, b_file)
+def _aligned(batch: pa.RecordBatch, a_file: str, b_file: str, pattern: str | None) -> pa.RecordBatch:
+    a, a_words, b, b_words = _tokenizers(a_file, b_file, pattern)
     texts = [t or "" for t in batch.column("text").to_pylist()]
     n = len(texts)
-    a_lists = [e.ids for e in a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-    b_lists = b.encode(texts, num_threads=1)
-    spaced = pa.array([" " + t for t in texts], pa.string())
-    data, offsets = raw_bytes(spaced)
+    spaced = [" " + t for t in texts]
+    sides = [_flat(a(spaced)), _flat(b(texts))]
+    data, offsets = raw_bytes(pa.array(spaced, pa.string()))
     good = np.diff(offsets) > 1
-    for words, lists in ((a_words, a_lists), (b_words, b_lists)):
-        good &= _faithful(words, *_flat(lists), data, offsets)
-    for i in np.flatnonzero(~good):
-        a_lists[i] = b_lists[i] = []
-    (a_ids, a_row), (b_ids, b_row) = _flat(a_lists), _flat(b_lists)
+    for words, side in zip((a_words, b_words), sides, strict=True):
+        good &= _faithful(words, *side, data, offsets)
+    (a_ids, a_row), (b_ids, b_row) = ((ids[np.repeat(good, np.diff(row))], np.append(0, np.cumsum(np.diff(row) * good))) for ids, row in sides)
     a_ends, b_ends = np.cumsum(a_words.sizes(a_ids)), np.cumsum(b_words.sizes(b_ids))  # rows end in both, so one matrix holds them all
     links = overlap_links(a_ends, b_ends)
     link_a, link_b = np.repeat(np.arange(len(a_ids)), np.diff(links.start)), links.column
@@ -187,8 +201,9 @@ def _aligned(batch: pa.RecordBatch, a_file: str, b_file: str) -> pa.RecordBatch:
         names=["doc_id", "a_ids", "b_ids", "a_cuts", "b_cuts", "link_a", "link_b"])
 
 
-def align(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
+def align(docs: DataFrame, a_file: str, b_file: str, pattern: str | None = None) -> DataFrame:
     """Each text's tokens by A (a byte-level tokenizer file) and B (a SentencePiece model), their groups and links.
+    ``pattern`` is how A splits a text, if known.
 
     Columns: doc_id; a_ids, b_ids; a_cuts, b_cuts (group g holds the tokens cuts[g] to cuts[g + 1], the end excluded); link_a,
     link_b (token positions of every overlapping pair, by A's position, then B's). Special tokens' strings are plain text.
@@ -198,7 +213,7 @@ def align(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, limit=BLOCK):
-            yield _aligned(block, a_file, b_file)
+            yield _aligned(block, a_file, b_file, pattern)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, ALIGNED)
 
@@ -210,13 +225,11 @@ def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def group_text(a_ids: np.ndarray, b_ids: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray,
-               table: tuple[np.ndarray, np.ndarray]) -> bytes:
-    """``a1,a2|b1;a3|b2,b3``: the ids of A and B in each group."""
-    n = len(a_ids) + len(b_ids)
-    if not n:
-        return b""
+               table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of ``a1,a2|b1;a3|b2,b3;``: the ids of A and B in each group; and where each token's part ends."""
     a_group, b_group = transposed(a_cuts).column, transposed(b_cuts).column
     a_at, b_at = np.arange(len(a_ids)) + b_cuts[a_group], np.arange(len(b_ids)) + a_cuts[b_group + 1]
+    n = len(a_ids) + len(b_ids)
     ids, mark = np.empty(n, np.int64), np.full(n, ord(","), np.uint8)
     ids[a_at], ids[b_at] = a_ids, b_ids
     mark[a_at[a_cuts[1:] - 1]] = ord("|")
@@ -225,16 +238,39 @@ def group_text(a_ids: np.ndarray, b_ids: np.ndarray, a_cuts: np.ndarray, b_cuts:
     size = sizes[ids]
     end = np.cumsum(size + 1)
     begin = end - size - 1
-    out = np.empty(end[-1], np.uint8)
+    out = np.empty(end[-1] if n else 0, np.uint8)
     out[end - 1] = mark
     for k in range(digits.shape[1]):
         has = size > k
         out[begin[has] + k] = digits[ids[has], k]
-    return out[:-1].tobytes()
+    return out, end
+
+
+def _column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column, and the offsets of its rows."""
+    lists = batch.column(name)
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0]
+
+
+def _joined_cuts(cuts: np.ndarray, rows: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The cuts of some rows' groups as cuts of all their tokens in one sequence."""
+    whole = cuts + np.repeat(begin[:-1], np.diff(rows))
+    whole = np.delete(whole, rows[1:-1]) if len(rows) > 1 else whole  # a row begins where the one before it ends
+    return whole if len(whole) else np.zeros(1, np.int64)
 
 
-def _array(column: pa.Array, i: int) -> np.ndarray:
-    return column[i].values.to_numpy(zero_copy_only=False)
+def _pairs(row: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, pair, times) of the distinct pairs of ids in each row; rows ascend."""
+    high, low = int(a.max(initial=0)).bit_length(), int(b.max(initial=0)).bit_length()
+    if high + low + int(row.max(initial=0)).bit_length() > 63:
+        order = np.lexsort((b, a, row))
+        row, a, b = row[order], a[order], b[order]
+        first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        return row[first], a[first] << 32 | b[first], np.diff(np.append(first, len(row)))
+    key, times = np.unique(row << (high + low) | a << low | b, return_counts=True)
+    pair = key & ((1 << (high + low)) - 1)
+    return key >> (high + low), (pair >> low) << 32 | (pair & ((1 << low) - 1)), times
 
 
 CHUNK = ("chunk bigint, doc_id array<bigint>, " + ", ".join(f"{c} array<bigint>" for c in COUNTS)
@@ -246,25 +282,34 @@ class _Chunk:
 
     def __init__(self):
         self.docs, self.counts, self.sha = [], {c: [] for c in COUNTS}, []
-        self.pairs, self.times, self.size = [], [], 0
-
-    def add(self, batch: pa.RecordBatch, i: int, table: tuple) -> None:
-        a_ids, b_ids, a_cuts, b_cuts, link_a, link_b = (_array(batch.column(c), i).astype(np.int64) for c in batch.schema.names[1:])
-        pair, times = np.unique((a_ids[link_a] << 32) | b_ids[link_b], return_counts=True)
-        text = group_text(a_ids, b_ids, a_cuts, b_cuts, table)
-        self.docs.append(batch.column("doc_id")[i].as_py())
-        self.sha.append(hashlib.sha256(text).hexdigest() if text else "")
-        shared = int(np.diff(a_cuts) @ np.diff(b_cuts))  # entries of the group product, without making them
-        for c, x in zip(COUNTS, (len(a_ids), len(b_ids), len(a_cuts) - 1, len(link_a), shared), strict=True):
-            self.counts[c].append(x)
+        self.pairs, self.times, self.sizes, self.size = [], [], [], 0
+
+    def add(self, batch: pa.RecordBatch, table: tuple) -> None:
+        (a_ids, a_row), (b_ids, b_row), (a_cuts, cut_row), (b_cuts, _), (link_a, link_row), (link_b, _) = (
+            _column(batch, c) for c in batch.schema.names[1:])
+        n = batch.num_rows
+        a_all, b_all = _joined_cuts(a_cuts, cut_row, a_row), _joined_cuts(b_cuts, cut_row, b_row)
+        text, end = group_text(a_ids, b_ids, a_all, b_all, table)
+        last = np.append(0, end)[a_row + b_row].tolist()
+        body = memoryview(text)
+        self.sha += [hashlib.sha256(body[s:e - 1]).hexdigest() if e > s else "" for s, e in zip(last, last[1:], strict=False)]
+        groups = np.diff(cut_row) - 1
+        shared = np.append(0, np.cumsum(np.diff(a_all) * np.diff(b_all)))[np.append(0, np.cumsum(groups))]
+        self.docs += batch.column("doc_id").to_pylist()
+        sizes = (np.diff(a_row), np.diff(b_row), groups, np.diff(link_row), np.diff(shared))  # the group product's entries are counted, not made
+        for c, x in zip(COUNTS, sizes, strict=True):
+            self.counts[c] += x.tolist()
+        of = np.repeat(np.arange(n), np.diff(link_row))
+        row, pair, times = _pairs(of, a_ids[link_a + a_row[of]], b_ids[link_b + b_row[of]])
         self.pairs.append(pair)
         self.times.append(times)
+        self.sizes.append(np.bincount(row, minlength=n))
         self.size += len(pair)
 
     def row(self, name: int) -> pa.RecordBatch:
         pairs, item = np.unique(np.concatenate(self.pairs), return_inverse=True)
         times = np.concatenate(self.times)
-        start = np.cumsum([0, *map(len, self.pairs)])
+        start = np.append(0, np.cumsum(np.concatenate(self.sizes)))
         step = np.diff(item, prepend=0)
         own = start[:-1][np.diff(start) > 0]
         step[own] = item[own]  # differences begin anew in each row
@@ -280,11 +325,12 @@ def _chunks(aligned: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made, held, table = TaskContext.get().partitionId(), 0, _Chunk(), _digits(1 << 16)
         for batch in batches:
-            for i in range(batch.num_rows):
-                most = max((int(x.max()) for x in (_array(batch.column(c), i) for c in ("a_ids", "b_ids")) if len(x)), default=0)
+            for low in range(0, batch.num_rows, ROWS):
+                part = batch.slice(low, ROWS)
+                most = max(int(_column(part, c)[0].max(initial=0)) for c in ("a_ids", "b_ids"))
                 if most >= len(table[1]):
                     table = _digits(2 * most)
-                held.add(batch, i, table)
+                held.add(part, table)
                 if held.size >= CHUNK_ITEMS or len(held.docs) >= CHUNK_DOCS:
                     yield held.row((task << 32) + made)
                     made, held = made + 1, _Chunk()
