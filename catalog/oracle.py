@@ -554,6 +554,10 @@ UNION ALL SELECT 'register_log: issue: ' || log_reason, count(*) FROM ({FINAL['d
 UNION ALL SELECT 'after_review: issue: ' || log_reason, count(*) FROM log_all GROUP BY ALL
 UNION ALL SELECT 'after_review: action: ' || lower(coalesce(record_action, '')) || ', ' || status, count(*) FROM log_all GROUP BY ALL"""
 RUNS["run_initial_counts"] = (_COUNTS, _AFTER_FIRST)
+RUNS.update({name: (body, _AFTER_ACTIONS) for name, body in {
+    "run_difference_positions": FINAL["pos_enriched"], "run_difference_register": FINAL["rmd_register"],
+    "run_difference_measures": f"SELECT {REC_KEYS}, {_doubles('rca_bookv rca_accrint rca_deferred_fee rca_mtm')} FROM rec_measures",
+    "run_difference_owners": "SELECT role, currency, code, first_key, last_risk_in FROM owners"}.items()})
 FINAL["map_written_counts"] = FINAL["map_lookup_unmatched"]
 _JOB = "ale, cat_asset, report_ccy, sector_by_party, class_by_link"
 FINAL["job_mapped_positions"] = f"SELECT 'parquet' AS source, seq, {_JOB} FROM mapped UNION ALL SELECT 'table', seq, {_JOB} FROM mapped"

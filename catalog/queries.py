@@ -638,6 +638,40 @@ def run_final_position_log(f: Feed) -> DataFrame:
     return final(f)["positions_log"].select("seq", "risk_in", "record_action", "status")
 
 
+def by_difference(f: Feed) -> dict:
+    """The tables after the same position actions as in ``final``, from the review run's tables and their cells."""
+    def make() -> dict:
+        tables = dict(reviewed_run(f)["updated"])
+        tables["cells"] = settle(rec.position_cells(tables["positions"]), "cells")
+        log = tables["positions"].where("currency = 'AUD' AND ide_linkage_type = '1'").selectExpr(
+            "*", "'delete' AS record_action", "'PENDING' AS status")
+        return lifecycle.apply_by_difference(tables, log, f.dims())[0]
+    return f.once("difference", make)
+
+
+@query
+def run_difference_positions(f: Feed) -> DataFrame:
+    return by_difference(f)["positions"].drop("tfi_id")
+
+
+@query
+def run_difference_register(f: Feed) -> DataFrame:
+    return by_difference(f)["register"].drop("check_country", "check_type")
+
+
+@query
+def run_difference_measures(f: Feed) -> DataFrame:
+    """Account measures and owners' keys from the changed cells."""
+    cells = by_difference(f)["cells"]
+    return as_double(rec.add_measures(rec.add_adjustment(rec.ledger_pivot(ledger(f))), rec.account_measures(cells))).select(
+        *rec.LEDGER_KEYS, "rca_bookv", "rca_accrint", "rca_deferred_fee", "rca_mtm")
+
+
+@query
+def run_difference_owners(f: Feed) -> DataFrame:
+    return rec.account_owners(by_difference(f)["cells"])
+
+
 @query
 def job_mapped_positions(f: Feed) -> DataFrame:
     """A mapping job from its description: a source, lookups, a chain and a target, over two sources and a bundle."""

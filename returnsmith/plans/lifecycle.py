@@ -15,6 +15,7 @@ from returnsmith.operators.counts import as_rows, by_value, written
 from returnsmith.operators.dedup import merge_log, split_repeats
 from returnsmith.operators.review import ACTION, apply_actions
 from returnsmith.plans import reports
+from returnsmith.plans.difference import apply_by_difference
 from returnsmith.plans.facility import enrich_facility
 from returnsmith.plans.ledger import enrich_ledger
 from returnsmith.plans.positions import add_risk, enrich_positions
@@ -103,18 +104,23 @@ def final_run(tables: Tables, dims: Tables, in_millions: bool = False, share: Se
               positions_log: DataFrame | None = None, keys: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """All reconciliations and reports over enriched tables (as the review run leaves them).
 
-    With ``positions_log`` its pending actions are applied first and everything is rebuilt; the log, with what was done
-    marked, is then the output ``positions_log``, to be written back.
+    With ``positions_log`` its pending actions are applied first and everything is rebuilt: by difference where ``tables`` hold
+    the ``cells`` of their positions, in full where they do not. The log, with what was done marked, is then the output
+    ``positions_log``, to be written back.
 
     The positions are read four times, each time for a few columns: for the account cells, the country
     figures, the asset and the liability lines. All else works on the small results, which ``share`` settles.
     """
-    marked = None
+    marked = cells = None
     if positions_log is not None:
-        tables, marked = apply_position_actions(tables, positions_log, dims, keys, share)
-        tables["positions"] = share(tables["positions"].select(*REPORTED), "positions")
+        if "cells" in tables:
+            tables, marked = apply_by_difference(tables, positions_log, dims, keys, share)
+            cells = tables["cells"]
+        else:
+            tables, marked = apply_position_actions(tables, positions_log, dims, keys, share)
+            tables["positions"] = share(tables["positions"].select(*REPORTED), "positions")
     positions = tables["positions"]
-    cells = share(position_cells(positions), "cells")
+    cells = share(position_cells(positions) if cells is None else cells, "cells")
     rec = share(reconcile(tables["ledger"], cells), "reconciliation")
     table = share(reports.country_report(positions, tables["facility"], rec, dims["country"]), "country")
     check = share(off_balance_check(tables["ledger"], tables["facility"], reports.part(table, "e")), "check")

@@ -51,6 +51,7 @@ CELL_SUMS = {
     "accr_a": total("rca_accrint", "ale = 'A'"), "accr_l": total("rca_accrint", "ale = 'L'"),
     "mtm": f"{total('rca_mtm_negative')} + {total('rca_mtm_positive')}",
 }
+CELL_ROWS = "cell_rows"
 # which role of an account each sum belongs to; deferred fees all belong to the fee account
 ROLE_SUMS = {"deal": ("book_a", "book_l", "fee_a", "fee_l"), "interest": ("accr", "accr_a", "accr_l"),
              "valuation": ("mtm",), "fee": ("fee",)}
@@ -60,7 +61,7 @@ ROLE_CODES = {"deal": "deal_code", "interest": "interest_code", "valuation": "va
 def position_cells(positions: DataFrame) -> DataFrame:
     """One pass over the positions: sums by account codes, currency, key and risk country."""
     rows = exact(positions, "rca_bookv", "rca_accrint", "rca_deferred_fee", "rca_mtm_negative", "rca_mtm_positive")
-    return figures(rows, CELL_KEYS, **CELL_SUMS, seq_first="min(seq)", seq_last="max(seq)")
+    return figures(rows, CELL_KEYS, **CELL_SUMS, seq_first="min(seq)", seq_last="max(seq)", **{CELL_ROWS: "count(*)"})
 
 
 def account_cells(positions: DataFrame) -> DataFrame:

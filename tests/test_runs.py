@@ -1,14 +1,17 @@
 """The three runs end to end over the small test tables, through bundles."""
 
 import os
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from catalog.adapter import AS_OF, ENTITY, LOT, Feed
 from returnsmith.operators.review import with_status
 from returnsmith.plans import lifecycle
 from returnsmith.plans.positions import add_risk, enrich_positions
+from returnsmith.plans.reconcile import position_cells
 from returnsmith.plans.register import build_register
 from returnsmith.schemas import FACILITY, POSITIONS
 from returnsmith.session import run_scratch, scratch_path, settle, shared_dir, tune
@@ -110,6 +113,35 @@ def test_first_run_splits_the_feed_once(spark, feed, monkeypatch):
     assert calls == [1] and not os.path.exists(folder.removeprefix("file://"))
 
 
+def test_rebuild_by_difference_equals_the_full_one(spark, feed):
+    """Rows deleted, changed in reference, customer and amount, and added: positions, register and cells as a full rebuild leaves them."""
+    dims = feed.dims()
+    tables = lifecycle.rebuild({"positions": feed.table("positions"), "facility": feed.table("facility"), "ledger": feed.table("ledger")}, dims)
+    tables["positions"] = settle(tables["positions"], "positions")
+    tables["cells"] = settle(position_cells(tables["positions"]), "cells")
+    rows = tables["positions"]
+    first = rows.groupBy("deal_code", "currency").agg(F.min("seq").alias("seq"))  # cells lose their first rows
+    deleted = rows.join(first.where("seq % 3 = 0").select("seq"), "seq", "left_semi")
+    changed = rows.where("seq % 97 = 1").withColumns({"rca_bookv": F.expr("rca_bookv + 10.25"), "customer_nr": F.expr("concat(customer_nr, '9')")})
+    moved = rows.where("seq % 101 = 2").withColumn("ide_linkage_ref", F.lit("moved"))
+    added = rows.where("seq % 89 = 3").withColumns({"seq": F.expr("seq + 1000000"), "rv_coa": F.lit("BLS-AST-LOANS-PLAIN")})
+    log = None
+    for action, df in (("delete", deleted), ("update", changed), ("Update", moved), ("insert", added)):
+        df = df.selectExpr("*", f"'{action}' AS record_action", "IF(seq % 5 = 0, 'DONE', 'PENDING') AS status")
+        log = df if log is None else log.unionByName(df)
+    log = settle(log, "log")
+    full, full_log = lifecycle.apply_position_actions(tables, log, dims, ["seq"])
+    out, marked = lifecycle.apply_by_difference(tables, log, dims, ["seq"])
+    full["cells"] = position_cells(full["positions"])
+    for name in ("positions", "register", "cells", "facility"):
+        names = out[name].columns
+        assert sorted(names) == sorted(full[name].columns)
+        got, want = (Counter(map(tuple, t[name].select(*names).collect())) for t in (out, full))
+        assert got == want, name
+    assert Counter(map(tuple, marked.collect())) == Counter(map(tuple, full_log.select(*marked.columns).collect()))
+    assert out["positions"].where("ide_linkage_ref = 'moved'").count() > 0 and deleted.count() > 0
+
+
 def test_final_run_applies_position_actions(feed):
     dims = feed.dims()
     tables = lifecycle.rebuild({"positions": feed.table("positions"), "facility": feed.table("facility"), "ledger": feed.table("ledger")}, dims)
