@@ -10,7 +10,7 @@ table may grow without any change here; no size is looked at.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,30 @@ class Lookup:
     null_safe: bool = False
 
 
+class Prepared(Mapping):
+    """A lookup set whose tables hold one row per key already, for the keys and values that some steps ask for.
+
+    As a mapping it is the set of tables. ``ready`` maps (table, keys, values) to the keys and ``value_<name>`` columns; steps
+    that it does not know pick their rows themselves.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame], ready: Mapping[tuple, DataFrame]):
+        self.tables, self.ready = dict(tables), dict(ready)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.tables[name]
+
+    def __iter__(self):
+        return iter(self.tables)
+
+    def __len__(self) -> int:
+        return len(self.tables)
+
+    def with_tables(self, tables: Mapping[str, DataFrame]) -> Prepared:
+        """The set with further or other tables, which are not ready."""
+        return Prepared({**self.tables, **tables}, {k: df for k, df in self.ready.items() if k[0] not in tables})
+
+
 def inline_table(spark: SparkSession, columns: str, rows: Sequence[Sequence]) -> DataFrame:
     """A fixed table (text or whole numbers) as literal rows of the plan, hence in one partition: picking one
     row per key needs no shuffle."""
@@ -121,7 +145,12 @@ def apply_chain(df: DataFrame, steps: Sequence[Lookup], dims: Mapping[str, DataF
     _refuse_clash(df, steps)
     helpers: list[str] = []
     for number, step in enumerate(steps):
-        df, more = _join(df, dims[step.table], step, number, "seq", "first")
+        ready = dims.ready.get((step.table, tuple(step.on.values()), tuple(step.values))) if isinstance(dims, Prepared) else None
+        if ready is None:
+            df, more = _join(df, dims[step.table], step, number, "seq", "first")
+        else:  # one row a key: nothing to pick
+            known = replace(step, values={f"value_{v}": n for v, n in step.values.items()})
+            df, more = _join(df, ready, known, number, None, "first")
         helpers += more
     return df.drop(*helpers)
 

@@ -2,6 +2,7 @@
 
 import os
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql.types import StructType
 from catalog.adapter import AS_OF, ENTITY, LOT, Feed
 from returnsmith.operators.review import with_status
 from returnsmith.plans import lifecycle
-from returnsmith.plans.positions import add_risk, enrich_positions
+from returnsmith.plans.chains import POSITION_CHAIN
+from returnsmith.plans.positions import add_risk, enrich_positions, map_positions
 from returnsmith.plans.reconcile import position_cells
 from returnsmith.plans.register import build_register
 from returnsmith.schemas import FACILITY, POSITIONS
@@ -169,7 +171,79 @@ def test_reports_of_several_parts_are_read_back_in_order(spark):
     bundle.write_report({"x": rows, "y": rows.select("n")}, path, "country", order_by=["country"])
     saved = bundle.read_bundle(spark, path)
     assert set(saved) == {"country_x", "country_y"}
-    assert [r.country for r in saved["country_x"].coalesce(1).collect()] == ["a", "b", "c"]
+    assert [r.country for r in bundle.read_report(spark, path, "country_x").collect()] == ["a", "b", "c"]
+    many = spark.range(5000).selectExpr("pmod(hash(id), 700) AS k", "CAST(id AS string) AS v").repartition(9)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")  # so that few rows make several files too
+    try:
+        bundle.write_report(many, path, "long", order_by=["k"])
+    finally:
+        spark.conf.set(coalesce, before)
+    assert len(spark.read.parquet(f"{path}/{bundle._manifest(spark, path)['long']}").inputFiles()) > 1
+    back = [(r.k, r.v) for r in bundle.read_report(spark, path, "long").collect()]
+    assert back == sorted(map(tuple, many.collect()))
+
+
+def test_a_writer_notices_that_the_version_moved(spark):
+    path = scratch_path(spark, "bundle")
+    bundle.write_bundle({"a": spark.range(1), "b": spark.range(1)}, path)
+    seen = bundle.version_in_force(spark, path)
+    bundle.write_bundle({"b": spark.range(5)}, path)  # another writer, meanwhile
+    assert bundle.write_bundle({"a": spark.range(7)}, path, based_on=seen) == seen + 2
+    assert {n: df.count() for n, df in bundle.read_bundle(spark, path).items()} == {"a": 7, "b": 5}
+    with pytest.raises(bundle.VersionMoved):
+        bundle.write_bundle({"b": spark.range(9)}, path, based_on=seen)
+    assert bundle.read_bundle(spark, path)["b"].count() == 5
+
+
+def test_two_writers_at_once(spark):
+    """Each of several threads replaces a table of its own; no manifest is lost."""
+    path = scratch_path(spark, "bundle")
+    bundle.write_bundle({f"t{i}": spark.range(1) for i in range(4)}, path)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: [bundle.write_bundle({f"t{i}": spark.range(n)}, path) for n in (2, 3, i + 4)], range(4)))
+    assert {n: df.count() for n, df in bundle.read_bundle(spark, path).items()} == {f"t{i}": i + 4 for i in range(4)}
+    assert bundle.version_in_force(spark, path) == 13
+    taken = bundle._put_in_force(spark, path, 13, {})
+    assert taken is False and bundle.read_bundle(spark, path)["t0"].count() == 4
+
+
+def test_old_versions_go(spark):
+    path = scratch_path(spark, "bundle")
+    for n in (1, 2, 3):
+        bundle.write_bundle({"a": spark.range(n)}, path)
+    bundle.write_bundle({"b": spark.range(9)}, path)
+    held = bundle.read_bundle(spark, path)
+    begun = f"{path}/a/000005-other".removeprefix("file:")  # a writer at work on the next version
+    os.mkdir(begun)
+    gone = bundle.remove_old(spark, path)
+    assert len(gone) == 2 and os.path.isdir(begun)
+    assert {n: df.count() for n, df in held.items()} == {"a": 3, "b": 9}
+    assert bundle.write_bundle({"a": spark.range(4)}, path) == 5 and bundle.remove_old(spark, path + "-none") == []
+
+
+def test_prepared_lookups_pick_nothing_again(spark, feed):
+    """The first row of each key is picked once for a version of the set; a newer version is prepared anew."""
+    path = scratch_path(spark, "lookups")
+    names = {s.table for s in POSITION_CHAIN}
+    bundle.write_bundle({name: feed.rows(name) for name in names}, path)
+    ready = bundle.prepare_lookups(spark, path, POSITION_CHAIN)
+    positions = feed.table("positions")
+    out, want = map_positions(positions, ready), map_positions(positions, bundle.read_lookups(spark, path))
+    assert out.columns == want.columns and Counter(map(tuple, out.collect())) == Counter(map(tuple, want.collect()))
+
+    def aggregates(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Aggregate(")
+
+    assert aggregates(out) == aggregates(positions) < aggregates(want)
+    files = set(ready.ready[("ccy", ("currency_group",), ("report_ccy",))].inputFiles())
+    assert files == set(bundle.prepare_lookups(spark, path, POSITION_CHAIN).ready[("ccy", ("currency_group",), ("report_ccy",))].inputFiles())
+    bundle.write_bundle({"ccy": feed.rows("ccy").where("false")}, path)
+    newer = bundle.prepare_lookups(spark, path, POSITION_CHAIN)
+    assert map_positions(positions, newer).where("report_ccy IS NOT NULL").count() == 0
+    computed = ready.with_tables({"ccy": newer["ccy"]})
+    assert map_positions(positions, computed).where("report_ccy IS NOT NULL").count() == 0
 
 
 def test_settings_of_the_user_are_kept(spark):
