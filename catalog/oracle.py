@@ -558,7 +558,16 @@ RUNS.update({name: (body, _AFTER_ACTIONS) for name, body in {
     "run_difference_positions": FINAL["pos_enriched"], "run_difference_register": FINAL["rmd_register"],
     "run_difference_measures": f"SELECT {REC_KEYS}, {_doubles('rca_bookv rca_accrint rca_deferred_fee rca_mtm')} FROM rec_measures",
     "run_difference_owners": "SELECT role, currency, code, first_key, last_risk_in FROM owners"}.items()})
+_FALSE = "FROM register WHERE check_country = 'false' OR check_type = 'false'"
+_REGISTER_LOG = "this_country, this_type, check_country, check_type, 'False check flag found' AS log_reason, '' AS record_action"
+RUNS["run_review_register_log"] = (f"""SELECT seq, ide_linkage_ref, CASE WHEN ide_linkage_ref IS NOT NULL THEN
+  CAST(round_even(sum({m('rca_bookv')}) OVER (PARTITION BY ide_linkage_ref), 1) AS DOUBLE) END AS rca_bookv, {_REGISTER_LOG}, 'PENDING' AS status
+{_FALSE} UNION ALL SELECT seq, ide_linkage_ref, rca_bookv, {_REGISTER_LOG}, NULL {_FALSE}""", _AFTER_FIRST)
+RUNS["run_review_start"] = ("""SELECT log_reason, 'PENDING' AS status, count(*) AS n, 'raw' AS begins_with FROM issues GROUP BY ALL""", _AFTER_FIRST)
 FINAL["map_written_counts"] = FINAL["map_lookup_unmatched"]
+FINAL["map_prepared_lookups"] = FINAL["map_reloaded_lookups"]
+FINAL["rpt_saved_in_order"] = f"""SELECT *, row_number() OVER (ORDER BY report_ccy, vis_sector, vis_country)::INT AS line
+FROM ({FINAL['rpt_assets_core']})"""
 _JOB = "ale, cat_asset, report_ccy, sector_by_party, class_by_link"
 FINAL["job_mapped_positions"] = f"SELECT 'parquet' AS source, seq, {_JOB} FROM mapped UNION ALL SELECT 'table', seq, {_JOB} FROM mapped"
 FINAL.update({name: body for name, (body, _) in RUNS.items()})

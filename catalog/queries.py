@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog.adapter import AS_OF, ENTITY, LOT, Feed
@@ -258,6 +258,16 @@ def map_reloaded_lookups(f: Feed) -> DataFrame:
         "sector_by_related", "class_by_coa", "class_by_link")
 
 
+@query
+def map_prepared_lookups(f: Feed) -> DataFrame:
+    """The same chain with a lookup set prepared from its bundle: one row per key, picked once for the bundle's version."""
+    path = scratch_path(f.spark, "lookups")
+    bundle.write_bundle({name: f.rows(name) for name in ("category", "ccy", "sector", "source_class")}, path)
+    return pos.map_positions(f.table("positions"), bundle.prepare_lookups(f.spark, path, POSITION_CHAIN)).select(
+        "seq", "ale", "cat_asset", "cat_liability", "cat_off_asset", "cat_off_liability", "report_ccy", "sector_by_party",
+        "sector_by_related", "class_by_coa", "class_by_link")
+
+
 @query
 def map_registered_lookup(f: Feed) -> DataFrame:
     """The computed register, used as a lookup like any other."""
@@ -527,6 +537,15 @@ def rpt_assets(f: Feed) -> DataFrame:
     return reports.assets_report(positions, full_reconciliation(f, positions))
 
 
+@query
+def rpt_saved_in_order(f: Feed) -> DataFrame:
+    """A report saved and read back: its lines numbered by the place they were saved at."""
+    path = scratch_path(f.spark, "reports")
+    bundle.write_report(as_double(reports.asset_lines(enriched(f))), path, "assets", ["report_ccy", "vis_sector", "vis_country"])
+    saved = bundle.read_bundle(f.spark, path)["assets"]
+    return saved.withColumn("line", F.row_number().over(Window.orderBy(bundle.PLACE))).drop(bundle.PLACE)
+
+
 @query
 def rpt_liabilities(f: Feed) -> DataFrame:
     positions = reviewed(f)
@@ -623,6 +642,26 @@ def run_review_positions(f: Feed) -> DataFrame:
     return reviewed_run(f)["updated"]["positions"].drop("tfi_id")
 
 
+@query
+def run_review_start(f: Feed) -> DataFrame:
+    """Where a review begins: the newest bundle there is, and logs from files, with their default status, or empty."""
+    home, first = scratch_path(f.spark, "start"), started(f)
+    bundle.write_bundle({"ledger": ledger(f)}, f"{home}/raw")
+    bundle.write_bundle({"positions_log": first["logs"]["positions_log"]}, f"{home}/logs")
+    newest = bundle.newest_bundle(f.spark, f"{home}/updated", f"{home}/raw")
+    log = bundle.read_log(f.spark, f"{home}/logs", "positions_log", first["logs"]["positions_log"].schema)
+    absent = bundle.read_log(f.spark, f"{home}/logs", "register_log", first["logs"]["register_log"].schema)
+    rows = log.select("log_reason", "status").unionByName(absent.select("log_reason", "status"))
+    return rows.groupBy("log_reason", "status").agg(F.count("*").alias("n")).withColumn("begins_with", F.lit(newest.rsplit("/", 1)[1]))
+
+
+@query
+def run_review_register_log(f: Feed) -> DataFrame:
+    """The register log after the review run: reviewed rows with the rules applied again, and the issues found anew."""
+    return reviewed_run(f)["logs"]["register_log"].select("seq", "ide_linkage_ref", "rca_bookv", "this_country", "this_type", "check_country",
+                                                          "check_type", "log_reason", "record_action", "status")
+
+
 @query
 def run_final_assets(f: Feed) -> DataFrame:
     return final(f)["assets"]
