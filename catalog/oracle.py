@@ -564,6 +564,7 @@ RUNS["run_review_register_log"] = (f"""SELECT seq, ide_linkage_ref, CASE WHEN id
   CAST(round_even(sum({m('rca_bookv')}) OVER (PARTITION BY ide_linkage_ref), 1) AS DOUBLE) END AS rca_bookv, {_REGISTER_LOG}, 'PENDING' AS status
 {_FALSE} UNION ALL SELECT seq, ide_linkage_ref, rca_bookv, {_REGISTER_LOG}, NULL {_FALSE}""", _AFTER_FIRST)
 RUNS["run_review_start"] = ("""SELECT log_reason, 'PENDING' AS status, count(*) AS n, 'raw' AS begins_with FROM issues GROUP BY ALL""", _AFTER_FIRST)
+FINAL["dq_duplicate_log_grown"] = FINAL["dq_duplicate_log_merge"]
 FINAL["map_written_counts"] = FINAL["map_lookup_unmatched"]
 FINAL["map_prepared_lookups"] = FINAL["map_reloaded_lookups"]
 FINAL["rpt_saved_in_order"] = f"""SELECT *, row_number() OVER (ORDER BY report_ccy, vis_sector, vis_country)::INT AS line

@@ -424,6 +424,15 @@ def dq_duplicate_log_merge(f: Feed) -> DataFrame:
                            dedup.repeats(feed, "customer_nr", order_by="seq").drop("seq")).drop("tfi_id")
 
 
+@query
+def dq_duplicate_log_grown(f: Feed) -> DataFrame:
+    """The log of two runs, grown in place: the second run adds the rows that the first did not log."""
+    path, feed = scratch_path(f.spark, "logs"), delivered(f)
+    bundle.extend_log(dedup.repeats(feed.where("currency = 'AUD'"), "customer_nr", order_by="seq").drop("seq"), path, "duplicates")
+    bundle.extend_log(dedup.repeats(feed, "customer_nr", order_by="seq").drop("seq"), path, "duplicates")
+    return bundle.read_bundle(f.spark, path)["duplicates"].drop("tfi_id")
+
+
 @query
 def dq_position_issues(f: Feed) -> DataFrame:
     return position_issues(enriched(f)).select("seq", "vis_sector", "valuation_code", "rca_bookv", "rca_mtm_negative",

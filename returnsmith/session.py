@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,9 +66,13 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# the folder of the run that is under way in this thread or task, which owns all scratch made meanwhile
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the run's folder, or below the shared folder outside of runs."""
+    return f"{_RUN.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -80,16 +85,13 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def run_scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """A ``settle`` for one run: what it writes is dropped at the end, so results must be written by then."""
+    """A run that owns its scratch: whatever is settled before it ends, by whichever function, goes with it. Results must
+    be written by then. Gives ``settle``; a run within a run has a folder of its own below the outer one."""
     root = scratch_path(spark, "run")
-
-    def share(df: DataFrame, name: str) -> DataFrame:
-        path = f"{root}/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
+    outer = _RUN.set(root)
     try:
-        yield share
+        yield settle
     finally:
+        _RUN.reset(outer)
         folder = spark._jvm.org.apache.hadoop.fs.Path(root)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from catalog.adapter import AS_OF, ENTITY, LOT, Feed
+from catalog.queries import QUERIES, runnable
 from returnsmith.operators.review import with_status
 from returnsmith.plans import lifecycle
 from returnsmith.plans.chains import POSITION_CHAIN
@@ -180,7 +181,7 @@ def test_reports_of_several_parts_are_read_back_in_order(spark):
         bundle.write_report(many, path, "long", order_by=["k"])
     finally:
         spark.conf.set(coalesce, before)
-    assert len(spark.read.parquet(f"{path}/{bundle._manifest(spark, path)['long']}").inputFiles()) > 1
+    assert len(spark.read.parquet(f"{path}/{bundle._manifest(spark, path)['long'][0]}").inputFiles()) > 1
     back = [(r.k, r.v) for r in bundle.read_report(spark, path, "long").collect()]
     assert back == sorted(map(tuple, many.collect()))
 
@@ -281,3 +282,39 @@ def test_bundles_version_their_tables(spark):
     assert bundle.read_log(spark, path, "b", schema).where("status = 'PENDING'").count() == 3
     with pytest.raises(FileNotFoundError):
         bundle.newest_bundle(spark, path + "-none")
+
+
+def test_a_run_owns_all_scratch_made_during_it(spark):
+    """Queries settle what they share by themselves; within a run it all goes with the run."""
+    home = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(home))
+    with run_scratch(spark) as share:
+        inner = share(spark.range(3), "a")
+        with run_scratch(spark):
+            gone = settle(spark.range(2), "b")
+            assert gone.count() == 2
+        kept = runnable(QUERIES["rpt_b_part_e"])(spark, FOLDER).collect()
+        assert kept and inner.count() == 3
+        made = set(os.listdir(home)) - before
+        assert len(made) == 1 and len(os.listdir(os.path.join(home, *made))) > 2
+        with pytest.raises(Exception):
+            gone.count()
+    assert set(os.listdir(home)) == before
+
+
+def test_a_log_grows_by_its_new_rows_only(spark):
+    path = scratch_path(spark, "logs")
+    schema = "k string, v int, d double"
+    first = spark.createDataFrame([("a", 1, 1.0), ("a", None, 1.0), (None, 1, None)], schema)
+    second = spark.createDataFrame([("a", 1, 1.0), (None, 1, None), ("a", None, None), ("a", None, None), ("b", 2, 2.0)], schema)
+    bundle.write_bundle({"log": first, "other": spark.range(2)}, path)
+    bundle.extend_log(second, path, "log")
+    bundle.extend_log(first.unionByName(second), path, "log")
+    want = {("a", 1, 1.0), ("a", None, 1.0), (None, 1, None), ("a", None, None), ("b", 2, 2.0)}
+    log = bundle.read_bundle(spark, path)["log"]
+    assert log.columns == ["k", "v", "d"] and sorted(map(tuple, log.collect()), key=str) == sorted(want, key=str)
+    written = [spark.read.parquet(f"{path}/{place}").count() for place in bundle._manifest(spark, path)["log"]]
+    assert written == [3, 2, 0]
+    bundle.extend_log(second, path, "fresh")
+    assert bundle.read_log(spark, path, "fresh", log.schema).where("status = 'PENDING'").count() == 4
+    assert bundle.remove_old(spark, path) and bundle.read_bundle(spark, path)["log"].count() == 5
