@@ -5,6 +5,10 @@ a fixed sequence: a cutoff is accepted while the chance of seeing so few good do
 rejections as high as allowed, is at most the error level; the first failure ends the sequence. The level is
 divided by the number of sequences (Bonferroni), and a stratum's allowed rate by the number of rules, so that with
 probability 1 - DELTA no stratum loses more than ALPHA of its good documents to the learnt rules.
+
+The bound is about independent trials, which copies are not. So good documents that are alike, those with the same smallest hash
+of five-word shingles, are one trial of their stratum: always equal texts, and near copies with the chance of their
+similarity. Documents that share that shingle by chance are one trial too, which makes a holdout smaller, not a bound wrong.
 """
 
 from __future__ import annotations
@@ -79,7 +83,7 @@ def _lines(text: str | None) -> tuple[int, int]:
 
 
 def metrics(docs: DataFrame, id_column: str = "doc_id", stratum: str = "lang") -> DataFrame:
-    """(doc_id, stratum, counts) of every row."""
+    """(doc_id, stratum, counts, likeness) of every row; likeness is the smallest hash of the text's five-word shingles."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             texts = block.column("text")
@@ -91,12 +95,18 @@ def metrics(docs: DataFrame, id_column: str = "doc_id", stratum: str = "lang") -
             columns = [np.bincount(w.doc, minlength=n), _per_row(inside, offsets), _per_row(_IS_SYMBOL[raw], offsets),
                        lines[:, 1], _repeated_words(w, n), lines[:, 0], _per_row(_IS_CAPITAL[raw], offsets),
                        _per_row(_IS_MARK[raw], offsets)]
+            row, _, shingle = shingles(w)
+            likeness = np.zeros(n, np.uint64)
+            first = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else row
+            if len(row):
+                likeness[row[first]] = np.minimum.reduceat(shingle, first)
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("stratum"),
-                                              *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", "stratum", *COUNTS])
+                                              *(pa.array(c, pa.int64()) for c in columns), pa.array(likeness.view(np.int64))],
+                                             names=["doc_id", "stratum", *COUNTS, "likeness"])
 
     source = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "text")
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(count, f"doc_id {kind}, stratum string, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    return source.mapInArrow(count, f"doc_id {kind}, stratum string, " + ", ".join(f"{c} bigint" for c in (*COUNTS, "likeness")))
 
 
 def binomial_at_most(k: int, n: int, p: float) -> float:
@@ -124,9 +134,13 @@ def certified_cutoff(counts: np.ndarray, alpha: float, level: float) -> int | No
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, cutoff): documents above a cutoff are rejected. Strata without enough good labels have none."""
+    """(stratum, rule, cutoff): documents above a cutoff are rejected. Strata without enough good labels have none.
+
+    Of good documents that are alike, the one whose id has the smallest hash stands for all.
+    """
     good = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")).filter("quality = 1")
-    held = measured.join(good.select("doc_id"), "doc_id", "left_semi")
+    held = (measured.join(good.select("doc_id"), "doc_id", "left_semi").groupBy("stratum", "likeness")
+            .agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), *COUNTS)).alias("one")).select("stratum", "one.*"))
     values = F.array(*(F.struct(F.lit(name).alias("rule"), F.least(F.expr(rate), F.lit(GRID)).cast("int").alias("value"))
                        for name, rate in RULES.items()))
     table = settle(held.select("stratum", F.explode(values).alias("v")).select("stratum", "v.*").groupBy(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from returnsmith.llm import quality_rules, toxicity
 from returnsmith.llm.queries import op6_toxicity
+from returnsmith.session import settle
 from tests.llm.cases import frame, messy, spaced, words
 
 SF = "/root/testdata/sf0.1"
@@ -74,6 +75,44 @@ def test_rules_reject_bad_and_spare_good(spark):
     assert left.count() == 3600 and left.columns == frame(spark, []).columns
 
 
+def test_copies_do_not_change_a_cutoff(spark):
+    """Good documents that are alike are one trial; the cutoffs are those of a plain search over single documents."""
+    rng, rows = random.Random(3), []
+    for i in range(2400):
+        w = words(80, 5000 + i, 10**6)
+        rows.append((i, " ".join(x + ("#" if rng.random() < 0.02 * (i % 5) else "") for x in w), "en" if i % 4 else "de"))
+    copies = [(10_000 + i, rows[i % 7][1], rows[i % 7][2]) for i in range(3000)]
+    near = [(20_000 + i, rows[i % 7][1] + " tail", rows[i % 7][2]) for i in range(1000)]
+    schema = "doc_id bigint, quality int, toxic int"
+
+    def cutoffs(docs):
+        labels = spark.createDataFrame([(r[0], 1, 0) for r in docs], schema)
+        measured = settle(quality_rules.metrics(frame(spark, docs)), "m")
+        return {(r["stratum"], r["rule"]): r["cutoff"] for r in quality_rules.cutoffs(measured, labels).collect()}, measured
+
+    alone, measured = cutoffs(rows)
+    assert cutoffs(rows + copies)[0] == alone and alone
+    many = cutoffs(rows + copies + near)[0]
+    assert all(many.get(k) == v for k, v in alone.items() if k[1] != "symbols") and set(many) == set(alone)
+    values = {}
+    for r in measured.select("stratum", *[F.expr(f"least({rate}, 1000)").alias(name) for name, rate in quality_rules.RULES.items()]).collect():
+        for name in quality_rules.RULES:
+            values.setdefault((r["stratum"], name), []).append(r[name])
+    level = quality_rules.DELTA / len(values)
+    for key, found in values.items():
+        want = None
+        for cutoff in range(1000, -1, -1):
+            above, n, p = sum(v > cutoff for v in found), len(found), quality_rules.ALPHA / len(quality_rules.RULES)
+            chance = term = (1 - p) ** n
+            for j in range(1, above + 1):
+                term *= (n - j + 1) / j * p / (1 - p)
+                chance += term
+            if chance > level:
+                break
+            want = cutoff
+        assert alone.get(key) == want, key
+
+
 def test_chain_marginals_equal_enumeration():
     rng = np.random.default_rng(4)
     chain, first = np.array([[1.0, 0.2], [0.7, 2.5]]), 0.3
