@@ -15,18 +15,22 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from returnsmith.llm.text import ALNUM, Hasher, blocks, mix, words
 
 #: The fit reads so many labelled documents at most, chosen by a hash of the id; scoring reads everything.
 MAX_LABELLED = 8_000
+#: And so many bytes of text, in the order of that hash; a text that would pass the bound ends the sample.
+MAX_BYTES = 64 << 20
 #: The chain reads so many stretches of STRETCH tokens with a toxic one, and as many others, chosen by a hash.
 MAX_STRETCHES = 6_000
 STRETCH = 128
 #: A document offers so many of either sort.
 DOC_STRETCHES = 64
+#: Of the stretches without any string of the lists, one of so many is offered, by a hash, and stands for them all.
+CLEAN_EVERY = 8
 #: Bytes of a word's beginnings that are features, next to the word itself.
 BEGINNINGS = (3, 4, 5, 6)
 #: Log-odds from which a string labels a token of a toxic document, and toxic documents that must hold it.
@@ -103,6 +107,10 @@ def _document_features(odds: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.ones(n), np.clip(np.log(np.minimum(largest, 1e12)), -12, 12), np.log1p(count)])
 
 
+def _code(doc: np.ndarray, number: np.ndarray) -> np.ndarray:
+    return mix(mix(doc.astype(np.int64).view(np.uint64), 71) ^ number.astype(np.uint64), 72)
+
+
 def _stretch_weights(doc: np.ndarray, number: np.ndarray, marked: np.ndarray) -> np.ndarray:
     """How many stretches each one stands for in the fit of the chain, 0 for those left out.
 
@@ -110,7 +118,7 @@ def _stretch_weights(doc: np.ndarray, number: np.ndarray, marked: np.ndarray) ->
     more than MAX_STRETCHES, each document's first before any document's second; of the others MAX_STRETCHES. Order is by
     a hash of document and number, and what is taken stands for all that was offered of its sort.
     """
-    code = mix(mix(doc.astype(np.int64).view(np.uint64), 71) ^ number.astype(np.uint64), 72)
+    code = _code(doc, number)
     order = np.lexsort((code, marked, doc))
     new = np.append(True, (doc[order[1:]] != doc[order[:-1]]) | (marked[order[1:]] != marked[order[:-1]]))
     rank = np.empty(len(doc), np.int64)
@@ -212,10 +220,13 @@ def fit(texts: pa.Array, toxic: np.ndarray, ids: np.ndarray | None = None) -> Mo
     found = []
     for x, y, _, at, doc, number in stretches():
         spoken = np.bincount(at, (x > 0).any(axis=0), minlength=len(doc)) > 0
-        found.append((doc, number, np.bincount(at, y, minlength=len(doc)) > 0, spoken | (np.arange(len(doc)) % 8 == 0)))
-    doc, number, marked, offered = (np.concatenate([f[j] for f in found]) for j in range(4))
+        found.append((doc, number, np.bincount(at, y, minlength=len(doc)) > 0, spoken))
+    doc, number, marked, spoken = (np.concatenate([f[j] for f in found]) for j in range(4))
+    own = ids[odd][doc]
+    offered = spoken | (mix(_code(own, number), 73) % np.uint64(CLEAN_EVERY) == 0)
     weight = np.zeros(len(doc))
-    weight[offered] = _stretch_weights(ids[odd][doc[offered]], number[offered], marked[offered])
+    weight[offered] = _stretch_weights(own[offered], number[offered], marked[offered])
+    weight[~spoken] *= CLEAN_EVERY
     slot = np.where(weight > 0, np.cumsum(weight > 0) - 1, -1)
     weight = weight[weight > 0]
     full = np.zeros((len(weight), STRETCH, 2 + len(BEGINNINGS)))
@@ -274,10 +285,18 @@ def _measured(parts: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[p
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> Model:
-    """Fit on the labelled documents outside the held-out fold, MAX_LABELLED at most."""
+    """Fit on the labelled documents outside the held-out fold, MAX_LABELLED and MAX_BYTES at most.
+
+    A label given several times is toxic if one of them is; labels without a document, with a null id or another value than 0
+    and 1 say nothing. Of several texts under one id the smallest counts, a null one as the empty text. Texts are read whole.
+    """
+    order = F.xxhash64(F.lit("sample"), id_column)
     known = (labels.filter(f"{id_column} is not null and toxic in (0, 1)").groupBy(id_column).agg(F.max("toxic").alias("toxic"))
-             .filter(F.crc32(F.col(id_column).cast("string")) % FOLDS != 0)
-             .orderBy(F.xxhash64(F.lit("sample"), id_column), id_column).limit(MAX_LABELLED))
+             .filter(F.crc32(F.col(id_column).cast("string")) % FOLDS != 0).orderBy(order, id_column).limit(MAX_LABELLED))
+    # sizes first, so that no text moves that does not fit; the window sees MAX_LABELLED narrow rows
+    sizes = (docs.select(id_column, F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).join(known, id_column)
+             .groupBy(id_column, "toxic").agg(F.max("size").alias("size")))
+    known = sizes.withColumn("sum", F.sum("size").over(Window.orderBy(order, id_column))).filter(F.col("sum") <= MAX_BYTES).drop("size", "sum")
     sample = (docs.select(id_column, "text").join(known, id_column).groupBy(id_column, "toxic").agg(F.min("text").alias("text"))
               .select(F.col(id_column).cast("bigint").alias("id"), F.col("toxic").cast("int").alias("toxic"), F.coalesce("text", F.lit("")).alias("text")))
     table = sample.toArrow().combine_chunks().sort_by("id")

@@ -161,6 +161,37 @@ def test_chain_sees_all_documents_when_stretches_are_capped(monkeypatch):
     assert (toxicity._stretch_weights(doc, number, few)[few] == 1).all()
 
 
+def test_the_sample_of_labelled_texts_is_bounded_in_bytes(spark, monkeypatch):
+    """Very long labelled texts, nulls, repeats and ids without documents: the fit reads no more than its bound."""
+    taken = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic, ids: taken.append((texts.to_pylist(), toxic.tolist(), ids.tolist())))
+    rows = [(i, f"{i} " + "x" * 10_000) for i in range(300)] + [(7, "7 shorter"), (301, None), (302, "")]
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in [*range(303), 5, 9999]] + [(None, 0, 1), (3, 0, None), (4, 0, 1)],
+                                   "doc_id bigint, quality int, toxic int")
+    toxicity.learn(frame(spark, rows), labels)
+    texts, toxic, ids = taken.pop()
+    assert sorted(ids) == ids and all(zlib.crc32(str(i).encode()) % 5 for i in ids) and len(ids) == len(set(ids)) > 200
+    assert dict(zip(ids, toxic))[4] == 1 and dict(zip(ids, texts))[301] == "" and dict(zip(ids, texts)).get(7, "7 shorter") in ("7 shorter", rows[7][1])
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 500_000)
+    toxicity.learn(frame(spark, rows), labels)
+    few = taken.pop()
+    assert set(few[2]) < set(ids) and 400_000 < sum(map(len, few[0])) <= 500_000
+
+
+def test_clean_stretches_keep_their_weight(monkeypatch):
+    """However few of them are offered, the clean stretches together weigh what there are of them, about."""
+    rng = random.Random(5)
+    texts = [" ".join(words(1280, i, 10**6) + ["vileone", "vileish"] * (i % 3 == 0)) for i in range(900)]
+    rng.shuffle(texts)
+    toxic = np.array([int("vile" in t) for t in texts])
+    total = []
+    monkeypatch.setattr(toxicity, "_fit_chain", lambda x, y, real, weight: total.append(weight.sum()) or (np.zeros(x.shape[2]), np.ones((2, 2)), 1.0))
+    for every in (1, 8):
+        monkeypatch.setattr(toxicity, "CLEAN_EVERY", every)
+        toxicity.fit(pa.array(texts), toxic)
+    assert total[1] == pytest.approx(total[0], rel=0.2) and total[0] > 4000
+
+
 def test_toxicity_spans_and_messy_rows(spark):
     rng = random.Random(1)
     texts = [" ".join(words(60, i) + ([rng.choice(["vileone", "vileish", "nastyfolk"])] * 2 if i % 4 < 2 and i % 8 < 4 else [])) for i in range(400)]
