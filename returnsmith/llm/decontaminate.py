@@ -99,6 +99,6 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_column: str = "doc_id",
 
 
 def keep_clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """The documents that are not contaminated."""
+    """The documents that are not contaminated. Rows that share an id, a null one too, go together if one of them goes."""
     bad = decontaminate(docs, bench).filter("contaminated").select("doc_id")
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")

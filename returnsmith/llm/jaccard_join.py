@@ -299,9 +299,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     Words are runs of other bytes than ASCII white space after lowering A-Z, over the whole text; a set holds the
     distinct runs of five words, or the whole sequence if shorter. Two rows link when their sets' Jaccard
     similarity is 0.8 or more; ``component_id`` is the smallest id that links reach. A null or empty text has no
-    shingles, links with nothing and is its own component; repeated rows stay, each with the same result; a null id
-    takes part and gets its component's id (null if it stands alone). Other columns are not looked at. An
-    empty table gives none.
+    shingles, links with nothing and is its own component; repeated rows stay, each with the same result. A row with a null id
+    belongs to the component of the rows whose set equals its own; where no row with an id has that set, it links with nothing
+    and its component is null. Texts under one id are one node. Other columns are not looked at. An empty table gives none.
     """
     profile = settle(profiles(docs, id_column), "profile")
     nodes = settle(profile.filter("n_shingles > 0").groupBy("n_shingles", "fp", "fp2").agg(

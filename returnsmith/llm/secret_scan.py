@@ -19,6 +19,8 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from returnsmith.llm.text import blocks
+
 #: Kinds in the order that settles spans with one start.
 KINDS = ("assign", "access", "hex", "token", "der", "ssh")
 BASE_KINDS = KINDS[:3]
@@ -239,7 +241,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in blocks(batches):
             texts = batch.column("text").to_pylist()
             found = [spans(t) for t in texts]
             columns = [batch.column("id"), pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in f] for f in found], kind)]
@@ -253,11 +255,14 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
 
 def clean(docs: DataFrame, text_column: str = "text", mark: str = "[secret]") -> DataFrame:
-    """The rows with the secrets in their texts replaced by the mark, all other columns as they are."""
+    """The rows with the secrets in their texts replaced by the mark, all other columns as they are.
+
+    A null text stays null, an empty one empty; repeated rows and rows with a null id each give their row. An empty table gives none.
+    """
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in blocks(batches, place):
             texts = [redact(t, f, mark) if t and (f := spans(t)) else t for t in batch.column(place).to_pylist()]
             columns = list(batch.columns)
             columns[place] = pa.array(texts, batch.schema.field(place).type)

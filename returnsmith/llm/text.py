@@ -138,7 +138,7 @@ def per_row(rows: np.ndarray, values: np.ndarray, n: int) -> Iterator[np.ndarray
         yield values[cut[i]:cut[i + 1]]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str | int = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a block holds about ``limit`` bytes of text; a longer text is a block of its own."""
     for batch in batches:
         if not batch.num_rows:

@@ -229,3 +229,24 @@ def test_chats_are_read_back(spark):
     raw = formatted.filter("conv_id = 2").first()
     assert raw["formatted"].count("</turn>") == 2 and sum(raw["loss"]) < len(raw["ids"]) and any(raw["loss"])
     assert chat_format.format_chats(chats.limit(0), public_tokenizers.path("byte_bpe_50k.json")).count() == 0
+
+
+def test_cleaning_and_decontamination_keep_rows_of_shared_ids_apart(spark):
+    """Repeated rows, several texts under one id, null ids and null texts."""
+    secret = "token=abcdefgh12345 and more"
+    rows = [(1, secret), (1, secret), (1, "plain"), (None, secret), (2, None), (3, ""), (4, "x " * 100_000 + secret)]
+    docs = frame(spark, rows)
+    out = secret_scan.clean(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    gone = secret_scan.redact(secret, secret_scan.spans(secret), "[secret]")
+    assert gone != secret and "abcdefgh" not in gone
+    assert got == sorted([(1, gone), (1, gone), (1, "plain"), (None, gone), (2, None), (3, ""), (4, "x " * 100_000 + gone)], key=str)
+    assert secret_scan.clean(frame(spark, [])).count() == 0
+
+    passage = " ".join(words(40, 77, 10**6))
+    bench = spark.createDataFrame([("i1", passage)], "item_id string, text string")
+    rows = [(1, passage), (2, "fine words here"), (2, "other fine words"), (None, passage), (None, "fine"), (3, None), (1, passage)]
+    kept = decontaminate.keep_clean(frame(spark, rows), bench)
+    texts = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert (1, passage) not in texts and [t for t in texts if t[0] in (2, 3)] == [(2, "fine words here"), (2, "other fine words"), (3, None)]
