@@ -4,7 +4,7 @@ Equal vectors are one node that knows its smallest ids, so a group of copies of
 as distances do once every vector has one more component that makes all norms equal; the graph is built on those, queries
 have 0 there. A node's list starts with its nearest nodes in a few random blocks. In a round a node's neighbours in either
 direction meet there and are compared (new ones with all, old ones with new ones only); pairs nearer than the worst of a list are
-sent to it. A search keeps the best nodes seen by a query, and in a round joins the best of them that were not expanded yet with the graph and
+sent to it. A search keeps the best nodes seen by a query, and in a round joins those of them that were not expanded yet with the graph and
 compares their neighbours, until all of its best are expanded. Blocks of nodes and of queries have a bounded size.
 
 The graph is approximate; the tests measure its recall against brute force.
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from returnsmith.session import settle
@@ -29,7 +29,6 @@ BLOCK = 4096      # nodes of a block
 STARTS = 3        # random blocks that a node is in at the start
 MEETINGS = 512    # nodes whose neighbours are compared at a time
 BEST = 128        # nodes a query keeps
-EXPAND = 32       # of them expanded in a round
 ENTRIES = 16      # nodes where every search begins, besides the query's own
 REQUESTS = 8192   # queries that ask a block at a time
 SETTLED = 0.005   # a round that changes a smaller share of the lists is the last
@@ -62,7 +61,7 @@ def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(values, kind))
 
 
-LIST = "node bigint, near array<bigint>, score array<float>, fresh array<boolean>"
+LIST = "node bigint, half binary, near array<bigint>, score array<float>, fresh array<boolean>"
 
 
 def _best(owner: np.ndarray, other: np.ndarray, score: np.ndarray, fresh: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
@@ -77,11 +76,13 @@ def _best(owner: np.ndarray, other: np.ndarray, score: np.ndarray, fresh: np.nda
     return tuple(x[place < k] for x in (owner, other, score, fresh))
 
 
-def _list_table(owner: np.ndarray, other: np.ndarray, score: np.ndarray, fresh: np.ndarray, nodes: np.ndarray) -> pa.Table:
-    """Rows of ``LIST`` for all nodes given (sorted), those without neighbours too."""
+def _list_table(owner: np.ndarray, other: np.ndarray, score: np.ndarray, fresh: np.ndarray, source: pa.Table) -> pa.Table:
+    """Rows of ``LIST`` for all nodes of ``source`` (node, half), each once, those without neighbours too."""
+    ids = source.column("node").to_numpy()
+    nodes, first = np.unique(ids, return_index=True)
     sizes = np.bincount(np.searchsorted(nodes, owner), minlength=len(nodes))
-    return pa.table({"node": nodes, "near": _lists(other, sizes, pa.int64()), "score": _lists(score.astype(np.float32), sizes, pa.float32()),
-                     "fresh": _lists(fresh, sizes, pa.bool_())})
+    return pa.table({"node": nodes, "half": source.column("half").take(pa.array(first)), "near": _lists(other, sizes, pa.int64()),
+                     "score": _lists(score.astype(np.float32), sizes, pa.float32()), "fresh": _lists(fresh, sizes, pa.bool_())})
 
 
 def _block(column: str, blocks: int, salt: int) -> F.Column:
@@ -102,7 +103,7 @@ def _few(members: DataFrame, most: int, salt: int) -> DataFrame:
 
 
 def build_graph(points: DataFrame, count: int, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
-    """(node, near, score, fresh): each node's k nearest found, of ``points`` (node, code: float32 bytes of equal norm)."""
+    """Rows of ``LIST``: each node's k nearest found, of ``points`` (node, and bytes of equal norm: code of 32, half of 16 bits a number)."""
     blocks = max(1, -(-count // BLOCK))
 
     def start(table: pa.Table) -> pa.Table:
@@ -119,10 +120,10 @@ def build_graph(points: DataFrame, count: int, k: int = NEIGHBOURS, rounds: int
         near, score = (np.concatenate(p) for p in zip(*parts, strict=True))
         owner = np.repeat(nodes, take)
         rows = _best(owner, nodes[near.ravel()], score.ravel(), np.ones(len(owner), bool), k)
-        return _list_table(*rows, np.sort(nodes))
+        return _list_table(*rows, table)
 
     def gather(table: pa.Table) -> pa.Table:
-        return _list_table(*_best(*_entries(table), k), np.unique(table.column("node").to_numpy()))
+        return _list_table(*_best(*_entries(table), k), table)
 
     def compare(table: pa.Table) -> pa.Table:
         """Members that meet at a centre, where at least one is fresh there: pairs nearer than a list's worst."""
@@ -150,7 +151,7 @@ def build_graph(points: DataFrame, count: int, k: int = NEIGHBOURS, rounds: int
     def merge(lists: pa.Table, news: pa.Table) -> pa.Table:
         owner, near, score, _ = _entries(lists)
         rows = [np.concatenate([x, news.column(c).to_numpy()]) for x, c in ((owner, "node"), (near, "other"), (score, "score"))]
-        return _list_table(*_best(*rows, np.arange(len(rows[0])) >= len(owner), k), np.sort(lists.column("node").to_numpy()))
+        return _list_table(*_best(*rows, np.arange(len(rows[0])) >= len(owner), k), lists)
 
     lists = points.groupBy(_block("node", blocks, 0)).applyInArrow(start, LIST)
     if blocks > 1:
@@ -160,15 +161,19 @@ def build_graph(points: DataFrame, count: int, k: int = NEIGHBOURS, rounds: int
     lists = settle(lists, "graph")
     groups = max(1, -(-count // MEETINGS))
     for i in range(rounds if blocks > 1 else 0):
-        edges = lists.selectExpr("node", "inline(arrays_zip(near, fresh))")
-        named = _few(edges.select(F.col("near").alias("centre"), "node", "fresh"), MEET_NAMED, i)
-        own = _few(edges.select(F.col("node").alias("centre"), F.col("near").alias("node"), "fresh"), MEET_OWN, i)
-        members = own.unionByName(named).groupBy("centre", "node").agg(F.max("fresh").alias("fresh"))
+        # all that is settled about a centre follows from one shuffle by it
+        edges = lists.selectExpr("node", "explode(arrays_zip(near, fresh)) as e").selectExpr("node", "e.near", "e.fresh")
+        members = edges.selectExpr("node as centre", "near as node", "fresh", "true as own").unionByName(
+            edges.selectExpr("near as centre", "node", "fresh", "false as own"))
+        order = Window.partitionBy("centre", "own").orderBy(F.desc("fresh"), F.xxhash64("node", F.lit(i)), "node")
+        members = members.repartition("centre").withColumn("place", F.row_number().over(order)).filter(
+            F.col("place") <= F.when(F.col("own"), MEET_OWN).otherwise(MEET_NAMED))
+        members = members.groupBy("centre", "node").agg(F.max("fresh").alias("fresh"))
         members = members.withColumn("any", F.max("fresh").over(Window.partitionBy("centre"))).filter("any")
-        worst = lists.select("node", F.when(F.size("score") < k, F.lit(float("-inf"))).otherwise(F.array_min("score")).alias("worst"))
-        told = members.join(points.join(worst, "node").select("node", "half", "worst"), "node")
-        news = (told.select(_block("centre", groups, -2).alias("group"), "centre", "node", "worst", "fresh", F.col("half").alias("code"))
-                .groupBy("group").applyInArrow(compare, "node bigint, other bigint, score float"))
+        side = lists.select("node", F.col("half").alias("code"), F.when(F.size("score") < k, F.lit(float("-inf"))).otherwise(
+            F.array_min("score")).alias("worst"))
+        told = members.join(side, "node").select(_block("centre", groups, -2).alias("group"), "centre", "node", "worst", "fresh", "code")
+        news = told.groupBy("group").applyInArrow(compare, "node bigint, other bigint, score float")
         lists = settle(lists.groupBy(_block("node", blocks, -1)).cogroup(news.groupBy(_block("node", blocks, -1)))
                        .applyInArrow(merge, LIST), "graph")
         changed = lists.agg(F.sum(F.expr("size(filter(fresh, x -> x))"))).first()[0] or 0
@@ -191,8 +196,11 @@ def _points(nodes: DataFrame, width: int, longest: float) -> DataFrame:
     return nodes.select("node", "v").mapInArrow(run, "node bigint, code binary, half binary")
 
 
-def _scored(asked: DataFrame, queries: DataFrame, nodes: DataFrame, count: int, width: int) -> DataFrame:
-    """(q, node, score) of asked (q, node): inner products in double precision, block by block of nodes."""
+def _scored(asked: DataFrame, state: DataFrame, nodes: DataFrame, count: int, width: int, queries: int) -> DataFrame:
+    """(q, node, score) of asked (q, node) not in the query's pool: inner products in double precision, block by block of nodes.
+
+    ``state`` has q, its vector qv and its pool, an array of nodes.
+    """
     blocks = max(1, -(-count // BLOCK))
 
     def products(requests: pa.Table, block: pa.Table) -> pa.Table:
@@ -208,16 +216,20 @@ def _scored(asked: DataFrame, queries: DataFrame, nodes: DataFrame, count: int,
         score = np.concatenate([np.einsum("ij,ij->i", x[at[i:i + 65536]], y[row[i:i + 65536]]) for i in range(0, len(at), 65536)])
         return pa.table({"q": requests.column("q").to_numpy()[row], "node": node, "score": score})
 
-    asked = asked.groupBy("q", _block("node", blocks, -3).alias("block")).agg(F.collect_set("node").alias("asked"))
+    block = _block("node", blocks, -3)
+    asked = asked.groupBy("q", block.alias("block")).agg(F.collect_set("node").alias("asked"))
+    asked = asked.join(state, "q").select("q", "block", "qv", F.array_except("asked", "pool").alias("asked")).filter("size(asked) > 0")
+    schema = "q bigint, node bigint, score double"
+    if queries <= REQUESTS:
+        parts = nodes.select(block.alias("part"), "node", "v")
+        return asked.groupBy("block").cogroup(parts.groupBy("part")).applyInArrow(products, schema)
+    # nodes that very many queries reach: their block is read by several tasks, each with some of the queries
     asked = settle(asked, "asked")
-    # a node that very many queries reach: its block is read by several tasks, each with some of the queries
     slices = asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / REQUESTS).alias("slices"))
-    asked = (asked.join(slices, "block").join(queries.select("q", F.col("v").alias("qv")), "q")
-             .select(F.pmod(F.xxhash64("q"), "slices").alias("slice"), "block", "q", "asked", "qv"))
-    parts = nodes.select("node", "v", _block("node", blocks, -3).alias("block")).join(slices, "block").selectExpr(
+    dealt = asked.join(slices, "block").withColumn("slice", F.pmod(F.xxhash64("q"), "slices")).drop("slices")
+    parts = nodes.select("node", "v", block.alias("block")).join(slices, "block").selectExpr(
         "block as part", "explode(sequence(0, slices - 1)) as copy", "node", "v")
-    return asked.groupBy("block", "slice").cogroup(parts.groupBy("part", "copy")).applyInArrow(
-        products, "q bigint, node bigint, score double")
+    return dealt.groupBy("block", "slice").cogroup(parts.groupBy("part", "copy")).applyInArrow(products, schema)
 
 
 def _entered(queries: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -248,20 +260,20 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, count: int, w
     named = _few(graph.selectExpr("explode(near) as centre", "node", "true as fresh"), REVERSE, 0)
     named = named.select(F.col("centre").alias("node"), F.col("node").alias("near"))
     both = settle(edges.unionByName(named).groupBy("node").agg(F.collect_set("near").alias("near")), "adjacent")
+    many = queries.count()
+    vectors = queries.select("q", F.col("v").alias("qv"))
     pool = _entered(queries, nodes, width).withColumn("done", F.lit(False))
     ranked = Window.partitionBy("q").orderBy(F.desc("score"), "node")
-    waiting = Window.partitionBy("q", "done").orderBy(F.desc("score"), "node")
     while True:
-        pool = pool.withColumn("i", F.row_number().over(ranked)).filter(F.col("i") <= best)
-        pool = settle(pool.withColumn("now", ~F.col("done") & (F.row_number().over(waiting) <= EXPAND)).drop("i"), "pool")
-        if not pool.filter("now").limit(1).count():
+        left = Observation()
+        pool = pool.withColumn("i", F.row_number().over(ranked)).filter(F.col("i") <= best).drop("i")
+        pool = settle(pool.observe(left, F.count_if(~F.col("done")).alias("n")), "pool")  # of the rows that are written
+        if not left.get["n"]:
             return pool.select("q", "node", "score")
-        reached = pool.filter("now").select("q", "node").join(both, "node").selectExpr("q", "explode(near) as node").distinct()
-        reached = reached.join(pool.select("q", "node"), ["q", "node"], "left_anti")
-        bar = pool.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("bar"))
-        news = _scored(reached, queries, nodes, count, width).join(bar, "q").filter((F.col("n") < best) | (F.col("score") >= F.col("bar")))
-        pool = pool.select("q", "node", "score", (F.col("done") | F.col("now")).alias("done")).unionByName(
-            news.select("q", "node", "score", F.lit(False).alias("done")))
+        state = pool.groupBy("q").agg(F.collect_list("node").alias("pool")).join(vectors, "q")
+        reached = pool.filter("not done").select("q", "node").join(both, "node").selectExpr("q", "explode(near) as node")
+        news = _scored(reached, state, nodes, count, width, many)
+        pool = pool.withColumn("done", F.lit(True)).unionByName(news.withColumn("done", F.lit(False)))
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, best: int = BEST, name: str = "vec_id",
@@ -278,10 +290,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, best: int = BES
     nodes = settle(_nodes(valid.groupBy("id").agg(F.min("v").alias("v")), k), "nodes")
     facts = nodes.select(F.size("v").alias("n"), F.expr("aggregate(v, 0d, (s, x) -> s + x * x)").alias("norm")).agg(
         F.count(F.lit(1)), F.max("n"), F.max("norm")).first()
-    count, width, longest = facts[0], facts[1] or 1, facts[2] or 1.0
     asking = _valid(queries, name, vector).filter("id is not null").groupBy("id").agg(F.min("v").alias("v"))
     classes = settle(asking.groupBy("v").agg(F.min("id").alias("q")).join(
         nodes.select("v", F.col("node").alias("own")), "v", "left"), "queries")
+    asked_width = classes.agg(F.max(F.size("v"))).first()[0] or 1
+    count, width, longest = facts[0], max(facts[1] or 1, asked_width), facts[2] or 1.0
     points = settle(_points(nodes, width, longest), "points")
     graph = build_graph(points, count, max(k, NEIGHBOURS))
     found = search(classes, graph, nodes, count, width, max(best, k + 1))
