@@ -293,11 +293,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> Mode
     order = F.xxhash64(F.lit("sample"), id_column)
     known = (labels.filter(f"{id_column} is not null and toxic in (0, 1)").groupBy(id_column).agg(F.max("toxic").alias("toxic"))
              .filter(F.crc32(F.col(id_column).cast("string")) % FOLDS != 0).orderBy(order, id_column).limit(MAX_LABELLED))
-    # sizes first, so that no text moves that does not fit; the window sees MAX_LABELLED narrow rows
-    sizes = (docs.select(id_column, F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).join(known, id_column)
+    # sizes first, so that no text moves that does not fit; window and broadcasts hold MAX_LABELLED narrow rows at most
+    sizes = (docs.select(id_column, F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).join(F.broadcast(known), id_column)
              .groupBy(id_column, "toxic").agg(F.max("size").alias("size")))
     known = sizes.withColumn("sum", F.sum("size").over(Window.orderBy(order, id_column))).filter(F.col("sum") <= MAX_BYTES).drop("size", "sum")
-    sample = (docs.select(id_column, "text").join(known, id_column).groupBy(id_column, "toxic").agg(F.min("text").alias("text"))
+    sample = (docs.select(id_column, "text").join(F.broadcast(known), id_column).groupBy(id_column, "toxic").agg(F.min("text").alias("text"))
               .select(F.col(id_column).cast("bigint").alias("id"), F.col("toxic").cast("int").alias("toxic"), F.coalesce("text", F.lit("")).alias("text")))
     table = sample.toArrow().combine_chunks().sort_by("id")
     texts = table.column("text")
