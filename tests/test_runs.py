@@ -318,3 +318,12 @@ def test_a_log_grows_by_its_new_rows_only(spark):
     bundle.extend_log(second, path, "fresh")
     assert bundle.read_log(spark, path, "fresh", log.schema).where("status = 'PENDING'").count() == 4
     assert bundle.remove_old(spark, path) and bundle.read_bundle(spark, path)["log"].count() == 5
+
+
+def test_the_feed_reads_positions_that_are_joined_once(spark, feed):
+    """The feed reads the positions three times, from where they were written; their line items are shuffled while narrow."""
+    shown = feed.table("feed")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in shown and "lineitem" not in shown
+    assert feed.written("positions") is feed.written("positions")
+    both = [df.drop("tfi_id") for df in (feed.written("positions"), feed.table("positions"))]
+    assert both[0].exceptAll(both[1]).isEmpty() and both[0].count() == both[1].count()
