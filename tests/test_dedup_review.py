@@ -5,7 +5,7 @@ import pytest
 
 from returnsmith.operators import dedup
 from returnsmith.operators.dedup import drop_repeats, duplicate_sets, merge_log, repeats, split_repeats
-from returnsmith.operators.review import apply_actions, delete_listed, with_status
+from returnsmith.operators.review import apply_actions, delete_listed, take_listed, with_status
 from returnsmith.session import scratch_path, settle
 
 
@@ -136,3 +136,30 @@ def test_full_bitmaps_only_send_more_rows_to_be_compared(spark, monkeypatch):
     logged, kept = brute_force(data)
     assert Counter(map(tuple, repeats(df, "customer").collect())) == logged
     assert Counter(map(tuple, drop_repeats(df, "customer").collect())) == kept
+
+
+def test_pairs_are_compared_by_one_shuffle(spark):
+    """Copies that come in pairs, told from larger sets, need no join: one shuffle gives what is kept and logged of them."""
+    data = [(f"k{i % 3000}" if i % 10 else None, str(i % 11)) for i in range(6000)] + [("thrice", v) for v in (None, "2", "1")]
+    df = spark.createDataFrame(data, "content string, customer string").repartition(5)
+    logged, kept = brute_force(data)
+    split = split_repeats(df, "customer")
+    assert Counter(map(tuple, split.logged().collect())) == logged and Counter(map(tuple, split.kept().collect())) == kept
+    assert split.many.count() < 1200 and split.pairs.count() > 4000
+    shown = plan_of(split._paired())
+    assert shown.count("Exchange hashpartitioning") == 1 and "Join" not in shown
+
+
+def test_rows_that_are_not_listed_are_not_shuffled(spark):
+    path = scratch_path(spark, "rows")
+    spark.range(3000).selectExpr("CAST(IF(id % 5 = 0, NULL, id % 900) AS string) AS ref", "IF(id % 2 = 0, 0.0D, -0.0D) AS v").write.parquet(path)
+    df = spark.read.parquet(path)
+    listed = spark.createDataFrame([(None, -0.0), ("7", 0.0), ("8", -0.0), ("8", 1.0)], "ref string, v double")
+    held = [tuple(r) for r in df.collect()]
+    gone = [r for r in held if r[0] in (None, "7", "8")]  # both zeros are equal
+    assert Counter(map(tuple, delete_listed(df, listed).collect())) == Counter(held) - Counter(gone)
+    assert Counter(map(tuple, take_listed(df, listed).collect())) == Counter(gone)
+    shown = delete_listed(df, listed)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in shown and "bitmap_construct_agg" in shown
+    texts = spark.createDataFrame([("7", "0.0")], "ref string, v string")  # of another type: compared as values, not by hashes
+    assert delete_listed(df, texts).count() == len([r for r in held if r[0] != "7"])
