@@ -1,6 +1,9 @@
 """The three runs end to end over the small test tables, through bundles."""
 
+import contextlib
+import io
 import os
+import re
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
@@ -9,11 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from catalog.adapter import AS_OF, ENTITY, LOT, Feed
+from catalog import queries
 from catalog.queries import QUERIES, runnable
 from returnsmith.operators.review import with_status
 from returnsmith.plans import lifecycle
 from returnsmith.plans.chains import POSITION_CHAIN
-from returnsmith.plans.positions import add_risk, enrich_positions, map_positions
+from returnsmith.plans.positions import add_risk, enrich_positions, enrich_with_risk, map_positions
 from returnsmith.plans.reconcile import position_cells
 from returnsmith.plans.register import build_register
 from returnsmith.schemas import FACILITY, POSITIONS
@@ -327,3 +331,59 @@ def test_the_feed_reads_positions_that_are_joined_once(spark, feed):
     assert feed.written("positions") is feed.written("positions")
     both = [df.drop("tfi_id") for df in (feed.written("positions"), feed.table("positions"))]
     assert both[0].exceptAll(both[1]).isEmpty() and both[0].count() == both[1].count()
+
+
+def method_sizes(spark, df):
+    """Bytes of the largest method that Spark generates for each stage of the plan; the JVM compiles none above 8000."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(io.StringIO()) as shown:
+            df.selectExpr("*").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
+
+
+def test_the_rebuild_of_positions_makes_methods_that_the_jvm_compiles(spark, feed):
+    dims, raw = feed.dims(), settle(conform(feed.table("positions"), POSITIONS, ["seq"]), "positions")
+    tables = lifecycle.rebuild({"positions": raw, "facility": feed.table("facility"), "ledger": feed.table("ledger")}, dims)
+    sizes = method_sizes(spark, tables["positions"])
+    assert sizes and max(sizes) < 8000
+    assert max(method_sizes(spark, queries.with_risk(feed))) < 8000
+    in_two = add_risk(enrich_positions(raw, dims), tables["register"])
+    assert in_two.schema == tables["positions"].schema and in_two.schema == enrich_with_risk(raw, dims, tables["register"]).schema
+    assert Counter(map(tuple, in_two.collect())) == Counter(map(tuple, tables["positions"].collect()))
+
+
+def test_acted_positions_are_compared_once(feed):
+    """The rebuild after position actions reads what is left as written, it doesn't look for the listed rows at every read."""
+    dims = feed.dims()
+    tables = lifecycle.rebuild({"positions": feed.table("positions"), "facility": feed.table("facility"), "ledger": feed.table("ledger")}, dims)
+    tables["positions"] = settle(tables["positions"], "positions")
+    log = tables["positions"].where("currency = 'AUD'").selectExpr("*", "'delete' AS record_action", "'PENDING' AS status")
+    out, _ = lifecycle.apply_position_actions(tables, log, dims)
+    assert "bitmap_construct_agg" not in out["positions"]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_that_no_action_reaches_are_written_once(spark, feed):
+    """The rebuild by difference writes the rows that are left once, and again only those that may ask for a changed reference or customer."""
+    dims, written = feed.dims(), {}
+    tables = lifecycle.rebuild({"positions": feed.table("positions"), "facility": feed.table("facility"), "ledger": feed.table("ledger")}, dims)
+    tables["positions"] = settle(tables["positions"], "positions")
+    tables["cells"] = settle(position_cells(tables["positions"]), "cells")
+    log = tables["positions"].orderBy("seq").limit(3).selectExpr("*", "'delete' AS record_action", "'PENDING' AS status")
+
+    def share(df, name):
+        written[name] = settle(df, name)
+        return written[name]
+
+    out = lifecycle.apply_by_difference(tables, settle(log, "log"), dims, share=share)[0]
+    total = tables["positions"].count()
+    wide = {name: df.count() for name, df in written.items() if "rca_bookv" in df.columns and "vis_sector" in df.columns}
+    assert out["positions"].count() == total - 3 and wide["not_removed"] == total - 3
+    assert [name for name, n in wide.items() if n > total / 2] == ["not_removed"]
+
+
+def test_only_the_log_of_duplicates_needs_the_run_before(spark, monkeypatch):
+    monkeypatch.setattr(queries.dedup, "repeats", lambda *a, **k: pytest.fail("a run before was made"))
+    assert queries.started(Feed(spark, FOLDER))["raw"]["register"].count() > 0
