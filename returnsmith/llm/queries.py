@@ -51,8 +51,7 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
-    ids = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), ranks, pattern).drop("text")
-    return bpe.decode(ids, ranks, pattern).select(
+    return bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), ranks, pattern, bytes_column="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -3,12 +3,13 @@ import hashlib
 import json
 import math
 import re
+from collections import Counter
 
 import public_tokenizers
 import pytest
 import tiktoken
 
-from returnsmith.llm import bpe, chat_format, decontaminate, license_scan, lm_score, secret_scan
+from returnsmith.llm import bpe, chat_format, decontaminate, license_scan, lm_score, queries, secret_scan
 from tests.llm.cases import alnum, frame, messy, spaced, words
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -61,6 +62,17 @@ def test_bpe_round_trip_and_ids(spark):
     assert bpe.encode(frame(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_encodes_and_decodes_in_one_pass(spark, tmp_path):
+    """Two passes hold two Python workers with an encoder each in every task."""
+    rows = [r[:2] for r in messy()] + [(60, "it's <|endoftext|> 1234567 " * 4000)]
+    both = bpe.encode(frame(spark, rows), RANKS, public_tokenizers.PATTERN, bytes_column="decoded")
+    apart = bpe.decode(bpe.encode(frame(spark, rows), RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN)
+    assert both.schema == apart.schema and Counter(map(str, both.collect())) == Counter(map(str, apart.collect()))
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    shown = queries.op4_bpe(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.count("MapInArrow") == 1
+
+
 def test_pieces_join_to_the_text():
     text = "ab\x1c cd  e  f\n" * 30_000
     assert "".join(bpe.pieces(text, 100)) == text and len(list(bpe.pieces(text, 100))) > 100
