@@ -5,7 +5,7 @@ import pytest
 
 from returnsmith.operators import dedup
 from returnsmith.operators.dedup import drop_repeats, duplicate_sets, merge_log, repeats, split_repeats
-from returnsmith.operators.review import apply_actions, delete_listed, take_listed, with_status
+from returnsmith.operators.review import apply_actions, delete_listed, split_listed, take_listed, with_status
 from returnsmith.session import scratch_path, settle
 
 
@@ -163,3 +163,18 @@ def test_rows_that_are_not_listed_are_not_shuffled(spark):
     assert "Union" in shown and "bitmap_construct_agg" in shown
     texts = spark.createDataFrame([("7", "0.0")], "ref string, v string")  # of another type: compared as values, not by hashes
     assert delete_listed(df, texts).count() == len([r for r in held if r[0] != "7"])
+
+
+def test_listed_rows_are_looked_for_among_those_that_the_bitmaps_leave(spark):
+    """A semi or an anti join would be moved below the bitmaps, and all rows be shuffled for it."""
+    path = scratch_path(spark, "rows")
+    spark.range(5000).selectExpr("CAST(IF(id % 5 = 0, NULL, id % 900) AS string) AS ref", "id % 3 AS v").write.parquet(path)
+    df = spark.read.parquet(path)
+    listed = df.where("ref IN ('7', '8') OR ref IS NULL AND v = 1")  # copies among them
+    removed, kept = split_listed(df, listed)
+    held, gone = Counter(map(tuple, df.collect())), Counter(map(tuple, listed.collect()))
+    assert Counter(map(tuple, removed.collect())) == gone and Counter(map(tuple, kept.collect())) == held - gone
+    for found in (take_listed(df, listed), delete_listed(df, listed)):
+        shown = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftSemi" not in shown and "LeftAnti" not in shown and "bitmap_construct_agg" in shown
+        assert "isnotnull(shiftright" not in shown and "isnotnull((pmod" not in shown  # no row is hashed for a null check
