@@ -178,3 +178,18 @@ def test_listed_rows_are_looked_for_among_those_that_the_bitmaps_leave(spark):
         shown = found._jdf.queryExecution().optimizedPlan().toString()
         assert "LeftSemi" not in shown and "LeftAnti" not in shown and "bitmap_construct_agg" in shown
         assert "isnotnull(shiftright" not in shown and "isnotnull((pmod" not in shown  # no row is hashed for a null check
+
+
+def test_the_log_of_duplicates_writes_no_rows_without_a_copy(spark, monkeypatch):
+    data = [(f"k{i % 2900}", str(i)) for i in range(3000)]
+    df, split, written = spark.createDataFrame(data, "content string, customer string"), dedup.split_repeats, {}
+
+    def share(df, name):
+        written[name] = settle(df, name)
+        return written[name]
+
+    monkeypatch.setattr(dedup, "split_repeats", lambda *a, **k: split(*a, share=share, **k))
+    assert Counter(map(tuple, repeats(df, "customer").collect())) == brute_force(data)[0]
+    assert 200 <= written["split"].count() < 600  # both rows of 100 sets, and some that share a bit
+    found = split(df, "customer", write_single=False)
+    assert Counter(map(tuple, found.kept().collect())) == brute_force(data)[1]
