@@ -21,7 +21,7 @@ from returnsmith.plans.positions import add_risk, enrich_positions, enrich_with_
 from returnsmith.plans.reconcile import position_cells
 from returnsmith.plans.register import build_register
 from returnsmith.schemas import FACILITY, POSITIONS
-from returnsmith.session import run_scratch, scratch_path, settle, shared_dir, tune
+from returnsmith.session import WIDE_ROWS, run_scratch, scratch_path, settle, shared_dir, tune
 from returnsmith.sources import bundle, warehouse
 from returnsmith.sources.readers import conform
 
@@ -387,3 +387,27 @@ def test_rows_that_no_action_reaches_are_written_once(spark, feed):
 def test_only_the_log_of_duplicates_needs_the_run_before(spark, monkeypatch):
     monkeypatch.setattr(queries.dedup, "repeats", lambda *a, **k: pytest.fail("a run before was made"))
     assert queries.started(Feed(spark, FOLDER))["raw"]["register"].count() > 0
+
+
+def test_wide_rows_are_dealt_out_finely_whatever_the_number_of_partitions(spark):
+    """Into eight partitions, what a task sorts grows with the tables until it spills; adaptive execution puts small parts together."""
+    (name, number), = WIDE_ROWS.items()
+    before = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    rows = spark.range(9).selectExpr("id % 4 AS content", "CAST(id AS string) AS customer")
+    try:
+        found = runnable(lambda feed: queries.dedup.repeats(rows, "customer"))(spark, FOLDER)
+        shown = found._jdf.queryExecution().executedPlan().toString()
+        dealt = [line for line in shown.splitlines() if "Exchange hashpartitioning" in line]
+        assert dealt and all(f", {number})" in line for line in dealt) and spark.conf.get("spark.sql.shuffle.partitions") != number
+        spark.conf.set(name, "16")  # the user's own number is kept
+        assert tune(spark, wide_rows=True).conf.get(name) == "16"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_line_items_are_shuffled_with_what_positions_take_of_them(feed):
+    """Of the supplier a remainder, of the time of shipping the day."""
+    sold = feed._sold()
+    assert dict(sold.dtypes)["l_shipdate"] == "date"
+    assert {r[0] for r in sold.select("l_suppkey").distinct().collect()} <= {0, 1, 2}
