@@ -406,6 +406,20 @@ def test_wide_rows_are_dealt_out_finely_whatever_the_number_of_partitions(spark)
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def test_position_log_by_itself_needs_no_register(spark, feed, rows, monkeypatch):
+    raw = {"positions": queries.delivered(feed), "ledger": feed.table("ledger"), "facility": feed.table("facility")}
+    expected, written = rows(lifecycle.initial_run(raw, feed.dims())["logs"]["positions_log"]), {}
+
+    def share(df, name):
+        written[name] = settle(df, name)
+        return written[name]
+
+    monkeypatch.setattr(lifecycle, "build_register", lambda *a: pytest.fail("a register was built"))
+    assert rows(lifecycle.initial_position_log(raw, feed.dims(), share)) == expected and expected
+    assert set(written) == {"hashes", "split"} and written["split"].count() < raw["positions"].count()
+    assert runnable(queries.run_initial_position_log)(spark, FOLDER).count() == len(expected)
+
+
 def test_line_items_are_shuffled_with_what_positions_take_of_them(feed):
     """Of the supplier a remainder, of the time of shipping the day."""
     sold = feed._sold()
