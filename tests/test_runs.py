@@ -420,6 +420,12 @@ def test_position_log_by_itself_needs_no_register(spark, feed, rows, monkeypatch
     assert runnable(queries.run_initial_position_log)(spark, FOLDER).count() == len(expected)
 
 
+def test_where_a_review_begins_needs_no_written_register(spark, monkeypatch):
+    monkeypatch.setattr(queries, "started", lambda f: pytest.fail("the whole first run was made"))
+    found = {r.log_reason: r for r in queries.run_review_start(Feed(spark, FOLDER)).collect()}
+    assert found and all(r.status == "PENDING" and r.n > 0 and r.begins_with == "raw" for r in found.values())
+
+
 def test_line_items_are_shuffled_with_what_positions_take_of_them(feed):
     """Of the supplier a remainder, of the time of shipping the day."""
     sold = feed._sold()
