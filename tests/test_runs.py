@@ -426,6 +426,21 @@ def test_where_a_review_begins_needs_no_written_register(spark, monkeypatch):
     assert found and all(r.status == "PENDING" and r.n > 0 and r.begins_with == "raw" for r in found.values())
 
 
+def test_register_log_of_a_review_writes_no_positions(spark, feed, rows):
+    first, dims, written = queries.started(feed), feed.dims(), []
+    logs = {name: with_status(log) for name, log in first["logs"].items()}
+
+    def share(df, name):
+        written.append(name)
+        return settle(df, name)
+
+    tables, log = lifecycle.review_register(first["raw"], logs["register_log"], dims, share)
+    assert "positions" not in written
+    whole = lifecycle.review_run(first["raw"], logs, dims)
+    assert rows(log) == rows(whole["logs"]["register_log"])
+    assert rows(tables["positions"].select("seq", "risk_in", "risk_in_sector")) == rows(whole["updated"]["positions"].select("seq", "risk_in", "risk_in_sector"))
+
+
 def test_line_items_are_shuffled_with_what_positions_take_of_them(feed):
     """Of the supplier a remainder, of the time of shipping the day."""
     sold = feed._sold()
