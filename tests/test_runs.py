@@ -4,6 +4,7 @@ import contextlib
 import io
 import os
 import re
+import time
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
@@ -11,17 +12,18 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from catalog.adapter import AS_OF, ENTITY, LOT, Feed
+from catalog.adapter import AS_OF, BODIES, ENTITY, LOT, Feed
 from catalog import queries
 from catalog.queries import QUERIES, runnable
 from returnsmith.operators.review import with_status
 from returnsmith.plans import lifecycle
 from returnsmith.plans.chains import POSITION_CHAIN
 from returnsmith.plans.positions import add_risk, enrich_positions, enrich_with_risk, map_positions
+from returnsmith.plans.quality import position_issues
 from returnsmith.plans.reconcile import position_cells
 from returnsmith.plans.register import build_register
 from returnsmith.schemas import FACILITY, POSITIONS
-from returnsmith.session import WIDE_ROWS, run_scratch, scratch_path, settle, shared_dir, tune
+from returnsmith.session import SHORT_LIVED, WIDE_ROWS, run_scratch, scratch_path, settle, shared_dir, tune
 from returnsmith.sources import bundle, warehouse
 from returnsmith.sources.readers import conform
 
@@ -446,3 +448,60 @@ def test_line_items_are_shuffled_with_what_positions_take_of_them(feed):
     sold = feed._sold()
     assert dict(sold.dtypes)["l_shipdate"] == "date"
     assert {r[0] for r in sold.select("l_suppkey").distinct().collect()} <= {0, 1, 2}
+
+
+def test_the_feed_reads_each_position_once(spark):
+    """One scan gives what the union of the feed's body gives, rows without a number or a customer as well."""
+    feed, names = Feed(spark, FOLDER), feed_columns()
+    numbers = [None, 0, 1, 3, 5, 7, 14, 15, 21, 35, 105, 35]
+    rows = spark.createDataFrame([(n, None if n == 14 else f"c{n}") for n in numbers], "seq long, customer_nr string")
+    path = scratch_path(spark, "positions")
+    rows.selectExpr(*[n if n in rows.columns else f"CAST(NULL AS {kind}) AS {n}" for n, kind in names.items()]).write.parquet(path)
+    feed._made["written <positions>"] = spark.read.parquet(path)
+    union = spark.sql(BODIES["feed"].replace("<position_base>", "{positions}"), positions=feed.written("positions"))
+    got = feed.table("feed")
+    assert got.schema == union.schema and Counter(map(tuple, got.collect())) == Counter(map(tuple, union.collect()))
+    assert got.count() == len(numbers) + 6 + 7  # 0, 7, 14, 21, 35, 105 and 35 again come under another customer
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def feed_columns():
+    return {f.name: f.dataType.simpleString() for f in POSITIONS.fields} | {"seq": "bigint"}
+
+
+def test_the_position_log_makes_methods_that_the_jvm_compiles(spark, feed):
+    """The enrichment with the issues of its rows was one method of 9206 bytes."""
+    raw = settle(conform(feed.table("positions"), POSITIONS, ["seq"]), "positions")
+    enriched = enrich_positions(raw, feed.dims())
+    sizes = method_sizes(spark, position_issues(enriched))
+    assert sizes and max(sizes) < 8000
+    shown = enriched._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in shown and "Exchange RoundRobin" not in shown
+    assert enriched.rdd.getNumPartitions() == raw.rdd.getNumPartitions()
+
+
+def shuffle_files(spark):
+    held = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {held.apply(i).getName() for i in range(held.size()) if held.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_job_that_wrote_them(spark):
+    (name, value), = SHORT_LIVED.items()
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")  # a session's own choice is kept
+    assert tune(spark, wide_rows=True).conf.get(name) == "false"
+    try:
+        spark.conf.set(name, value)
+        held = shuffle_files(spark)
+        again = settle(spark.range(1000).groupBy(F.expr("id % 10 AS k")).agg(F.expr("count(*) AS n")), "counts")
+        assert again.count() == 10
+        for _ in range(50):
+            left = shuffle_files(spark) - held
+            if not left:
+                break
+            time.sleep(0.2)
+        assert not left
+        twice = spark.range(100).repartition(F.expr("id % 7")).groupBy(F.expr("id % 5 AS k")).agg(F.expr("count(*) AS n"))
+        assert sorted(twice.collect()) == sorted(twice.collect())  # its shuffles are made again
+    finally:
+        spark.conf.set(name, before)
