@@ -505,3 +505,14 @@ def test_shuffle_files_go_with_the_job_that_wrote_them(spark):
         assert sorted(twice.collect()) == sorted(twice.collect())  # its shuffles are made again
     finally:
         spark.conf.set(name, before)
+
+
+def test_columns_made_from_the_row_are_not_shuffled_for_its_risk(spark, feed):
+    """The rows cross to the register without the columns that are made of their others."""
+    raw = settle(conform(feed.table("positions"), POSITIONS, ["seq"]), "positions")
+    register = settle(build_register(enrich_positions(raw, feed.dims()), feed.table("register_now"), feed.table("register_last")), "register")
+    plan = enrich_with_risk(raw, feed.dims(), register)._jdf.queryExecution().optimizedPlan()
+    while not (plan.nodeName().startswith("Join") and "_pair" in plan.verboseStringWithSuffix(1000).split("Join", 1)[1]):
+        plan = plan.children().head()
+    crossing = {a.split("#")[0] for a in plan.children().head().output().mkString(" ").split()}
+    assert {"rca_bookv", "vis_sector", "deal_code"} <= crossing and not crossing & {"key", "vis_country", "nationality_derived"}
