@@ -516,3 +516,15 @@ def test_columns_made_from_the_row_are_not_shuffled_for_its_risk(spark, feed):
         plan = plan.children().head()
     crossing = {a.split("#")[0] for a in plan.children().head().output().mkString(" ").split()}
     assert {"rca_bookv", "vis_sector", "deal_code"} <= crossing and not crossing & {"key", "vis_country", "nationality_derived"}
+
+
+def test_the_log_after_review_is_made_of_the_written_one(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(lifecycle, "position_issues", lambda df: made.append(position_issues(df)) or made[-1])
+    seen = []
+    monkeypatch.setattr(queries, "reviewed_log", lambda f, issues, columns, make=queries.reviewed_log: seen.append(issues) or make(f, issues, columns))
+    counts = {r.what: r.n for r in queries.run_initial_counts(Feed(spark, FOLDER)).collect()}
+    scans = [line for line in seen[0]._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert len(made) == 1 and len(scans) == 1 and "positions_log" in scans[0]
+    assert sum(n for what, n in counts.items() if what.startswith("positions_log: ")) == sum(
+        n for what, n in counts.items() if what.startswith("after_review: issue: ")) > 0
