@@ -528,3 +528,25 @@ def test_the_log_after_review_is_made_of_the_written_one(spark, monkeypatch):
     assert len(made) == 1 and len(scans) == 1 and "positions_log" in scans[0]
     assert sum(n for what, n in counts.items() if what.startswith("positions_log: ")) == sum(
         n for what, n in counts.items() if what.startswith("after_review: issue: ")) > 0
+
+
+def test_the_first_run_makes_its_pairs_once_and_drops_what_the_feed_was_read_from(spark):
+    feed = Feed(spark, FOLDER)
+    rows = queries.delivered(feed)
+    kept, logged = (Counter(map(tuple, make(rows, "customer_nr", order_by="seq").collect())) for make in (queries.dedup.drop_repeats, queries.dedup.repeats))
+    folder = feed.written("positions").inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    first = queries.started(feed)
+    assert not os.path.exists(folder) and "<feed>" not in feed._made
+    assert Counter(map(tuple, first["raw"]["positions"].collect())) == kept
+    found = first["logs"]["duplicates"]
+    names = [n for n in rows.columns if n != "seq"]
+    at = [rows.columns.index(n) for n in names]
+    expected = Counter()
+    for row, n in logged.items():
+        expected[tuple(row[i] for i in at)] += n
+    assert Counter(map(tuple, found.select(*names).collect())) == expected
+    # the pairs are read as written: only larger sets are still joined
+    assert "bitmap" not in found._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert len(scans) == 3 and sum("kept-" in line for line in scans) == 1
+    assert feed.table("feed").count() > 0  # made anew
